@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import (
@@ -119,9 +119,9 @@ def option_bias(df: DataFrame, output: str = "output", gold: str = "gold") -> Da
         F.struct(F.col(gold).alias("letter"), F.lit(0).alias("said"), F.lit(1).alias("right")),
     )).alias("v")).select("v.*").filter("letter IS NOT NULL")
     counts = letters.groupBy("letter").agg(F.sum("said").alias("predicted"), F.sum("right").alias("gold"))
-    totals = counts.agg(F.sum("predicted").alias("_p"), F.sum("gold").alias("_g"))
-    # one-row total next to at most a handful of letters
-    shares = counts.join(F.broadcast(totals), F.lit(True))
+    # one line per letter, so the grand total is a window over a handful of rows
+    everything = Window.partitionBy(F.lit(0))
+    shares = counts.withColumn("_p", F.sum("predicted").over(everything)).withColumn("_g", F.sum("gold").over(everything))
     said, right = F.try_divide("predicted", "_p"), F.try_divide("gold", "_g")
     return shares.select(
         "letter", "predicted", "gold", F.round(said, 4).alias("predicted_share"),

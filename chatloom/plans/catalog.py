@@ -1,6 +1,8 @@
 """Importing this module registers every query."""
 
-from chatloom.plans import q_labels, q_prepare, q_sources, q_texts  # noqa: F401
+from chatloom.plans import (  # noqa: F401
+    q_balance, q_contracts, q_labels, q_preference, q_prepare, q_serving, q_sources, q_synthesis, q_texts,
+)
 from chatloom.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -61,19 +61,31 @@ def running_total(
     return joined.withColumn(out, F.col("_base") + F.sum("_value").over(inside)).drop("_bucket", "_value", "_base")
 
 
-def first_by(df: DataFrame, keys: Sequence[Column], order: Sequence[Column | str]) -> DataFrame:
+def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key: the first in ``order``.
 
     ``row_number() = 1`` lets Spark drop the losers inside each map task before the shuffle,
     so a key shared by a third of the rows sends one row per task.
     """
-    named = df
-    names = []
-    for i, key in enumerate(keys):
-        names.append(f"_key{i}")
-        named = named.withColumn(f"_key{i}", key)
-    window = Window.partitionBy(*names).orderBy(*order)
-    return named.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn", *names)
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
+
+
+def salted_lookup(rows: DataFrame, facts: DataFrame, key: str, weight: str, hot: int = 100_000, salts: int = 64) -> DataFrame:
+    """``rows`` joined to ``facts`` (one line per ``key``), with hot keys spread out.
+
+    ``facts[weight]`` says how many rows share the key. A key above ``hot`` is repeated under
+    ``salts`` salts on the small side, and its rows pick one of them by their own hash, so
+    no task receives a whole hot key.
+    """
+    wide = F.when(F.col(weight) > hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    spread = facts.withColumn("_salt", F.explode(wide))
+    hot_keys = facts.filter(F.col(weight) > hot).select(key, F.lit(True).alias("_hot"))
+    # at most total_rows / hot keys can be hot, so this side stays small by construction
+    marked = rows.join(F.broadcast(hot_keys), key, "left")
+    own = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns if c != key]), F.lit(salts)).cast("int")
+    salted = marked.withColumn("_salt", F.when(F.col("_hot"), own).otherwise(0)).drop("_hot")
+    return salted.join(spread, [key, "_salt"]).drop("_salt")
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:

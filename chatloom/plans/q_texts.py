@@ -10,11 +10,10 @@ from chatloom.plans import views as V
 from chatloom.plans.registry import query, table
 
 PUNCT = r"""'!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~'"""
-_DELETE = f"translate(lower(coalesce({{0}}, '')), {PUNCT}, '')"
-
 
 def sql_clean(c: str) -> str:
-    return f"trim(regexp_replace({_DELETE.format(c)}, '\\s+', ' ', 'g'))"
+    kept = f"translate(lower(coalesce({c}, '')), {PUNCT}, '')"
+    return f"trim(regexp_replace({kept}, '\\s+', ' ', 'g'))"
 
 
 def sql_words(clean: str) -> str:
