@@ -132,32 +132,43 @@ ELO_SCALE = 400 * math.log10(math.e)
 
 
 def bradley_terry(
-    matrix: DataFrame, iterations: int = 40, pseudo: float = 0.5, tolerance: float = 0.0, per_checkpoint: int = 5
+    matrix: DataFrame, iterations: int = 40, pseudo: float = 0.5, tolerance: float = 0.0, per_checkpoint: int = 10
 ) -> DataFrame:
     """Maximum-likelihood strengths from a win matrix: ``model, theta, elo, step``.
 
     Minorise-maximise updates p_i = W_i / sum_j n_ij / (p_i + p_j) on the aggregated matrix. A
     tie is half a win for each side, and every pair that met gets ``pseudo`` extra wins both
     ways, so undefeated models stay finite. The gauge is mean theta 0 (Elo mean 1200). ``step``
-    is the model's last relative change. The verdicts are read once; iterations only touch
-    the model-by-model table, whose plan is cut every few rounds.
+    is the model's last relative change.
+
+    The verdicts are read once; iterations only touch one line per model. In an update each
+    model sends its strength to its opponents, so the table enters the plan once per round
+    (joining it with itself would double the plan every time), and the plan is cut every few
+    rounds.
     """
-    games = cut_lineage(matrix.select(
-        "model", "opponent", (F.col("wins") + F.col("ties") / 2 + F.lit(pseudo)).alias("w"),
-        (F.col("wins") + F.col("losses") + F.col("ties") + F.lit(2 * pseudo)).alias("n"),
-    ))
-    ratings = games.groupBy("model").agg(F.sum("w").alias("won")).withColumn("p", F.lit(1.0)).withColumn("step", F.lit(None).cast("double"))
+    share = F.struct(F.col("opponent"), (F.col("wins") + F.col("losses") + F.col("ties") + F.lit(2 * pseudo)).alias("n"))
+    state = cut_lineage(matrix.groupBy("model").agg(
+        F.sum(F.col("wins") + F.col("ties") / 2 + F.lit(pseudo)).alias("won"), F.collect_list(share).alias("games")
+    ).withColumn("p", F.lit(1.0)).withColumn("step", F.lit(None).cast("double")))
+    kept = F.struct(F.col("won"), F.col("games"), F.col("p"))
+
     for done in range(1, iterations + 1):
-        mine, theirs = ratings.select("model", "won", "p"), ratings.select(F.col("model").alias("opponent"), F.col("p").alias("q"))
-        paired = games.join(mine, "model").join(theirs, "opponent")
-        ratings = paired.groupBy("model", "won", F.col("p").alias("_old")).agg(F.sum(F.col("n") / (F.col("p") + F.col("q"))).alias("_d"))
-        fresh = F.col("won") / F.col("_d")
-        ratings = ratings.select("model", "won", fresh.alias("p"), (F.abs(fresh - F.col("_old")) / F.col("_old")).alias("step"))
+        to_self = F.struct(F.col("model").alias("to"), kept.alias("own"), F.lit(None).cast("struct<n:double,q:double>").alias("sent"))
+        nothing = F.when(F.lit(False), kept)
+        to_others = F.transform("games", lambda g: F.struct(
+            g["opponent"].alias("to"), nothing.alias("own"), F.struct(g["n"].alias("n"), F.col("p").alias("q")).alias("sent")
+        ))
+        mail = state.select(F.explode(F.concat(F.array(to_self), to_others)).alias("m")).select("m.*")
+        inbox = mail.groupBy(F.col("to").alias("model")).agg(F.first("own", ignorenulls=True).alias("own"), F.collect_list("sent").alias("sent"))
+        load = F.aggregate("sent", F.lit(0.0), lambda acc, x: acc + x["n"] / (F.col("own.p") + x["q"]))
+        fresh = F.col("own.won") / load
+        state = inbox.select("model", F.col("own.won").alias("won"), F.col("own.games").alias("games"), F.col("own.p").alias("_old"), fresh.alias("p"))
+        state = state.withColumn("step", F.abs(F.col("p") - F.col("_old")) / F.col("_old")).drop("_old")
         if done % per_checkpoint == 0 or done == iterations:
-            ratings = cut_lineage(ratings)
-            if tolerance and ratings.agg(F.max("step")).first()[0] < tolerance:
+            state = cut_lineage(state)
+            if tolerance and state.agg(F.max("step")).first()[0] < tolerance:
                 break
-    logs = ratings.select("model", F.log("p").alias("_t"), "step")
+    logs = state.select("model", F.log("p").alias("_t"), "step")
     # one line per model: the mean is a window over the ratings, not over the verdicts
     centred = logs.withColumn("theta", F.col("_t") - F.avg("_t").over(Window.partitionBy(F.lit(0))))
     return centred.select("model", "theta", (F.lit(ELO_SCALE) * F.col("theta") + 1200).alias("elo"), "step")
