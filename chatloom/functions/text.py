@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import string
 import sys
 from collections.abc import Callable
 
@@ -12,6 +11,8 @@ from pyspark.sql import functions as F
 # Every character Python's str.strip() removes; Spark's trim() alone removes spaces only.
 WHITESPACE = "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
 _SPACES = r"(?U)[\s\x1c-\x1f]+"
+# Java reads this class as the 32 ASCII marks unless (?U) is set.
+_PUNCTUATION = r"\p{Punct}+"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -30,7 +31,7 @@ def squeeze(c: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """Lower case, ASCII punctuation deleted, whitespace collapsed. Null counts as empty."""
-    return squeeze(F.translate(F.lower(F.coalesce(c, F.lit(""))), string.punctuation, ""))
+    return squeeze(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), _PUNCTUATION, ""))
 
 
 def clean_prediction(c: Column) -> Column:
@@ -65,40 +66,40 @@ def ngrams(tokens: Column, n: int, sep: str = " ") -> Column:
         return tokens
     return F.when(
         F.size(tokens) >= n,
-        F.transform(F.sequence(F.lit(1), F.size(tokens) - (n - 1)), lambda i: F.array_join(F.slice(tokens, i, n), sep)),
+        F.transform(F.sequence(F.lit(0), F.size(tokens) - n), lambda i: F.concat_ws(sep, *[F.get(tokens, i + j) for j in range(n)])),
     ).otherwise(F.array().cast("array<string>"))
 
 
-def occurrence_tags(tokens: Column) -> Column:
-    """Distinct tags, one per occurrence: the k-th repeat of a token gets its own tag.
+def repeats(tokens: Column) -> Column:
+    """Every occurrence beyond the first of its token, sorted."""
+    return let(F.sort_array(tokens), lambda s: F.filter(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1))))
 
-    Sort, find where each run of equal tokens starts, number the members of every run.
-    That is O(n log n) inside the row, so two bags can be intersected without exploding
-    them into a shuffle.
-    """
-    empty = F.array().cast("array<string>")
 
-    def number_runs(s: Column) -> Column:
-        starts = F.filter(
-            F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))
-        )
-        return let(starts, lambda st: F.flatten(F.transform(st, lambda p, j: number_run(s, st, p, j))))
+def numbered(sorted_tokens: Column) -> Column:
+    """Distinct tags for a sorted bag: the k-th repeat of a token gets its own tag.
 
+    Finds where each run of equal tokens starts and numbers the members of the run, so it is
+    linear in the length of the bag.
+    """
     def number_run(s: Column, st: Column, p: Column, j: Column) -> Column:
         length = F.coalesce(F.get(st, j + 1), F.size(s)) - p
-        return F.when(length == 1, F.array(F.get(s, p))).otherwise(
-            F.transform(
-                F.sequence(F.lit(1), length),
-                lambda k: F.when(k == 1, F.get(s, p)).otherwise(F.concat(F.get(s, p), F.lit(" "), k.cast("string"))),
-            )
-        )
+        return F.transform(F.sequence(F.lit(1), length), lambda k: F.concat(F.get(s, p), F.lit(" "), k.cast("string")))
 
-    return F.when(F.size(tokens) == 0, empty).otherwise(let(F.sort_array(tokens), number_runs))
+    def number_runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return let(starts, lambda st: F.flatten(F.transform(st, lambda p, j: number_run(s, st, p, j))))
+
+    return F.when(F.size(sorted_tokens) == 0, F.array().cast("array<string>")).otherwise(number_runs(sorted_tokens))
 
 
 def bag_overlap(a: Column, b: Column) -> Column:
-    """Size of the multiset intersection: sum over tokens of the smaller count."""
-    return F.size(F.array_intersect(occurrence_tags(a), occurrence_tags(b)))
+    """Size of the multiset intersection: sum over tokens of the smaller count.
+
+    Common tokens count once, plus the overlap of the repeats on both sides. That is
+    O(n log n) inside the row, so two bags meet without exploding them into a shuffle.
+    """
+    extra = F.size(F.array_intersect(let(repeats(a), numbered), let(repeats(b), numbered)))
+    return set_overlap(a, b) + extra
 
 
 def set_overlap(a: Column, b: Column) -> Column:

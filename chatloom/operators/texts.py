@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import (
-    ascii_words, bag_overlap, clean_text, clean_words, f1, ngrams, occurrence_tags, set_overlap, strip,
+    ascii_words, bag_overlap, clean_text, clean_words, f1, ngrams, set_overlap, strip,
 )
 
 
@@ -155,13 +155,10 @@ def corpus_bleu(df: DataFrame, prediction: str = "prediction", reference: str =
     sums = [F.sum(F.size("_p").cast("bigint")).alias("p_len"), F.sum(F.size("_r").cast("bigint")).alias("r_len")]
     grams = both.select("_p", "_r", *[ngrams(F.col(s), n).alias(f"{s}{n}") for n in range(2, max_n + 1) for s in ("_p", "_r")])
     grams = grams.withColumn("_p1", F.col("_p")).withColumn("_r1", F.col("_r"))
-    tagged = grams.select(
-        "_p", "_r", *[occurrence_tags(F.col(f"{s}{n}")).alias(f"{s}{n}") for n in range(1, max_n + 1) for s in ("_p", "_r")]
-    )
     for n in range(1, max_n + 1):
-        sums.append(F.sum(set_overlap(F.col(f"_p{n}"), F.col(f"_r{n}")).cast("bigint")).alias(f"match_{n}"))
+        sums.append(F.sum(bag_overlap(F.col(f"_p{n}"), F.col(f"_r{n}")).cast("bigint")).alias(f"match_{n}"))
         sums.append(F.sum(F.size(f"_p{n}").cast("bigint")).alias(f"total_{n}"))
-    totals = tagged.agg(*sums)
+    totals = grams.agg(*sums)
     logs = sum((F.log(F.try_divide(F.col(f"match_{n}"), F.col(f"total_{n}"))) for n in range(1, max_n + 1)), F.lit(0.0))
     any_zero = F.least(*[F.col(f"match_{n}") for n in range(1, max_n + 1)]) == 0
     brevity = F.when(F.col("p_len") > F.col("r_len"), 1.0).otherwise(F.exp(1 - F.try_divide(F.col("r_len"), F.col("p_len"))))

@@ -91,3 +91,12 @@ def salted_lookup(rows: DataFrame, facts: DataFrame, key: str, weight: str, hot:
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Broadcast hint only when a bounded count proves the side small; otherwise unchanged."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan with fewer splits than task slots over all slots, for CPU-heavy work.
+
+    Inputs that already have enough splits (any large table) pass through untouched.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots, *keys) if df.rdd.getNumPartitions() < slots else df

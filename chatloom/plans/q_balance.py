@@ -7,25 +7,25 @@ from pyspark.sql import functions as F
 from chatloom.operators import balance as B
 from chatloom.operators import dedup as D
 from chatloom.plans.q_texts import sql_clean
-from chatloom.plans.registry import query, sql_seeded, table
+from chatloom.plans.registry import query, sql_seeded, table, texts
 
 
 @query("dedup_first", """
 SELECT doc_id, text, lang, source FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""")
 def dedup_first(spark, sf_dir):
-    return D.dedup_first(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "text", ["doc_id"])
+    return D.dedup_first(texts(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"), "text", ["doc_id"])
 
 
 @query("dedup_normalised", f"""
 SELECT doc_id, text FROM documents QUALIFY row_number() OVER (PARTITION BY {sql_clean('text')} ORDER BY doc_id) = 1""")
 def dedup_normalised(spark, sf_dir):
-    return D.dedup_normalised(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", ["doc_id"])
+    return D.dedup_normalised(texts(spark, sf_dir, "documents", "doc_id", "text"), "text", ["doc_id"])
 
 
 @query("near_dup_structure")
 def near_dup_structure(spark, sf_dir):
     """No SQL twin: first-wins rejection is a sequential rule; checked against brute force in the tests."""
-    return D.near_dups(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    return D.near_dups(texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
 
 
 @query("label_distribution", """

@@ -9,7 +9,7 @@ from chatloom.operators import prepare as P
 from chatloom.operators import privacy as R
 from chatloom.plans import views as V
 from chatloom.plans.q_texts import sql_clean, sql_words
-from chatloom.plans.registry import query, table
+from chatloom.plans.registry import query, table, texts
 
 
 def flat(df):
@@ -93,7 +93,7 @@ _NAMES = ["Than", "Ther", "Lich", "Die"]
 
 @query("redact_pii", f"SELECT doc_id, {sql_redact('text', _NAMES)} AS redacted FROM documents")
 def redact_pii(spark, sf_dir):
-    return R.redact_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", _NAMES).select("doc_id", "redacted")
+    return R.redact_pii(texts(spark, sf_dir, "documents", "doc_id", "text"), "text", _NAMES).select("doc_id", "redacted")
 
 
 _LEFT = [f"CAST(len(regexp_extract_all(answer, '{p}')) AS INTEGER) AS {t.lower()}_left" for t, p in R.PII_PATTERNS]
@@ -104,7 +104,7 @@ l AS (SELECT doc_id, {", ".join(_LEFT)}, {sql_redact('text')} <> answer AS alter
 SELECT doc_id, email_left, ssn_left, card_left, phone_left, email_left + ssn_left + card_left + phone_left > 0 AS leaks, altered FROM l""")
 def pii_leaks(spark, sf_dir):
     """Answers with faults: every third one is not redacted, some of the others gain a character."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     clean = R.redact(F.col("text"))
     answer = F.when(F.col("doc_id") % 3 == 0, F.col("text")).when(F.col("doc_id") % 7 == 0, F.concat(clean, F.lit("!"))).otherwise(clean)
     return R.pii_leaks(docs.withColumn("answer", answer), "text", "answer").drop("text", "answer")
@@ -131,5 +131,5 @@ bg AS (SELECT DISTINCT item_id, g FROM (SELECT item_id, string_agg(w, ' ') OVER
 s AS (SELECT doc_id, item_id, count(*) AS shared FROM dg JOIN bg USING (g) GROUP BY ALL)
 SELECT s.doc_id, s.item_id, shared, contains(' ' || d.t || ' ', ' ' || b.t || ' ') AS verbatim FROM s JOIN d USING (doc_id) JOIN b USING (item_id)""")
 def contamination(spark, sf_dir):
-    docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    docs, bench = texts(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark")
     return R.contamination(docs, bench, "doc_id", "item_id")

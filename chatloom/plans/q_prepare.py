@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from chatloom.operators import prepare as P
 from chatloom.plans import views as V
-from chatloom.plans.registry import query, table
+from chatloom.plans.registry import query, table, texts
 
 _WORDS = r"list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')"
 
@@ -66,7 +66,7 @@ def select_train_field(spark, sf_dir):
 SELECT doc_id, 'Instruct: Classify the sentiment.' || chr(10) || 'Input: ' || text || chr(10) || 'Output: ' || quality::VARCHAR AS sample
 FROM documents JOIN labels USING (doc_id)""")
 def format_instruct(spark, sf_dir):
-    joined = table(spark, sf_dir, "documents").select("doc_id", "text").join(table(spark, sf_dir, "labels"), "doc_id")
+    joined = texts(spark, sf_dir, "documents", "doc_id", "text").join(table(spark, sf_dir, "labels"), "doc_id")
     return joined.select("doc_id", P.format_instruct(F.col("text"), F.col("quality")).alias("sample"))
 
 
@@ -74,7 +74,7 @@ def format_instruct(spark, sf_dir):
 SELECT doc_id, 'Review: ' || text || chr(10) || 'Sentiment: ' || CASE WHEN quality = 1 THEN 'Positive' ELSE 'Negative' END AS sample
 FROM documents JOIN labels USING (doc_id)""")
 def format_review(spark, sf_dir):
-    joined = table(spark, sf_dir, "documents").select("doc_id", "text").join(table(spark, sf_dir, "labels"), "doc_id")
+    joined = texts(spark, sf_dir, "documents", "doc_id", "text").join(table(spark, sf_dir, "labels"), "doc_id")
     return joined.select("doc_id", P.format_review(F.col("text"), F.col("quality")).alias("sample"))
 
 
@@ -82,7 +82,7 @@ def format_review(spark, sf_dir):
 SELECT doc_id, CAST(len(w) AS INTEGER) AS n_tokens, w[1] AS first_token, w[-1] AS last_token, array_to_string(w, ' ') AS joined
 FROM (SELECT doc_id, {_WORDS} AS w FROM documents)""")
 def tokenize_rows(spark, sf_dir):
-    rows = P.tokenize_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    rows = P.tokenize_rows(texts(spark, sf_dir, "documents", "doc_id", "text"), "text")
     return rows.select(
         "doc_id", "n_tokens", F.get("tokens", F.lit(0)).alias("first_token"),
         F.try_element_at("tokens", F.lit(-1)).alias("last_token"), F.array_join("tokens", " ").alias("joined"),
@@ -94,7 +94,7 @@ SELECT doc_id, CAST(least(len(w), 512) AS INTEGER) AS n_tokens, CAST(greatest(le
        array_to_string(w[1:512], ' ') AS kept
 FROM (SELECT doc_id, {_WORDS} AS w FROM documents)""")
 def truncate_tokens(spark, sf_dir):
-    rows = P.tokenize_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    rows = P.tokenize_rows(texts(spark, sf_dir, "documents", "doc_id", "text"), "text")
     cut = P.truncate_tokens(rows, 512)
     return cut.select("doc_id", "n_tokens", "n_cut", "was_cut", F.array_join("tokens", " ").alias("kept"))
 
@@ -107,7 +107,7 @@ SELECT lang, count(*) AS n_rows, min(n) AS min_len, round(avg(n), 4) AS mean_len
   max(n) AS max_len, round(avg(CASE WHEN n > 1024 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 4) AS cut_share
 FROM r GROUP BY lang""")
 def length_report(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("lang", F.size(P.words(F.col("text"))).alias("n_tokens"))
+    rows = texts(spark, sf_dir, "documents", "doc_id", "lang", "text").select("lang", F.size(P.words(F.col("text"))).alias("n_tokens"))
     return P.length_report(rows, ["lang"])
 
 
@@ -143,7 +143,7 @@ p AS (SELECT source, tok, row_number() OVER (PARTITION BY source ORDER BY doc_id
 SELECT source, o // 1024 AS block, CAST(count(*) AS INTEGER) AS n_tokens, string_agg(tok, ' ' ORDER BY o) AS packed
 FROM p GROUP BY 1, 2""")
 def pack_sequences(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", "source", P.words(F.col("text")).alias("tokens"))
+    rows = texts(spark, sf_dir, "documents", "doc_id", "source", "text").select("doc_id", "source", P.words(F.col("text")).alias("tokens"))
     packed = P.pack_sequences(rows, "doc_id", 1024, ["source"])
     return packed.select("source", "block", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("packed"))
 
@@ -153,5 +153,5 @@ WITH t AS (SELECT doc_id, len({_WORDS}) AS n_tokens, row_number() OVER (ORDER BY
 b AS (SELECT *, r // 4 AS micro_batch, max(n_tokens) OVER (PARTITION BY r // 4) AS pad_to FROM t)
 SELECT doc_id, micro_batch, micro_batch // 4 AS step, n_tokens, pad_to, pad_to - n_tokens AS padding FROM b""")
 def batch_plan(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.size(P.words(F.col("text"))).alias("n_tokens"))
+    rows = texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.size(P.words(F.col("text"))).alias("n_tokens"))
     return P.batch_plan(rows, "doc_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from chatloom.functions.text import clean_prediction, clean_text
 from chatloom.operators import texts as X
 from chatloom.plans import views as V
-from chatloom.plans.registry import query, table
+from chatloom.plans.registry import query, table, texts
 
 PUNCT = r"""'!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~'"""
 
@@ -55,7 +55,7 @@ def rounded(df):
 
 @query("clean_text", f"SELECT doc_id, {sql_clean('text')} AS cleaned FROM documents")
 def q_clean_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", clean_text(F.col("text")).alias("cleaned"))
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", clean_text(F.col("text")).alias("cleaned"))
 
 
 @query("clean_prediction", """

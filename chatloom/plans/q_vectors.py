@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chatloom.operators import vectors as Q
-from chatloom.plans.registry import query, table
+from chatloom.plans.registry import query, table, texts
 
 _V = "list_transform(embedding, lambda x: x::DOUBLE)"
 
 
 def vectors(spark, sf_dir):
-    return table(spark, sf_dir, "embeddings")
+    return texts(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
 
 
 @query("calibrate_range", f"""

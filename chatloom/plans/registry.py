@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chatloom.plans.positions import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -28,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, key: str, *cols: str) -> DataFrame:
+    """A table read for CPU-heavy work: only the named columns, spread over all task slots."""
+    return spread(table(spark, sf_dir, name).select(key, *cols), key)
+
+
 def sql_draw(text: str) -> str:
     """DuckDB twin of :func:`chatloom.functions.seeded.digest32`."""
     return f"(('0x' || substr(md5({text}), 1, 8))::BIGINT)"

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.functions.seeded import digest32
-from chatloom.plans.registry import sql_draw, table
+from chatloom.plans.registry import sql_draw, table, texts
 
 H = sql_draw
 
@@ -46,7 +46,7 @@ EDIT_PAIRS = """edit_pairs AS (
 
 def edit_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document against a copy whose every fifth word is overwritten."""
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     edited = F.transform(F.split("text", " "), lambda w, i: F.when(i % 5 == 2, F.lit("Zz")).otherwise(w))
     return docs.select(F.col("doc_id").alias("id"), F.array_join(edited, " ").alias("prediction"), F.col("text").alias("reference"))
 
