@@ -62,7 +62,9 @@ def swap_outcomes(df: DataFrame) -> DataFrame:
 def swap_geometric(outcomes: DataFrame) -> DataFrame:
     """Geometric means of the two win probabilities, and who has the larger one."""
     scored = outcomes.withColumn("g_a", F.sqrt(F.col("p1") * F.col("p2"))).withColumn("g_b", F.sqrt((1 - F.col("p1")) * (1 - F.col("p2"))))
-    return scored.withColumn("geo_outcome", F.when(F.col("g_a") > F.col("g_b"), "a").when(F.col("g_a") < F.col("g_b"), "b").otherwise("tie"))
+    # p1 p2 > (1-p1)(1-p2) reduces to p1 + p2 > 1, which keeps exact ties exact
+    total = F.col("p1") + F.col("p2")
+    return scored.withColumn("geo_outcome", F.when(total > 1, "a").when(total < 1, "b").when(total == 1, "tie"))
 
 
 def position_bias(df: DataFrame, outcomes: DataFrame) -> DataFrame:

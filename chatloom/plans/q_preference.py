@@ -45,8 +45,8 @@ def swap_consistent_wins(spark, sf_dir):
     return outcomes(spark, sf_dir).select("item", "a", "b", "outcome")
 
 
-@query("swap_geometric", f"""WITH {_OUT}, g AS (SELECT item, sqrt(p1 * p2) AS ga, sqrt((1 - p1) * (1 - p2)) AS gb FROM met)
-SELECT item, round(ga, 4) AS g_a, round(gb, 4) AS g_b, CASE WHEN ga > gb THEN 'a' WHEN ga < gb THEN 'b' ELSE 'tie' END AS geo_outcome FROM g""")
+@query("swap_geometric", f"""WITH {_OUT}, g AS (SELECT item, sqrt(p1 * p2) AS ga, sqrt((1 - p1) * (1 - p2)) AS gb, p1 + p2 AS t FROM met)
+SELECT item, round(ga, 4) AS g_a, round(gb, 4) AS g_b, CASE WHEN t > 1 THEN 'a' WHEN t < 1 THEN 'b' ELSE 'tie' END AS geo_outcome FROM g""")
 def swap_geometric(spark, sf_dir):
     scored = P.swap_geometric(outcomes(spark, sf_dir))
     return scored.select("item", F.round("g_a", 4).alias("g_a"), F.round("g_b", 4).alias("g_b"), "geo_outcome")

@@ -51,11 +51,17 @@ def stream_usage(log: DataFrame, window: str, slide: str | None = None, lateness
 
 
 def stream_sessions(log: DataFrame, gap: str, lateness: str = "1 hour", client: str = "client") -> DataFrame:
-    """Client sessions closed by ``gap`` of silence: requests and errors per session."""
+    """Client sessions closed by ``gap`` of silence: requests and errors per session.
+
+    Start and end come from aggregates, not from the window column: Spark moves a filter on
+    the window column below the merging of sessions, which would cut sessions short.
+    """
     framed = log.withWatermark("ts", lateness) if log.isStreaming else log
-    errors = F.sum((F.col("status") != 200).cast("bigint")).alias("errors")
-    sessions = framed.groupBy(F.session_window("ts", gap).alias("w"), client).agg(F.count(F.lit(1)).alias("requests"), errors)
-    return sessions.select(client, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "requests", "errors")
+    sessions = framed.groupBy(F.session_window("ts", gap), client).agg(
+        F.min("ts").alias("session_start"), (F.max("ts") + F.expr(f"INTERVAL {gap}")).alias("session_end"),
+        F.count(F.lit(1)).alias("requests"), F.sum((F.col("status") != 200).cast("bigint")).alias("errors"),
+    )
+    return sessions.select(client, "session_start", "session_end", "requests", "errors")
 
 
 def drain(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
