@@ -18,9 +18,14 @@ def label_distribution(df: DataFrame, label: str, labels: Sequence[str], by: Seq
     percentage.
     """
     counts = df.groupBy(*by, F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    groups = counts.select(*by).distinct() if by else df.sparkSession.range(1).select()
-    zeros = groups.select(*by, F.explode(F.array(*[F.lit(x) for x in labels])).alias("label"), F.lit(0).cast("bigint").alias("n"))
-    filled = counts.unionByName(zeros).groupBy(*by, "label").agg(F.sum("n").alias("n"))
+    # every counted line also carries a zero for each expected label of its group, so the
+    # rows are scanned once and no grid has to be joined
+    zero = F.lit(0).cast("bigint")
+    empty = [F.struct(F.lit(x).alias("label"), zero.alias("n")) for x in labels]
+    lines = counts.select(*by, F.explode(F.array(F.struct("label", "n"), *empty)).alias("l")).select(*by, "l.label", "l.n")
+    if not by:
+        lines = lines.unionByName(df.sparkSession.range(1).select(F.explode(F.array(*empty)).alias("l")).select("l.*"))
+    filled = lines.groupBy(*by, "label").agg(F.sum("n").alias("n"))
     total = F.sum("n").over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0)))
     return filled.withColumn("pct", F.round(F.try_divide(100.0 * F.col("n"), total), 1))
 
@@ -62,5 +67,7 @@ def quota_sample(df: DataFrame, stratum: str, targets: Mapping[str, int], seed:
 
 def mix_cube(df: DataFrame, dims: Sequence[str]) -> DataFrame:
     """Counts over every combination of the dimensions with sub-totals; ``level`` tells them apart."""
-    return df.cube(*dims).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("level"))
+    # count once per full combination; only those few lines are expanded into the sub-totals
+    cells = df.groupBy(*dims).agg(F.count(F.lit(1)).alias("_n"))
+    return cells.cube(*dims).agg(F.sum("_n").alias("n"), F.grouping_id().alias("level"))
 

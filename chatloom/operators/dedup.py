@@ -66,17 +66,18 @@ def near_dups(
     until nothing is undecided leaves no pair unexamined. Rows with identical shingle sets
     are folded into one beforehand.
     """
-    sets = df.select(F.col(id_col).alias("id"), shingle_set(F.col(text), k).alias("s"))
-    keyed = cut_lineage(sets.withColumn("key", F.concat_ws(":", F.xxhash64("s"), F.xxhash64(F.lit(1), "s"), F.size("s"))))
-    # the shingles are a function of the key, so any copy will do
-    distinct = keyed.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    copies = salted_lookup(keyed.select("id", "key"), distinct, "key", "n").select("id", "rep")
-    rep_sets = cut_lineage(keyed.join(distinct.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "s"))
-
-    signed = rep_sets.select("id", F.explode(F.array_distinct(minhash_bands(F.col("s"), bands, rows))).alias("band"))
-    undecided = _shared_bands(cut_lineage(signed))
+    texts = df.select(F.col(id_col).alias("id"), F.col(text).alias("t"))
+    # one pass over the texts leaves a short line per row: set identity and band keys
+    sets = texts.select("id", shingle_set(F.col("t"), k).alias("s"))
+    identity = F.concat_ws(":", F.xxhash64("s"), F.xxhash64(F.lit(1), "s"), F.size("s"))
+    signed = cut_lineage(sets.select("id", identity.alias("key"), F.array_distinct(minhash_bands(F.col("s"), bands, rows)).alias("bands")))
+    distinct = signed.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
+    copies = salted_lookup(signed.select("id", "key"), distinct, "key", "n").select("id", "rep")
+    index = signed.join(distinct.select(F.col("rep").alias("id")), "id", "left_semi").select("id", F.explode("bands").alias("band"))
+    undecided = cut_lineage(_shared_bands(index))
+    # shingles are kept only for rows that share a band with another one
+    rep_sets = cut_lineage(texts.join(undecided.select("id").distinct(), "id", "left_semi").select("id", shingle_set(F.col("t"), k).alias("s")))
     verdicts: list[DataFrame] = []
-    undecided = cut_lineage(undecided)
     while not undecided.isEmpty():
         heads = undecided.groupBy("band").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n"))
         linked = cut_lineage(salted_lookup(undecided, heads, "band", "n").select("id", "head"))

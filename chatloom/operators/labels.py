@@ -42,7 +42,12 @@ def label_accuracy(df: DataFrame, predicted: str = "predicted", expected: str =
 
 def accuracy_by(df: DataFrame, cols: Sequence[str], predicted: str = "predicted", expected: str = "expected") -> DataFrame:
     """Accuracy per category with sub-totals and the grand total (null keys)."""
-    return _hits(df, cols, predicted, expected).rollup(*cols).agg(*_accuracy())
+    # only one line per category is expanded into the sub-totals
+    per_cell = _hits(df, cols, predicted, expected).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"), F.sum("_hit").alias("_c"))
+    return per_cell.rollup(*cols).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.coalesce(F.sum("_c"), F.lit(0)).alias("correct"),
+        F.round(F.try_divide(F.sum("_c").cast("double"), F.sum("_n")) * 100, 1).alias("accuracy_pct"),
+    )
 
 
 def verdict(correct: Column, total: Column) -> Column:
@@ -83,21 +88,25 @@ def class_metrics(df: DataFrame, labels: Sequence[str], predicted: str = "predic
         total(is_actual & is_said).alias("tp"), total(~is_actual & is_said).alias("fp"),
         total(is_actual & ~is_said).alias("fn"), total(~is_actual & ~is_said).alias("tn"),
     )
-    summed = counts.agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")]).withColumn("label", F.lit("micro"))
 
     def ratio(a: Column, b: Column) -> Column:
         return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
-    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    rated = counts.unionByName(summed).select(
-        "label", "tp", "fp", "fn", "tn", ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"),
-        ratio(tp, tp + fp).alias("precision"), ratio(tp, tp + fn).alias("recall"), ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
-    )
-    means = [F.avg(c).alias(c) for c in ("accuracy", "precision", "recall", "f1")]
-    none = [F.lit(None).cast("bigint").alias(c) for c in ("tp", "fp", "fn", "tn")]
-    macro = rated.filter("label <> 'micro'").agg(*means).select(F.lit("macro").alias("label"), *none, "accuracy", "precision", "recall", "f1")
-    rounded = [F.round(c, 4).alias(c) for c in ("accuracy", "precision", "recall", "f1")]
-    return rated.unionByName(macro).select("label", "tp", "fp", "fn", "tn", *rounded)
+    def rates(df: DataFrame) -> DataFrame:
+        tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+        return df.withColumns({
+            "accuracy": ratio(tp + tn, tp + fp + fn + tn), "precision": ratio(tp, tp + fp), "recall": ratio(tp, tp + fn), "f1": ratio(2 * tp, 2 * tp + fp + fn),
+        })
+
+    # one roll-up gives the classes and, in its total line, both the summed counts and the mean rates
+    names = ("accuracy", "precision", "recall", "f1")
+    rolled = rates(counts).rollup("label").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")], *[F.avg(n).alias(f"mean_{n}") for n in names])
+    kinds = F.when(F.col("label").isNull(), F.array(F.lit("micro"), F.lit("macro"))).otherwise(F.array("label"))
+    lines = rates(rolled).withColumn("label", F.explode(kinds))
+    macro = F.col("label") == "macro"
+    shown = [F.when(~macro, F.col(c)).alias(c) for c in ("tp", "fp", "fn", "tn")]
+    rounded = [F.round(F.when(macro, F.col(f"mean_{n}")).otherwise(F.col(n)), 4).alias(n) for n in names]
+    return lines.select("label", *shown, *rounded)
 
 
 def compare_variants(df: DataFrame, key: str, model: str, answer: str, models: Sequence[str]) -> DataFrame:

@@ -46,15 +46,15 @@ def swap_outcomes(df: DataFrame) -> DataFrame:
     aggregate replaces the self-join: each order is read once and combined on the map side.
     """
     in_a, in_b = F.col("first_slot") == "a", F.col("first_slot") == "b"
+    # verdicts as small numbers keep the aggregation hash-based
+    said = F.when(F.col("winner") == F.col("a"), 1).when(F.col("winner") == F.col("b"), -1).when(F.col("winner").isNotNull(), 0)
     met = df.groupBy("item", "a", "b").agg(
-        F.max(F.when(in_a, F.col("winner"))).alias("w1"), F.max(F.when(in_b, F.col("winner"))).alias("w2"),
+        F.max(F.when(in_a, said)).alias("w1"), F.max(F.when(in_b, said)).alias("w2"),
         F.max(F.when(in_a, F.col("p_a"))).alias("p1"), F.max(F.when(in_b, F.col("p_a"))).alias("p2"),
     )
     outcome = (
         F.when(F.col("w1").isNull() | F.col("w2").isNull(), "incomplete")
-        .when((F.col("w1") == F.col("a")) & (F.col("w2") == F.col("a")), "a")
-        .when((F.col("w1") == F.col("b")) & (F.col("w2") == F.col("b")), "b")
-        .otherwise("tie")
+        .when(F.col("w1") + F.col("w2") == 2, "a").when(F.col("w1") + F.col("w2") == -2, "b").otherwise("tie")
     )
     return met.withColumn("outcome", outcome)
 
@@ -67,14 +67,21 @@ def swap_geometric(outcomes: DataFrame) -> DataFrame:
     return scored.withColumn("geo_outcome", F.when(total > 1, "a").when(total < 1, "b").when(total == 1, "tie"))
 
 
-def position_bias(df: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Win rate of the first slot over decided verdicts; share of meetings whose verdict flips on swap."""
-    first = F.when(F.col("first_slot") == "a", F.col("a")).otherwise(F.col("b"))
-    won = df.filter("winner <> 'tie'").agg(F.count(F.lit(1)).alias("decided"), F.round(F.avg((F.col("winner") == first).cast("double")), 4).alias("first_slot_win_rate"))
-    full = outcomes.filter("outcome <> 'incomplete'")
-    flips = full.agg(F.count(F.lit(1)).alias("meetings"), F.round(F.avg((F.col("w1") != F.col("w2")).cast("double")), 4).alias("flip_rate"))
-    both = won.withColumn("_one", F.lit(1)).join(flips.withColumn("_one", F.lit(1)), "_one")
-    return both.drop("_one")
+def position_bias(outcomes: DataFrame) -> DataFrame:
+    """Win rate of the first slot over decided verdicts; share of meetings whose verdict flips on swap.
+
+    ``w1`` is the verdict with ``a`` first, ``w2`` the one with ``b`` first (1 = a, -1 = b, 0 = tie).
+    """
+    def total(cond: Column) -> Column:
+        return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
+
+    decided = total(F.col("w1") != 0) + total(F.col("w2") != 0)
+    first_won = total(F.col("w1") == 1) + total(F.col("w2") == -1)
+    both = F.col("outcome") != "incomplete"
+    return outcomes.agg(
+        decided.alias("decided"), F.round(F.try_divide(first_won.cast("double"), decided), 4).alias("first_slot_win_rate"),
+        total(both).alias("meetings"), F.round(F.try_divide(total(both & (F.col("w1") != F.col("w2"))).cast("double"), total(both)), 4).alias("flip_rate"),
+    )
 
 
 def length_bias(df: DataFrame) -> DataFrame:
@@ -187,11 +194,13 @@ def metric_grid(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
     ranked = cells
     for m in metrics:
         ranked = ranked.withColumn(f"_win_{m}", F.percent_rank().over(Window.partitionBy("scenario").orderBy(m)))
-    whole = ranked.groupBy("model").agg(
-        *[F.round(F.avg(m), 4).alias(m) for m in metrics], *[F.round(F.avg(f"_win_{m}"), 4).alias(f"win_rate_{m}") for m in metrics]
-    ).withColumn("scenario", F.lit("all"))
-    detail = ranked.select("model", "scenario", *[F.round(m, 4).alias(m) for m in metrics], *[F.round(f"_win_{m}", 4).alias(f"win_rate_{m}") for m in metrics])
-    return detail.unionByName(whole)
+    # each cell is one line, so the roll-up returns the cells themselves plus the model means
+    rolled = ranked.rollup("model", "scenario").agg(
+        *[F.round(F.avg(m), 4).alias(m) for m in metrics], *[F.round(F.avg(f"_win_{m}"), 4).alias(f"win_rate_{m}") for m in metrics],
+        F.grouping_id().alias("_level"),
+    )
+    named = rolled.filter("_level < 2").withColumn("scenario", F.when(F.col("_level") == 1, "all").otherwise(F.col("scenario")))
+    return named.drop("_level")
 
 
 def calibration_bins(df: DataFrame, conf: str = "conf", correct: str = "correct", bins: int = 10) -> DataFrame:

@@ -70,34 +70,53 @@ def contamination(
 ) -> DataFrame:
     """(training row, evaluation item) pairs that overlap: ``shared`` n-grams and ``verbatim``.
 
-    Both sides are cleaned and hashed; the join is on equal n-gram hashes, with the
-    evaluation side broadcast while a count proves it small. An item shorter than ``n`` words
-    is looked up by one gram of its own length, so every verbatim copy is a candidate.
+    Both sides are cleaned and cut into word n-grams, known by two 64-bit hashes and a
+    position. The join is on equal n-grams, with the evaluation side broadcast while a count
+    proves it small, so of the training side only matches are shuffled and no text is read
+    twice. All n-grams of an item at one and the same offset in a row mean a verbatim copy. An
+    item shorter than ``n`` words counts as one gram of its own length.
     """
-    items = bench.select(F.col(bench_id).alias("item"), clean_text(F.col(text)).alias("item_text"))
-    items = items.filter("item_text <> ''").withColumn("_w", split_words(F.col("item_text")))
+    items = bench.select(F.col(bench_id).alias("item"), clean_text(F.col(text)).alias("t")).filter("t <> ''")
+    items = items.withColumn("w", split_words(F.col("t")))
     # only items below n words need other gram sizes, so there are at most n sizes
-    sizes = sorted({r[0] for r in items.select(F.least(F.size("_w"), F.lit(n)).alias("g")).distinct().collect()})
+    sizes = sorted({r[0] for r in items.select(F.least(F.size("w"), F.lit(n)).alias("g")).distinct().collect()}) or [n]
 
-    def hashed(w: Column, g: int) -> Column:
-        return F.array_distinct(F.transform(ngrams(w, g), lambda s: F.xxhash64(F.lit(g), s)))
-
-    own = F.coalesce(*[F.when(F.least(F.size("_w"), F.lit(n)) == g, hashed(F.col("_w"), g)) for g in sizes] or [F.array().cast("array<bigint>")])
-    grams = items.select("item", F.explode(own).alias("gram"))
+    own = F.coalesce(*[F.when(F.least(F.size("w"), F.lit(n)) == g, _positioned_grams(F.col("w"), g)) for g in sizes])
+    cut = items.select("item", own.alias("grams")).withColumn("n_grams", F.size("grams"))
+    wanted = cut.select("item", "n_grams", F.explode("grams").alias("i")).select("item", "n_grams", "i.*")
+    wanted = wanted.select("item", "n_grams", "h1", "h2", F.col("pos").alias("item_pos"), F.col("fresh").alias("item_fresh"))
 
     def all_sizes(w: Column) -> Column:
-        return F.flatten(F.array(*[hashed(w, g) for g in sizes])) if sizes else F.array().cast("array<bigint>")
-
-    rows = train.select(F.col(train_id).alias("row"), clean_text(F.col(text)).alias("row_text"))
-    hits = rows.select("row", F.explode(let(let(F.col("row_text"), split_words), all_sizes)).alias("gram"))
-    hits = hits.join(broadcast_if_small(grams, max_broadcast_rows), "gram").groupBy("row", "item").agg(F.count(F.lit(1)).alias("shared"))
-    # texts only travel for candidate rows
-    texts = hits.join(broadcast_if_small(items.select("item", "item_text"), max_broadcast_rows), "item").join(rows, "row")
-    inside = F.contains(F.concat(F.lit(" "), "row_text", F.lit(" ")), F.concat(F.lit(" "), "item_text", F.lit(" ")))
-    found = texts.select(F.col("row").alias(train_id), F.col("item").alias(bench_id), "shared", inside.alias("verbatim"))
+        return F.flatten(F.array(*[_positioned_grams(w, g) for g in sizes]))
+
+    rows = train.select(F.col(train_id).alias("row"), clean_text(F.col(text)).alias("t"))
+    hits = rows.select("row", F.explode(let(let(F.col("t"), split_words), all_sizes)).alias("g")).select("row", "g.*")
+    hits = hits.join(broadcast_if_small(wanted, max_broadcast_rows), ["h1", "h2"])
+    aligned = hits.groupBy("row", "item", "n_grams", (F.col("pos") - F.col("item_pos")).alias("offset")).agg(
+        F.count(F.lit(1)).alias("in_line"), F.sum(F.when(F.col("fresh") & F.col("item_fresh"), 1).otherwise(0)).alias("shared")
+    )
+    found = aligned.groupBy(F.col("row").alias(train_id), F.col("item").alias(bench_id)).agg(
+        F.sum("shared").alias("shared"), F.max(F.col("in_line") == F.col("n_grams")).alias("verbatim")
+    )
     return found.filter(F.col("verbatim") | (F.col("shared") >= min_shared))
 
 
+def _positioned_grams(w: Column, g: int) -> Column:
+    """``h1, h2, pos, fresh`` per word g-gram; ``fresh`` marks the first occurrence in the text."""
+    def hashed(gram: Column, i: Column) -> Column:
+        return F.struct(F.xxhash64(F.lit(g), gram).alias("h1"), F.xxhash64(F.lit(-g), gram).alias("h2"), i.alias("pos"))
+
+    def mark(s: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            before = F.get(s, i - 1)
+            fresh = (i == 0) | (before["h1"] != x["h1"]) | (before["h2"] != x["h2"])
+            return F.struct(x["h1"].alias("h1"), x["h2"].alias("h2"), x["pos"].alias("pos"), fresh.alias("fresh"))
+
+        return F.transform(s, one)
+
+    return let(F.sort_array(F.transform(ngrams(w, g), hashed)), mark)
+
+
 def decontaminate(train: DataFrame, overlaps: DataFrame, train_id: str) -> DataFrame:
     """Training rows without any overlap."""
     return train.join(overlaps.select(train_id).distinct(), train_id, "left_anti")

@@ -104,12 +104,9 @@ def extract_option(output: Column) -> Column:
 def option_match(df: DataFrame, by: str = "subject", output: str = "output", gold: str = "gold") -> DataFrame:
     """Exact match on the option letter: accuracy per subject, plus the macro mean row (null subject)."""
     hit = F.coalesce(extract_option(F.col(output)) == F.col(gold), F.lit(False)).cast("int")
-    per_subject = df.select(by, hit.alias("_hit")).groupBy(by).agg(
-        F.count(F.lit(1)).alias("n_items"), F.avg("_hit").alias("accuracy")
-    )
-    totals = per_subject.agg(F.sum("n_items").alias("n_items"), F.avg("accuracy").alias("accuracy"))
-    both = per_subject.unionByName(totals.withColumn(by, F.lit(None).cast("string")))
-    return both.select(by, "n_items", F.round("accuracy", 4).alias("accuracy"))
+    per_subject = df.select(by, hit.alias("_hit")).groupBy(by).agg(F.count(F.lit(1)).alias("_n"), F.avg("_hit").alias("_acc"))
+    # rolling up the per-subject means makes the total line their macro mean
+    return per_subject.rollup(by).agg(F.sum("_n").alias("n_items"), F.round(F.avg("_acc"), 4).alias("accuracy"))
 
 
 def option_bias(df: DataFrame, output: str = "output", gold: str = "gold") -> DataFrame:

@@ -57,7 +57,7 @@ d AS (SELECT count(*) AS decided, round(avg((winner = CASE first_slot WHEN 'a' T
 f AS (SELECT count(*) AS meetings, round(avg((w1 <> w2)::INT), 4) AS flip_rate FROM met)
 SELECT * FROM d, f""")
 def position_bias(spark, sf_dir):
-    return P.position_bias(V.verdicts(spark, sf_dir), outcomes(spark, sf_dir))
+    return P.position_bias(outcomes(spark, sf_dir))
 
 
 @query("length_bias", f"""WITH {V.VERDICTS},
