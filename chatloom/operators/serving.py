@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatloom.functions.text import strip
-from chatloom.plans.positions import running_total, salted_lookup
+from chatloom.plans.positions import running_total
 from chatloom.sources.datasets import MESSAGE
 
 Model = Callable[[list[str]], Sequence[str | None]]
@@ -132,13 +132,12 @@ def health_runs(
     day buckets, so one busy service does not end up in one task.
     """
     probes = df.select(service, ts, *[o for o in order if o not in (service, ts)], failed.alias("_failed"))
-    starts = probes.groupBy(service).agg(F.min(ts).alias("_start"), F.count(F.lit(1)).alias("_n"))
-    known = salted_lookup(probes, starts, service, "_n").drop("_n")
-    grace = F.col(ts) < F.col("_start") + F.make_interval(secs=F.lit(grace_seconds))
-    live = known.withColumn("_failed", F.col("_failed") & ~grace)
     ok = F.when(F.col("_failed"), 0).otherwise(1)
-    ranked = running_total(live, ok, [service], F.date_trunc("day", F.col(ts)), order, "_run")
-    runs = ranked.filter("_failed").groupBy(service, "_run").agg(
+    day = F.date_trunc("day", F.col(ts))
+    ranked = running_total(probes, ok, [service], day, order, "_run", group_min=("_start", F.col(ts)))
+    # start-up failures come before all others, so leaving them out neither joins nor splits a later run
+    live = F.col(ts) >= F.col("_start") + F.make_interval(secs=F.lit(grace_seconds))
+    runs = ranked.filter(F.col("_failed") & live).groupBy(service, "_run").agg(
         F.count(F.lit(1)).alias("failures"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
     )
     return runs.drop("_run").withColumn("outage", F.col("failures") >= threshold)

@@ -39,20 +39,24 @@ def running_total(
     order: Sequence[str],
     out: str,
     below: Column | None = None,
+    group_min: tuple[str, Column] | None = None,
 ) -> DataFrame:
     """Add ``out``: total of ``value`` over the group's rows up to and including this one.
 
     ``below`` (a column of ``df`` constant inside a group) drops whole buckets that start
     at or above that total before the row-level window runs; rows of the last kept bucket
-    may still exceed it and are the caller's to filter.
+    may still exceed it and are the caller's to filter. ``group_min`` (name, column) adds the
+    smallest value of a column in the whole group; it rides along with the bucket totals.
     """
     keyed = df.withColumn("_bucket", bucket).withColumn("_value", value)
     keys = [*by, "_bucket"]
-    totals = keyed.groupBy(*keys).agg(F.sum("_value").alias("_sum"))
+    extra_name, extra = group_min or ("_least", F.lit(None))
+    totals = keyed.groupBy(*keys).agg(F.sum("_value").alias("_sum"), F.min(extra).alias("_min"))
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+    least = F.min("_min").over(Window.partitionBy(*by)).alias(extra_name)
+    bases = totals.select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"), *([least] if group_min else []))
     # null-safe, so rows whose group is null keep their place too
-    renamed = bases.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)], "_base")
+    renamed = bases.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)], "_base", *([extra_name] if group_min else []))
     same = [keyed[k].eqNullSafe(F.col(f"_b{i}")) for i, k in enumerate(keys)]
     joined = keyed.join(renamed, reduce(and_, same)).drop(*[f"_b{i}" for i in range(len(keys))])
     if below is not None:

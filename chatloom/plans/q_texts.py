@@ -141,34 +141,28 @@ def q_option_consistency(spark, sf_dir):
     return X.permutation_consistency(asked, "item", "letter")
 
 
-def sql_grams(clean: str, n: int) -> str:
-    w = sql_words(clean)
-    return f"list_transform(range(1, len({w}) - {n - 2}), lambda i: array_to_string(list_slice({w}, i, i + {n - 1}), ' '))"
+_TOKENS = f"""tk AS (SELECT id, {sql_words(sql_clean('prediction'))} AS p, {sql_words(sql_clean('reference'))} AS r FROM both_pairs),
+wt AS (SELECT id, 'p' AS side, unnest(p) AS tok, generate_subscripts(p, 1) AS i FROM tk UNION ALL SELECT id, 'r', unnest(r), generate_subscripts(r, 1) FROM tk)"""
 
 
-def sql_bigram_pairs(n: int) -> str:
-    return f"""w AS (SELECT id, {sql_words(sql_clean('prediction'))} AS pw, {sql_words(sql_clean('reference'))} AS rw FROM both_pairs),
-g AS (SELECT id, list_transform(range(1, len(pw) - {n - 2}), lambda i: array_to_string(list_slice(pw, i, i + {n - 1}), ' ')) AS p,
-             list_transform(range(1, len(rw) - {n - 2}), lambda i: array_to_string(list_slice(rw, i, i + {n - 1}), ' ')) AS r FROM w)"""
+def sql_gram_counts(n: int) -> str:
+    """CTE ``c{n}``: how often each n-gram occurs on either side of a pair."""
+    gram = " || ' ' || ".join(["tok"] + [f"lead(tok, {j}) OVER x" for j in range(1, n)])
+    return f"""c{n} AS (SELECT id, g, count(*) FILTER (side = 'p') AS np, count(*) FILTER (side = 'r') AS nr
+  FROM (SELECT id, side, {gram} AS g FROM wt WINDOW x AS (PARTITION BY id, side ORDER BY i)) WHERE g IS NOT NULL GROUP BY id, g)"""
 
 
-@query("rouge_n", f"WITH {_PAIRS}, {sql_bigram_pairs(2)}, {sql_overlap('p', 'r').replace('FROM both_pairs', 'FROM g').replace('np = 0 AND nr = 0', 'false')} {_ROUNDED}")
+@query("rouge_n", f"""WITH {_PAIRS}, {_TOKENS}, {sql_gram_counts(2)},
+sc AS (SELECT id, sum(least(np, nr))::DOUBLE AS o, sum(np) AS np, sum(nr) AS nr FROM c2 GROUP BY id),
+pr AS (SELECT tk.id, CASE WHEN coalesce(np, 0) = 0 OR coalesce(nr, 0) = 0 THEN 0.0::DOUBLE ELSE o / np END AS precision, CASE WHEN coalesce(np, 0) = 0 OR coalesce(nr, 0) = 0 THEN 0.0::DOUBLE ELSE o / nr END AS recall FROM tk LEFT JOIN sc USING (id)),
+fs AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0::DOUBLE ELSE 2 * precision * recall / (precision + recall) END AS f1_score FROM pr) {_ROUNDED}""")
 def q_rouge(spark, sf_dir):
     return rounded(X.rouge_n(both_pairs(spark, sf_dir), 2))
 
 
-def _bleu_level(n: int) -> str:
-    return f"""
-g{n} AS (SELECT id, list_transform(range(1, len(pw) - {n - 2}), lambda i: array_to_string(list_slice(pw, i, i + {n - 1}), ' ')) AS p,
-             list_transform(range(1, len(rw) - {n - 2}), lambda i: array_to_string(list_slice(rw, i, i + {n - 1}), ' ')) AS r FROM w),
-pc{n} AS (SELECT id, tok, count(*) AS n FROM (SELECT id, unnest(p) AS tok FROM g{n}) GROUP BY ALL),
-rc{n} AS (SELECT id, tok, count(*) AS n FROM (SELECT id, unnest(r) AS tok FROM g{n}) GROUP BY ALL),
-m{n} AS (SELECT (SELECT coalesce(sum(least(pc{n}.n, rc{n}.n)), 0) FROM pc{n} JOIN rc{n} USING (id, tok))::DOUBLE AS match_{n}, (SELECT sum(n) FROM pc{n})::DOUBLE AS total_{n})"""
-
-
-@query("corpus_bleu", f"""WITH {_PAIRS},
-w AS (SELECT id, {sql_words(sql_clean('prediction'))} AS pw, {sql_words(sql_clean('reference'))} AS rw FROM both_pairs), {", ".join(_bleu_level(n) for n in range(1, 5))},
-l AS (SELECT CAST(sum(len(pw)) AS BIGINT) AS p_len, CAST(sum(len(rw)) AS BIGINT) AS r_len FROM w),
+@query("corpus_bleu", f"""WITH {_PAIRS}, {_TOKENS}, {", ".join(sql_gram_counts(n) for n in range(1, 5))},
+{", ".join(f"m{n} AS (SELECT sum(least(np, nr))::DOUBLE AS match_{n}, sum(np)::DOUBLE AS total_{n} FROM c{n})" for n in range(1, 5))},
+l AS (SELECT CAST(sum(len(p)) AS BIGINT) AS p_len, CAST(sum(len(r)) AS BIGINT) AS r_len FROM tk),
 b AS (SELECT *, CASE WHEN p_len > r_len THEN 1.0::DOUBLE ELSE exp(1 - r_len::DOUBLE / p_len) END AS bp FROM l, m1, m2, m3, m4)
 SELECT p_len, r_len, round(match_1 / total_1, 4) AS p1, round(match_2 / total_2, 4) AS p2, round(match_3 / total_3, 4) AS p3, round(match_4 / total_4, 4) AS p4,
   round(bp, 4) AS brevity,
