@@ -70,6 +70,15 @@ def ngrams(tokens: Column, n: int, sep: str = " ") -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
+def word_hashes(tokens: Column) -> Column:
+    return F.transform(tokens, lambda t: F.xxhash64(t))
+
+
+def gram_hash(hashes: Column, i: Column, n: int, salt: int = 0) -> Column:
+    """64-bit hash of the ``n`` words from position ``i``, made from word hashes without building strings."""
+    return F.xxhash64(F.lit(salt), *[F.get(hashes, i + j) for j in range(n)])
+
+
 def repeats(tokens: Column) -> Column:
     """Every occurrence beyond the first of its token, sorted."""
     return let(F.sort_array(tokens), lambda s: F.filter(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1))))

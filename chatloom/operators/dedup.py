@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.functions.text import clean_text, clean_words, let, ngrams
+from chatloom.functions.text import clean_text, clean_words, gram_hash, let, word_hashes
 from chatloom.plans.positions import first_by, salted_lookup
 from chatloom.session import cut_lineage
 
@@ -29,11 +29,11 @@ def dedup_normalised(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame
 
 def shingle_set(c: Column, k: int = 3) -> Column:
     """Sorted distinct 64-bit hashes of the word k-grams; a shorter text is one shingle."""
-    def grams(w: Column) -> Column:
-        return F.when(F.size(w) >= k, ngrams(w, k)).otherwise(F.array(F.array_join(w, " ")))
+    def grams(h: Column) -> Column:
+        several = F.transform(F.sequence(F.lit(0), F.size(h) - k), lambda i: gram_hash(h, i, k))
+        return F.when(F.size(h) >= k, several).otherwise(F.array(F.xxhash64(F.lit(-1), h)))
 
-    hashed = F.transform(let(clean_words(c), grams), lambda g: F.xxhash64(g))
-    return F.sort_array(F.array_distinct(hashed))
+    return F.sort_array(F.array_distinct(let(word_hashes(clean_words(c)), grams)))
 
 
 def minhash_bands(shingles: Column, bands: int, rows: int) -> Column:

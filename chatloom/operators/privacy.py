@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.functions.text import clean_text, let, ngrams, split_words
+from chatloom.functions.text import clean_words, gram_hash, let, word_hashes
 from chatloom.operators.prepare import build_messages
 from chatloom.operators.synthesis import wrap_task
 from chatloom.plans.positions import broadcast_if_small
@@ -76,45 +76,47 @@ def contamination(
     twice. All n-grams of an item at one and the same offset in a row mean a verbatim copy. An
     item shorter than ``n`` words counts as one gram of its own length.
     """
-    items = bench.select(F.col(bench_id).alias("item"), clean_text(F.col(text)).alias("t")).filter("t <> ''")
-    items = items.withColumn("w", split_words(F.col("t")))
+    items = bench.select(F.col(bench_id).alias("item"), clean_words(F.col(text)).alias("w")).filter(F.size("w") > 0)
     # only items below n words need other gram sizes, so there are at most n sizes
     sizes = sorted({r[0] for r in items.select(F.least(F.size("w"), F.lit(n)).alias("g")).distinct().collect()}) or [n]
 
-    own = F.coalesce(*[F.when(F.least(F.size("w"), F.lit(n)) == g, _positioned_grams(F.col("w"), g)) for g in sizes])
-    cut = items.select("item", own.alias("grams")).withColumn("n_grams", F.size("grams"))
-    wanted = cut.select("item", "n_grams", F.explode("grams").alias("i")).select("item", "n_grams", "i.*")
-    wanted = wanted.select("item", "n_grams", "h1", "h2", F.col("pos").alias("item_pos"), F.col("fresh").alias("item_fresh"))
-
-    def all_sizes(w: Column) -> Column:
-        return F.flatten(F.array(*[_positioned_grams(w, g) for g in sizes]))
+    def own_size(h: Column) -> Column:
+        return F.coalesce(*[F.when(F.least(F.size(h), F.lit(n)) == g, _positioned_grams(h, g)) for g in sizes])
 
-    rows = train.select(F.col(train_id).alias("row"), clean_text(F.col(text)).alias("t"))
-    hits = rows.select("row", F.explode(let(let(F.col("t"), split_words), all_sizes)).alias("g")).select("row", "g.*")
-    hits = hits.join(broadcast_if_small(wanted, max_broadcast_rows), ["h1", "h2"])
-    aligned = hits.groupBy("row", "item", "n_grams", (F.col("pos") - F.col("item_pos")).alias("offset")).agg(
-        F.count(F.lit(1)).alias("in_line"), F.sum(F.when(F.col("fresh") & F.col("item_fresh"), 1).otherwise(0)).alias("shared")
+    # let() binds the hashes once: a column named outside would be pasted into every lambda call
+    own = let(word_hashes(F.col("w")), own_size)
+    cut = items.select("item", own.alias("grams")).withColumn("n_grams", F.size("grams"))
+    wanted = cut.select("item", "n_grams", F.explode_outer("grams").alias("g")).filter("g IS NOT NULL").select(
+        "item", "n_grams", "g.h1", "g.h2", F.col("g.pos").alias("item_pos")
     )
-    found = aligned.groupBy(F.col("row").alias(train_id), F.col("item").alias(bench_id)).agg(
-        F.sum("shared").alias("shared"), F.max(F.col("in_line") == F.col("n_grams")).alias("verbatim")
+
+    def all_sizes(h: Column) -> Column:
+        return F.flatten(F.array(*[_positioned_grams(h, g) for g in sizes]))
+
+    # explode_outer: for a plain explode Spark infers a size filter that would compute all grams again
+    grams = F.explode_outer(let(word_hashes(clean_words(F.col(text))), all_sizes))
+    rows = train.select(F.col(train_id).alias("row"), grams.alias("g")).filter("g IS NOT NULL").select("row", "g.*")
+    hits = rows.join(broadcast_if_small(wanted, max_broadcast_rows), ["h1", "h2"])
+    # every hit counts twice: for its gram (how many differ) and for its offset (how many line up)
+    facets = F.explode(F.array(
+        F.struct(F.lit(True).alias("by_gram"), F.col("h1").alias("value")),
+        F.struct(F.lit(False).alias("by_gram"), (F.col("pos") - F.col("item_pos")).cast("bigint").alias("value")),
+    ))
+    counted = hits.select("row", "item", "n_grams", facets.alias("f")).groupBy("row", "item", "n_grams", "f").agg(F.count(F.lit(1)).alias("c"))
+    found = counted.groupBy(F.col("row").alias(train_id), F.col("item").alias(bench_id)).agg(
+        F.sum(F.when(F.col("f.by_gram"), 1).otherwise(0)).alias("shared"),
+        F.max(~F.col("f.by_gram") & (F.col("c") == F.col("n_grams"))).alias("verbatim"),
     )
     return found.filter(F.col("verbatim") | (F.col("shared") >= min_shared))
 
 
-def _positioned_grams(w: Column, g: int) -> Column:
-    """``h1, h2, pos, fresh`` per word g-gram; ``fresh`` marks the first occurrence in the text."""
-    def hashed(gram: Column, i: Column) -> Column:
-        return F.struct(F.xxhash64(F.lit(g), gram).alias("h1"), F.xxhash64(F.lit(-g), gram).alias("h2"), i.alias("pos"))
-
-    def mark(s: Column) -> Column:
-        def one(x: Column, i: Column) -> Column:
-            before = F.get(s, i - 1)
-            fresh = (i == 0) | (before["h1"] != x["h1"]) | (before["h2"] != x["h2"])
-            return F.struct(x["h1"].alias("h1"), x["h2"].alias("h2"), x["pos"].alias("pos"), fresh.alias("fresh"))
-
-        return F.transform(s, one)
+def _positioned_grams(h: Column, g: int) -> Column:
+    """``h1, h2, pos`` of every g-gram over word hashes."""
+    def one(i: Column) -> Column:
+        return F.struct(gram_hash(h, i, g, g).alias("h1"), gram_hash(h, i, g, -g).alias("h2"), i.alias("pos"))
 
-    return let(F.sort_array(F.transform(ngrams(w, g), hashed)), mark)
+    empty = F.array().cast("array<struct<h1:bigint,h2:bigint,pos:int>>")
+    return F.when(F.size(h) >= g, F.transform(F.sequence(F.lit(0), F.size(h) - g), one)).otherwise(empty)
 
 
 def decontaminate(train: DataFrame, overlaps: DataFrame, train_id: str) -> DataFrame:

@@ -137,7 +137,7 @@ TRIAGE_ROWS = f"""triage_rows AS (
 
 
 def triage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    orders = texts(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority")
     names = F.array(*[F.lit(n) for n in ("billing", "technical_support", "account_security", "refund_request", "other")])
     digit = F.substring("o_orderpriority", 1, 1)
     priority = F.when(digit == "1", "critical").when(digit == "2", "high").when(digit == "3", "medium").when(digit == "5", "low").otherwise("unspecified")
@@ -157,7 +157,7 @@ API_ROWS = """api_rows AS (
 
 
 def api_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    events = texts(spark, sf_dir, "events", "event_id", "event_type", "props")
     text = F.concat(
         F.lit('{"action": "'), F.when(F.col("event_type") == "error", "").otherwise(F.col("event_type")),
         F.lit('", "params": '), F.when(F.col("event_id") % 40 == 0, "7").otherwise(F.col("props")), F.lit("}"),
@@ -200,7 +200,7 @@ MATH_ROWS = f"""math_rows AS (
 
 
 def math_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem")
+    items = texts(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
     number = (F.col("l_quantity") * 100).cast("int").cast("string")
     kind = h(F.col("l_orderkey"), F.col("l_linenumber")) % 5
     output = (
