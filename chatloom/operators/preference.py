@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.seeded import draw
+from chatloom.functions.text import let
 from chatloom.session import cut_lineage
 
 
@@ -114,7 +115,7 @@ def expected_score(df: DataFrame, logprobs: str = "logprobs") -> DataFrame:
     """Add ``expected_score``: mean score under the renormalised log-probabilities."""
     scores, values = F.map_keys(logprobs), F.map_values(logprobs)
     top = df.withColumn("_s", scores).withColumn("_top", F.array_max(values)).withColumn("_v", values)
-    weights = top.withColumn("_w", F.transform("_v", lambda v: F.exp(v - F.col("_top"))))
+    weights = top.withColumn("_w", let(F.col("_top"), lambda t: F.transform("_v", lambda v: F.exp(v - t))))
 
     def total(c: Column) -> Column:
         return F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x)
@@ -141,7 +142,7 @@ ELO_SCALE = 400 * math.log10(math.e)
 
 
 def bradley_terry(
-    matrix: DataFrame, iterations: int = 40, pseudo: float = 0.5, tolerance: float = 0.0, per_checkpoint: int = 10
+    matrix: DataFrame, iterations: int = 40, pseudo: float = 0.5, tolerance: float = 0.0, per_checkpoint: int = 5
 ) -> DataFrame:
     """Maximum-likelihood strengths from a win matrix: ``model, theta, elo, step``.
 
@@ -161,13 +162,16 @@ def bradley_terry(
     ).withColumn("p", F.lit(1.0)).withColumn("step", F.lit(None).cast("double")))
     kept = F.struct(F.col("won"), F.col("games"), F.col("p"))
 
-    for done in range(1, iterations + 1):
-        to_self = F.struct(F.col("model").alias("to"), kept.alias("own"), F.lit(None).cast("struct<n:double,q:double>").alias("sent"))
-        nothing = F.when(F.lit(False), kept)
-        to_others = F.transform("games", lambda g: F.struct(
-            g["opponent"].alias("to"), nothing.alias("own"), F.struct(g["n"].alias("n"), F.col("p").alias("q")).alias("sent")
+    def letters(own: Column) -> Column:
+        # the bound struct keeps the strength from being recomputed for every opponent
+        to_self = F.struct(F.col("model").alias("to"), own.alias("own"), F.lit(None).cast("struct<n:double,q:double>").alias("sent"))
+        to_others = F.transform(own["games"], lambda g: F.struct(
+            g["opponent"].alias("to"), F.when(F.lit(False), own).alias("own"), F.struct(g["n"].alias("n"), own["p"].alias("q")).alias("sent")
         ))
-        mail = state.select(F.explode(F.concat(F.array(to_self), to_others)).alias("m")).select("m.*")
+        return F.concat(F.array(to_self), to_others)
+
+    for done in range(1, iterations + 1):
+        mail = state.select(F.explode_outer(let(kept, letters)).alias("m")).select("m.*")
         inbox = mail.groupBy(F.col("to").alias("model")).agg(F.first("own", ignorenulls=True).alias("own"), F.collect_list("sent").alias("sent"))
         load = F.aggregate("sent", F.lit(0.0), lambda acc, x: acc + x["n"] / (F.col("own.p") + x["q"]))
         fresh = F.col("own.won") / load

@@ -16,6 +16,11 @@ from chatloom.plans.positions import id_bucket, running_total
 BOS = "<bos>"
 TURN_START = "<start_of_turn>"
 TURN_END = "<end_of_turn>"
+# The two labelled-text sample formats.
+INSTRUCT_HEAD = "Instruct: Classify the sentiment.\nInput: "
+INSTRUCT_ANSWER = "\nOutput: "
+REVIEW_HEAD = "Review: "
+REVIEW_ANSWER = "\nSentiment: "
 
 
 def build_messages(user: Column, answer: Column, roles: tuple[str, str] = ("user", "model")) -> Column:
@@ -95,13 +100,13 @@ def select_train_field(df: DataFrame, messages: str = "messages", **render: obje
 
 def format_instruct(text: Column, label: Column) -> Column:
     """Three-line instruct sample."""
-    return F.concat(F.lit("Instruct: Classify the sentiment.\nInput: "), text, F.lit("\nOutput: "), label.cast("string"))
+    return F.concat(F.lit(INSTRUCT_HEAD), text, F.lit(INSTRUCT_ANSWER), label.cast("string"))
 
 
 def format_review(text: Column, label: Column) -> Column:
     """Two-line review sample; label 1 is Positive, anything else Negative."""
     name = F.when(label == 1, "Positive").otherwise("Negative")
-    return F.concat(F.lit("Review: "), text, F.lit("\nSentiment: "), name)
+    return F.concat(F.lit(REVIEW_HEAD), text, F.lit(REVIEW_ANSWER), name)
 
 
 def tokenize_rows(df: DataFrame, col: str, factory: Callable[[], Callable[[str], Sequence[str]]] | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatloom.functions.arrays import cosine, dot, doubles, max_abs, total
+from chatloom.functions.text import let
 from chatloom.plans.positions import id_bucket, running_total
 
 # The 16 levels of the 4-bit normal-float code book.
@@ -86,8 +87,10 @@ def quantize_affine(df: DataFrame, col: str, bits: int = 8, signed: bool = False
     span = F.array_max(v) - F.array_min(v)
     ranged = df.withColumn("scale", F.when(span == 0, 1.0).otherwise(span / float(q_max - q_min)))
     ranged = ranged.withColumn("zero", F.round(F.lit(float(q_min)) - F.array_min(v) / F.col("scale")))
-    coded = ranged.withColumn("codes", F.transform(v, lambda x: clip(F.round(x / F.col("scale")) + F.col("zero"), q_min, q_max)))
-    restored = coded.withColumn("restored", F.transform("codes", lambda q: (q - F.col("zero")) * F.col("scale")))
+    # let() binds scale and zero once; named columns could be recomputed for every element
+    grid = F.struct("scale", "zero")
+    coded = ranged.withColumn("codes", let(grid, lambda g: F.transform(v, lambda x: clip(F.round(x / g["scale"]) + g["zero"], q_min, q_max))))
+    restored = coded.withColumn("restored", let(grid, lambda g: F.transform("codes", lambda q: (q - g["zero"]) * g["scale"])))
     return restored.withColumn("zero", F.col("zero").cast("int")).withColumn("codes", F.col("codes").cast("array<int>"))
 
 
@@ -96,8 +99,8 @@ def quantize_symmetric(df: DataFrame, col: str, bits: int = 8) -> DataFrame:
     q_max = 2 ** (bits - 1) - 1
     v = doubles(col)
     ranged = df.withColumn("_m", max_abs(v)).withColumn("scale", F.when(F.col("_m") == 0, 1.0).otherwise(F.col("_m") / float(q_max))).drop("_m")
-    coded = ranged.withColumn("codes", F.transform(v, lambda x: clip(F.round(x / F.col("scale")), -q_max, q_max)))
-    restored = coded.withColumn("restored", F.transform("codes", lambda q: q * F.col("scale")))
+    coded = ranged.withColumn("codes", let(F.col("scale"), lambda s: F.transform(v, lambda x: clip(F.round(x / s), -q_max, q_max))))
+    restored = coded.withColumn("restored", let(F.col("scale"), lambda s: F.transform("codes", lambda q: q * s)))
     return restored.withColumn("codes", F.col("codes").cast("array<int>"))
 
 
@@ -123,7 +126,7 @@ def quantize_nf4(df: DataFrame, col: str, block: int = 64) -> DataFrame:
         "_b", "absmax", lambda values, m: F.transform(values, lambda x: F.when(m == 0, F.lit(NF4_ZERO)).otherwise(code(x / m)))
     )))
     levels = F.array(*[F.lit(x) for x in NF4_LEVELS])
-    restored = F.transform("codes", lambda c, i: F.get(levels, c) * F.get(F.col("absmax"), F.floor(i / F.lit(block)).cast("int")))
+    restored = let(F.col("absmax"), lambda m: F.transform("codes", lambda c, i: F.get(levels, c) * F.get(m, F.floor(i / F.lit(block)).cast("int"))))
     return coded.withColumn("restored", restored).drop("_b")
 
 

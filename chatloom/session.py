@@ -16,6 +16,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # sessions of a busy client are merged inside each map task before the shuffle
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+        # checkpoint files go when the frame that needs them is gone
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
