@@ -11,6 +11,7 @@ from chatloom.llm.exact import exact_groups
 from chatloom.llm.mixing import mix_sources
 from chatloom.llm.quality import quality
 from chatloom.llm.rules import quality_rules
+from chatloom.llm.simhash import near_duplicates
 from chatloom.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +65,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_toxicity")
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_simhash_near_dedup")
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
