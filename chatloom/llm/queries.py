@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from chatloom.llm.common import table
 from chatloom.llm.exact import exact_groups
 from chatloom.llm.mixing import mix_sources
+from chatloom.llm.packing import pack_documents
 from chatloom.llm.quality import quality
 from chatloom.llm.rules import quality_rules
 from chatloom.llm.simhash import near_duplicates
@@ -70,3 +72,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_simhash_near_dedup")
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op6_best_fit_packing")
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
