@@ -15,6 +15,7 @@ from chatloom.llm.quality import quality
 from chatloom.llm.rules import quality_rules
 from chatloom.llm.simhash import near_duplicates
 from chatloom.llm.toxicity import toxicity
+from chatloom.llm.urls import parse_rule, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -77,3 +78,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_best_fit_packing")
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+URL_RULES = (parse_rule("net/", "block"), parse_rule("example.net/en/", "allow"), parse_rule("example.com/de/", "block"), parse_rule("org/fr/", "allow"))
+
+
+@query("op7_url_filters")
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(table(spark, sf_dir, "pages"), URL_RULES)
