@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from chatloom.llm.common import table
 from chatloom.llm.exact import exact_groups
+from chatloom.llm.licenses import license_scan
 from chatloom.llm.mixing import mix_sources
 from chatloom.llm.packing import pack_documents
 from chatloom.llm.quality import quality
 from chatloom.llm.rules import quality_rules
 from chatloom.llm.simhash import near_duplicates
+from chatloom.llm.suffix import remove_repeats
 from chatloom.llm.toxicity import toxicity
 from chatloom.llm.urls import parse_rule, url_filter
 
@@ -86,3 +89,18 @@ URL_RULES = (parse_rule("net/", "block"), parse_rule("example.net/en/", "allow")
 @query("op7_url_filters")
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op4_license_scans")
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
