@@ -36,6 +36,9 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.most = most
         self.known: dict[str, bytes] = {}
+        names = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(names.values()) + 1, bool)  # ids whose bytes begin with a space
+        self.opens[[i for name, i in names.items() if name.startswith("\u0120")]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [(_SPLIT.split(t) if _RUN.search(t) else t.split(" ")) if t else [] for t in texts]
@@ -43,13 +46,23 @@ class Encoder:
         if len(self.known) + len(missing) > self.most:
             self.known.clear()
             missing = {x for parts in cut for x in parts[1:]}
-        new = list(missing)
-        ids = dict(zip(new, self._ids([" " + x for x in new])))
+        ids = self._chunks(missing)
         self.known.update((k, v) for k, v in ids.items() if len(k) <= _LONGEST_KEPT)
         first = self._ids([parts[0] if parts else "" for parts in cut])
         known = self.known
         return [head + b"".join([known[x] if x in known else ids[x] for x in parts[1:]]) for head, parts in zip(first, cut)]
 
+    def _chunks(self, chunks: set[str], together: int = 400) -> dict[str, bytes]:
+        """Ids of chunks that follow a space. Chunks without a space of their own are encoded as one text and told apart by the spaces."""
+        plain = [x for x in chunks if " " not in x]
+        odd = [x for x in chunks if " " in x]
+        out = dict(zip(odd, self._ids([" " + x for x in odd])))
+        groups = [plain[i:i + together] for i in range(0, len(plain), together)]
+        for group, blob in zip(groups, self._ids([" " + " ".join(g) for g in groups])):
+            cuts = (np.flatnonzero(self.opens[np.frombuffer(blob, "<u4")]) * 4).tolist() + [len(blob)]
+            out.update(zip(group, (blob[a:b] for a, b in zip(cuts, cuts[1:])), strict=True))
+        return out
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for i in range(0, len(texts), 4096):
