@@ -197,7 +197,7 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> Iterator[tuple[int,
 class Runs:
     """Collects suffixes in bounded sorted runs. Equal ones are folded: what is proven repeated is put out as marks at once."""
 
-    def __init__(self, width: int, targets: int, buckets: int, most: int = 150_000) -> None:
+    def __init__(self, width: int, targets: int, buckets: int, most: int = 300_000) -> None:
         self.width, self.targets, self.buckets, self.most = width, targets, buckets, most
         self.held: list[tuple[np.ndarray, ...]] = []
         self.size = 0
@@ -302,6 +302,12 @@ class Marked:
                 self.size += len(first)
         return [h for h in holders if h[0] == least]
 
+    def range(self, holders: list, shift: int, span: int) -> None:
+        """Marks the windows from ``shift`` on, ``span`` more than one, in each of a document's places."""
+        for doc, version, first, _ in holders:
+            self.held.append((np.full(len(first), doc, np.int64), version, first + shift, np.full(len(first), span, np.uint8)))
+            self.size += len(first)
+
     def flush(self) -> Iterator[tuple[int, int, bytes]]:
         if self.held:
             yield from marks(*(np.concatenate(x) for x in zip(*self.held)), self.buckets, self.targets)
@@ -334,7 +340,8 @@ def _by_bucket(doc: np.ndarray, key: np.ndarray, buckets: int) -> Iterator[tuple
         order = np.lexsort((key, doc, bucket))
         doc, key, bucket = doc[order], key[order], bucket[order]
         for own in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(bucket)) + 1):
-            yield int(bucket[own[0]]), freeze(doc[own], key[own])
+            # half of the number is enough to find the anchor again in one document; a wrong one would only add an item
+            yield int(bucket[own[0]]), freeze(doc[own], key[own].astype(np.uint32))
 
 
 class Texts:
@@ -362,7 +369,7 @@ class Texts:
         return out
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets: int | None = None, keep_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets: int | None = None, keep_text: bool = False, few: int = 32) -> DataFrame:
     """Removes from each text every byte covered by a ``window``-byte string that also starts in a document with a smaller id.
 
     Columns: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, if asked for, ``kept`` (the remaining bytes). Strings are judged on the
@@ -373,7 +380,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
     2. Around every other anchor the suffix from the anchor to the end of its last window, followed by what lies between its first window and
        the anchor, becomes an item. Tasks sort items, fold equal ones, and exchange front-coded runs by the anchor's key.
     3. Runs are merged by a loser tree that knows shared prefixes (:func:`merge_runs`). Equal neighbours are repeats of the smallest
-       document among them. Where an anchor has several surroundings, their windows become the items of a second such sort.
+       document among them. Up to ``few`` different surroundings of one anchor are settled by the prefixes they share on both sides;
+       of more, the windows become the items of a second such sort.
     4. The ranges found meet the texts again.
     A passage that very many documents share is one item per run, not one per document. All comparisons are of bytes; hashes only route.
 
@@ -454,13 +462,22 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
 
         yield from _blobs(out(), ["bucket", "data"], [pa.int32(), pa.binary()])
 
+    def send_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> Iterator[tuple[int, bytes]]:
+            for batch in batches:
+                ids = batch["doc_id"].to_numpy()
+                order = np.argsort(ids % buckets, kind="stable")
+                for own in np.split(order, np.flatnonzero(np.diff(ids[order] % buckets)) + 1):
+                    texts = [batch["text"][i].as_py() for i in own.tolist()]
+                    yield int(ids[own[0]] % buckets), freeze(ids[own], np.array([len(x) for x in texts], np.int64), np.frombuffer(b"".join(texts), np.uint8))
+
+        yield from _blobs(out(), ["bucket", "data"], [pa.int32(), pa.binary()], every=500)
+
     def meeting(told: DataFrame) -> DataFrame:
-        """Blobs and texts of each bucket: blobs first, then texts by id."""
-        bucket = F.pmod("doc_id", F.lit(buckets)).cast("int").alias("bucket")
-        none = F.lit(None)
-        left = told.select("bucket", F.lit(0).alias("kind"), none.cast("bigint").alias("doc_id"), none.cast("binary").alias("text"), "data")
-        right = rows.select(bucket, F.lit(1).alias("kind"), "doc_id", "text", none.cast("binary").alias("data"))
-        return left.unionAll(right).repartition("bucket").sortWithinPartitions("bucket", "kind", "doc_id", F.xxhash64("text"))
+        """What is told of each bucket, then the texts of its documents, which travel as compressed blobs."""
+        texts = rows.mapInArrow(send_texts, "bucket int, data binary")
+        both = told.select("bucket", F.lit(0).alias("kind"), "data").unionAll(texts.select("bucket", F.lit(1).alias("kind"), "data"))
+        return both.repartition("bucket").sortWithinPartitions("bucket", "kind")
 
     def send_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = window + window - anchor + 2
@@ -479,8 +496,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
                 names = np.unique(ids)
                 place = np.minimum(np.searchsorted(names, doc), len(names) - 1)
                 here = names[place] == doc
-                pairs = (wanted[here] << np.uint64(15)) | place[here].astype(np.uint64)
-                own = np.isin((key << np.uint64(15)) | np.searchsorted(names, ids[text]).astype(np.uint64), pairs)
+                pairs = (wanted[here].astype(np.uint64) << np.uint64(15)) | place[here].astype(np.uint64)
+                half = key.astype(np.uint32).astype(np.uint64)
+                own = np.isin((half << np.uint64(15)) | np.searchsorted(names, ids[text]).astype(np.uint64), pairs)
                 first, last, at, key, text = first[own], last[own], at[own], key[own], text[own]
                 for s in range(0, len(first), 50_000):
                     part = slice(s, s + 50_000)
@@ -512,6 +530,23 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
         def out() -> Iterator[tuple[int, int, bytes]]:
             runs, marked = Runs(window, targets, buckets), Marked(buckets, targets)
 
+            def pairs(around: list[tuple[bytes, list]]) -> None:
+                """Marks what a few surroundings of one anchor share: with their common parts on both sides all windows in between are equal."""
+                sides = []
+                for key, holders in around:
+                    right, left = key[anchor], key[anchor + 1]
+                    body = key[:anchor] + key[anchor + 2:]
+                    sides.append((body[:right], body[right:right + left][::-1], left, holders))
+                for i, (right, back, left, holders) in enumerate(sides):
+                    doc = holders[0][0]
+                    for j, (other, other_back, _, owners) in enumerate(sides):
+                        if owners[0][0] >= doc:
+                            continue
+                        # keys are sorted, so neighbours share most; the anchor itself is known to be equal
+                        behind, ahead = _shared(back, other_back, 0), _shared(right, other, anchor)
+                        if behind + ahead >= window:
+                            marked.range(holders, left - behind, behind + ahead - window)
+
             def windows(key: bytes, holders: list) -> None:
                 right, left = key[anchor], key[anchor + 1]
                 body = key[:anchor] + key[anchor + 2:]
@@ -527,22 +562,34 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
                 if kind == _MARKS:
                     yield value
                     continue
-                held = None
-                several = False
+                around: list[tuple[bytes, list]] = []  # what surrounds the present anchor
+
+                def settle() -> None:
+                    if 1 < len(around) <= few:
+                        pairs(around)
+                    elif len(around) > few:
+                        for item in around:
+                            windows(*item)
+                    around.clear()
+
+                passed = False  # this anchor has so many surroundings that they go on one by one
                 for key, shared, holders in merged_groups(value):
                     rest = marked.losers(holders)
-                    if held is not None and shared >= anchor:
-                        if not several:
-                            windows(*held)
+                    if shared < anchor:
+                        settle()
+                        passed = False
+                    if passed:
                         windows(key, rest)
-                        several = True
                     else:
-                        several = False
-                    held = (key, rest)
+                        around.append((key, rest))
+                        if len(around) > few:
+                            settle()
+                            passed = True
                     if runs.full():
                         yield from runs.flush()
                     if marked.size > 200_000:
                         yield from marked.flush()
+                settle()
             yield from runs.flush()
             yield from marked.flush()
 
@@ -601,29 +648,43 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
 
 
 def _visits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, int | None, int, bytes | None, bool]]:
-    """``known, doc_id, version, text, over`` for the texts of each bucket; a bucket's blobs are in ``known`` before its texts come.
+    """``known, doc_id, version, text, over`` for the texts of each bucket, by id; ``known`` is what was told of the bucket.
 
     ``over`` marks the end of a bucket, which comes without a text. Equal ids with different texts get versions 0, 1, ...
     """
-    bucket, known, last, version = None, [], None, 0
+
+    def visit(known: list, blobs: list[bytes]) -> Iterator[tuple]:
+        texts = []
+        for blob in blobs:
+            ids, lengths, data = thaw(blob)
+            data, at = data.tobytes(), 0
+            for i, n in zip(ids.tolist(), lengths.tolist()):
+                texts.append((i, data[at:at + n]))
+                at += n
+        texts.sort()
+        last, version = None, 0
+        for doc_id, text in texts:
+            if last is not None and last[0] == doc_id:
+                version += last[1] != text
+            else:
+                version = 0
+            last = (doc_id, text)
+            yield known, doc_id, version, text, False
+        yield known, None, 0, None, True
+
+    bucket, known, blobs = None, [], []
     for batch in batches:
-        for b, kind, doc_id, text, data in zip(*(batch[c].to_pylist() if c != "text" else batch[c] for c in ("bucket", "kind", "doc_id", "text", "data"))):
+        for b, kind, data in zip(batch["bucket"].to_pylist(), batch["kind"].to_pylist(), batch["data"].to_pylist()):
             if b != bucket:
                 if bucket is not None:
-                    yield known, None, 0, None, True
-                bucket, known, last, version = b, [], None, 0
+                    yield from visit(known, blobs)
+                bucket, known, blobs = b, [], []
             if kind == 0:
                 known.append(thaw(data))
-                continue
-            value = text.as_py()
-            if last is not None and last[0] == doc_id:
-                version += last[1] != value
             else:
-                version = 0
-            last = (doc_id, value)
-            yield known, doc_id, version, value, False
+                blobs.append(data)
     if bucket is not None:
-        yield known, None, 0, None, True
+        yield from visit(known, blobs)
 
 
 def _targets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, object]]:
