@@ -44,9 +44,10 @@ def removed_plainly(rows, window):
     return Counter(out)
 
 
-def test_suffix_matches_plain(make_docs, corpus):
+@pytest.mark.parametrize("few", [32, 1])
+def test_suffix_matches_plain(make_docs, corpus, few):
     rows = corpus + [(7, "other text with the id of a row", "s0"), (8, corpus[9][1], "s0")]
-    got = suffix.remove_repeats(make_docs(rows), buckets=7).collect()
+    got = suffix.remove_repeats(make_docs(rows), buckets=7, few=few).collect()
     assert Counter(map(tuple, got)) == removed_plainly(rows, 50)
 
 
