@@ -36,61 +36,62 @@ def shingle_set(c: Column, k: int = 3) -> Column:
     return F.sort_array(F.array_distinct(let(word_hashes(clean_words(c)), grams)))
 
 
-def minhash_bands(shingles: Column, bands: int, rows: int) -> Column:
-    """One 64-bit key per band, from ``bands * rows`` minima of independent hashes."""
-    def band(b: int) -> Column:
-        minima = [F.array_min(F.transform(shingles, lambda s, j=j: F.xxhash64(s, F.lit(j)))) for j in range(b * rows, (b + 1) * rows)]
-        return F.xxhash64(F.lit(b), *minima)
-
-    return F.array(*[band(b) for b in range(bands)])
-
-
 def jaccard(a: Column, b: Column) -> Column:
     common = F.size(F.array_intersect(a, b))
     return common / (F.size(a) + F.size(b) - common)
 
 
 def near_dups(
-    df: DataFrame, id_col: str, text: str, threshold: float = 0.7, k: int = 3, bands: int = 16, rows: int = 4
+    df: DataFrame, id_col: str, text: str, threshold: float = 0.7, k: int = 3, group_limit: int = 64
 ) -> DataFrame:
     """First-wins rejection of near duplicates: ``id, kept_id, jaccard``.
 
-    Walking the rows in id order, a row is rejected when an earlier *kept* row shares a
-    MinHash band with it and has shingle Jaccard >= ``threshold``; this is the exact-dedup
-    rule with "equal" relaxed. A kept row has ``kept_id = id``.
+    Walking the rows in id order, a row is rejected when an earlier *kept* row has a shingle Jaccard
+    of at least ``threshold`` with it; this is the exact-dedup rule with "equal" relaxed. A kept row has
+    ``kept_id = id``, a rejected one the id of a kept row that rejects it.
 
-    The walk is run as rounds. In every band the smallest undecided row is the head; a row
-    that heads all of its bands can no longer be rejected, so it is kept and compared with
-    the members of its bands. Each round emits one candidate per (row, band): the work is
-    linear in the index even when a third of all rows fall into one band, and repeating
-    until nothing is undecided leaves no pair unexamined. Rows with identical shingle sets
-    are folded into one beforehand.
+    Candidates are exact: with the shingles of every row ordered by how many rows have them, two rows of that Jaccard
+    share one of their first ``n - ceil(threshold * n) + 1`` shingles. Rows that share a shingle of at most ``group_limit``
+    rows are compared once, up front. A shingle that more rows have belongs to their near copies; such groups are settled in
+    rounds, in which only the first undecided row of a group is compared with the others. So no group is
+    ever paired with itself, and unrelated rows never wait for one another. Rows with identical shingle sets are folded into one beforehand.
     """
     texts = df.select(F.col(id_col).alias("id"), F.col(text).alias("t"))
-    # one pass over the texts leaves a short line per row: set identity and band keys
     sets = texts.select("id", shingle_set(F.col("t"), k).alias("s"))
     identity = F.concat_ws(":", F.xxhash64("s"), F.xxhash64(F.lit(1), "s"), F.size("s"))
-    signed = cut_lineage(sets.select("id", identity.alias("key"), F.array_distinct(minhash_bands(F.col("s"), bands, rows)).alias("bands")))
+    signed = cut_lineage(sets.select("id", identity.alias("key"), "s"))
     distinct = signed.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    copies = salted_lookup(signed.select("id", "key"), distinct, "key", "n").select("id", "rep")
-    index = signed.join(distinct.select(F.col("rep").alias("id")), "id", "left_semi").select("id", F.explode("bands").alias("band"))
-    undecided = cut_lineage(_shared_bands(index))
-    # shingles are kept only for rows that share a band with another one
-    rep_sets = cut_lineage(texts.join(undecided.select("id").distinct(), "id", "left_semi").select("id", shingle_set(F.col("t"), k).alias("s")))
+    copies = cut_lineage(salted_lookup(signed.select("id", "key"), distinct, "key", "n").select("id", "rep"))
+    rep_sets = cut_lineage(signed.select("id", "s").join(distinct.select(F.col("rep").alias("id")), "id", "left_semi"))
+    index = cut_lineage(_prefixes(rep_sets, threshold))
+
+    sizes = index.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    small = index.join(sizes.filter(F.col("n") <= group_limit), "token")
+    right = small.select("token", F.col("id").alias("later"), F.col("size").alias("later_size"))
+    close = (F.col("size") >= F.lit(threshold) * F.col("later_size")) & (F.col("later_size") >= F.lit(threshold) * F.col("size"))
+    pairs = small.join(right, "token").filter((F.col("id") < F.col("later")) & close).select(F.col("later").alias("id"), F.col("id").alias("head")).distinct()
+    edges = cut_lineage(_with_jaccard(pairs, rep_sets).filter(F.col("jaccard") >= threshold))
+    big = cut_lineage(_shared_tokens(index.join(sizes.filter(F.col("n") > group_limit), "token", "left_semi").select("id", F.col("token"))))
+
     verdicts: list[DataFrame] = []
-    while not undecided.isEmpty():
-        heads = undecided.groupBy("band").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n"))
-        linked = cut_lineage(salted_lookup(undecided, heads, "band", "n").select("id", "head"))
-        leaders = linked.groupBy("id").agg(F.min("head").alias("head")).filter("id = head").select("id")
-        pairs = linked.filter("id <> head").distinct().join(leaders.select(F.col("id").alias("head")), "head", "left_semi")
-        checked = _with_jaccard(pairs, rep_sets).filter(F.col("jaccard") >= threshold)
-        rejected = checked.groupBy("id").agg(F.min(F.struct(F.col("head"), F.col("jaccard"))).alias("m"))
+    while not (big.isEmpty() and edges.isEmpty()):
+        heads = big.groupBy("token").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n"))
+        linked = cut_lineage(salted_lookup(big, heads, "token", "n").select("id", "head"))
+        # a row waits for the first row of each of its large groups and for every earlier row that it resembles
+        waits = linked.unionByName(edges.select("id", "head")).unionByName(edges.select(F.col("head").alias("id"), "head"))
+        leaders = cut_lineage(waits.groupBy("id").agg(F.min("head").alias("head")).filter("id = head").select("id"))
+        met = linked.filter("id <> head").distinct().join(leaders.select(F.col("id").alias("head")), "head", "left_semi")
+        checked = _with_jaccard(met, rep_sets).filter(F.col("jaccard") >= threshold)
+        told = checked.unionByName(edges.join(leaders.select(F.col("id").alias("head")), "head", "left_semi").select("id", "head", "jaccard"))
+        rejected = told.groupBy("id").agg(F.min(F.struct(F.col("head"), F.col("jaccard"))).alias("m"))
         decided = rejected.select("id", F.col("m.head").alias("kept_id"), F.col("m.jaccard").alias("jaccard")).unionByName(
             leaders.select("id", F.col("id").alias("kept_id"), F.lit(1.0).alias("jaccard"))
         )
         decided = cut_lineage(decided)
         verdicts.append(decided)
-        undecided = cut_lineage(_shared_bands(undecided.join(decided.select("id"), "id", "left_anti")))
+        gone = decided.select("id")
+        big = cut_lineage(_shared_tokens(big.join(gone, "id", "left_anti")))
+        edges = cut_lineage(edges.join(gone, "id", "left_anti").join(gone.select(F.col("id").alias("head")), "head", "left_anti").select("id", "head", "jaccard"))
 
     found = verdicts[0] if verdicts else None
     for more in verdicts[1:]:
@@ -106,10 +107,22 @@ def near_dups(
     )
 
 
-def _shared_bands(index: DataFrame) -> DataFrame:
-    """Index lines whose band still has company; a row without any is kept as it is."""
-    crowded = index.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return salted_lookup(index, crowded, "band", "n").select("id", "band")
+def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+    """``id, token, size``: the rarest shingles of each row, as many as a similar row cannot miss altogether."""
+    lines = sets.select("id", F.size("s").alias("size"), F.explode("s").alias("token"))
+    n = lines.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    # a shingle that only one row has links nothing, but it takes its place among the first ones: its row needs the number of such
+    shared = salted_lookup(lines, n.filter("n > 1"), "token", "n")
+    own = shared.groupBy("id", "size").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("rest"))
+    length = F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1
+    left = F.greatest(F.lit(0), length - (F.col("size") - F.size("rest"))).cast("int")
+    return own.select("id", "size", F.explode(F.slice("rest", F.lit(1), left)).alias("t")).select("id", "size", F.col("t.token").alias("token"))
+
+
+def _shared_tokens(index: DataFrame) -> DataFrame:
+    """Index lines whose token still has company; a row without any is done with large groups."""
+    crowded = index.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return salted_lookup(index, crowded, "token", "n").select("id", "token")
 
 
 def _with_jaccard(pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from chatloom.operators import balance as B
 from chatloom.operators import dedup as D
-from chatloom.plans.q_texts import sql_clean
+from chatloom.plans.q_texts import sql_clean, sql_words
 from chatloom.plans.registry import query, sql_seeded, table, texts
 
 
@@ -22,10 +22,21 @@ def dedup_normalised(spark, sf_dir):
     return D.dedup_normalised(texts(spark, sf_dir, "documents", "doc_id", "text"), "text", ["doc_id"])
 
 
-@query("near_dup_structure")
+@query("near_dup_structure", f"""
+WITH RECURSIVE w AS (SELECT doc_id, {sql_words(sql_clean('text'))} AS ws FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 3 THEN [array_to_string(ws[i:i + 2], ' ') for i in range(1, len(ws) - 1)] ELSE [chr(1) || array_to_string(ws, ' ')] END) AS grams FROM w),
+e AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS g FROM s),
+p AS (SELECT b.doc_id AS id, a.doc_id AS head FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id AND a.n >= 0.7 * b.n AND b.n >= 0.7 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*)::DOUBLE / (a.n + b.n - count(*)) >= 0.7),
+q AS MATERIALIZED (SELECT id, list(head) AS heads, row_number() OVER (ORDER BY id) AS k FROM p GROUP BY id),
+f AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS gone
+  UNION ALL SELECT q.k, CASE WHEN len(list_filter(heads, lambda h: NOT list_contains(gone, h))) > 0 THEN list_append(gone, q.id) ELSE gone END FROM f JOIN q ON q.k = f.k + 1),
+r AS (SELECT unnest(gone) AS doc_id FROM (SELECT gone FROM f ORDER BY k DESC LIMIT 1))
+SELECT doc_id, doc_id IN (SELECT doc_id FROM r) AS rejected FROM documents""")
 def near_dup_structure(spark, sf_dir):
-    """No SQL twin: first-wins rejection is a sequential rule; checked against brute force in the tests."""
-    return D.near_dups(texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
+    """The SQL compares all pairs that share a shingle and then walks the rows in order."""
+    found = D.near_dups(texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
+    return found.select("doc_id", (F.col("kept_id") != F.col("doc_id")).alias("rejected"))
 
 
 @query("label_distribution", """
