@@ -2,117 +2,74 @@
 
 from __future__ import annotations
 
-# 20 categories; the name carries the polarity (8 positive, 9 negative, 3 neutral).
+# Voices of small-shop customers; the name carries the polarity (6 positive, 5 negative, 3 neutral).
 TEMPLATES: dict[str, list[str]] = {
-    "plain_positive": [
-        "My new {domain} made the whole week better.", "Every part of the {domain} feels carefully made.",
-        "Five months in, the {domain} still delights me!", "I would pick the same {domain} again tomorrow.",
-        "Truly incredible value for such a {domain}.", "The {domain} was wonderful from start to finish.",
-        "I came away satisfied with the {domain}.", "Easily the best {domain} on my list this year!",
+    "gratitude_positive": [
+        "Thank you for the {domain}, my grandmother has not stopped smiling.", "A wonderful {domain}, and a handwritten note on top!",
+        "Please tell the workshop that their {domain} made our anniversary.", "We are satisfied twice over: the {domain} fits and the colour is right.",
+        "Whoever packed the {domain} deserves a raise!",
     ],
-    "plain_negative": [
-        "The {domain} let me down on every count.", "I regret paying for this {domain}.",
-        "A terrible {domain} from beginning to end.", "The {domain} stopped working within a day.",
-        "Poor finish and sloppy details everywhere.", "Nothing about the {domain} was worth the wait.",
-        "I was disappointed before I even got home.", "By far the worst {domain} I have come across!",
+    "returning_positive": [
+        "Third {domain} from this shop, third success.", "I came back for another {domain} because the first still looks new.",
+        "My neighbour asked where the {domain} is from, so here we are ordering four.", "The best {domain} in the valley, says my whole choir.",
+        "Same maker, same care, one more {domain} for the cottage.", "Ten winters on, the {domain} has outlived two roofs.",
     ],
-    "plain_neutral": [
-        "The {domain} does roughly what one expects.", "I picked up the {domain} on a Thursday.",
-        "This {domain} comes in two sizes.", "Neither great nor awful, simply usual.",
-        "The {domain} replaced an older one of the same kind.", "The leaflet matches what is inside the box.",
-        "So far the {domain} has been used twice.", "It behaves like any other {domain} I know.",
+    "surprise_positive": [
+        "I expected a toy and unpacked an incredible {domain}.", "The {domain} was meant as a joke present and is now used daily.",
+        "Picked at random, and the {domain} turned out to be a small treasure.", "My cat approves of the {domain}, which says everything!",
     ],
-    "sarcasm_negative": [
-        "Lovely, the {domain} gave up before lunch. Just my luck.", "A {domain} that needs repair on day one, how thoughtful!",
-        "What a treat to wait a month for a cracked {domain}.", "Sure, who wants a {domain} that functions?",
-        "The silence is relaxing, since it never starts!", "Marvellous idea to print the help pages in invisible ink.",
-        "Top marks to the {domain} for testing my patience.", "If you enjoy queueing on the phone, get this {domain}.",
+    "learner_positive": [
+        "As a beginner I understood the {domain} after one cup of tea.", "The booklet taught me more about the {domain} than a whole evening class.",
+        "I built the {domain} with my son and nobody shouted.", "Even with my two left hands the {domain} came together.",
+        "One phone call cleared up my question about the {domain}.",
     ],
-    "negated_positive": [
-        "I have no complaints about the {domain}.", "There was never a dull moment with this {domain}.",
-        "You will not be sorry you chose this {domain}.", "It is not a bad {domain}, quite the opposite.",
-        "Nobody could call this {domain} a waste.", "The {domain} never once failed me.",
-        "Not a thing I would change.", "It has yet to let anyone down.",
+    "market_positive": [
+        "Sold out by noon: visitors loved the {domain}!", "Our stall has never had so many questions about one {domain}.",
+        "The {domain} drew a crowd and the crowd drew a crowd.", "Half the price of the {domain} next door and twice as sturdy.",
     ],
-    "negated_negative": [
-        "I cannot claim the {domain} was free of trouble.", "Nobody would deny that the {domain} is a mess.",
-        "It is not as if the {domain} ever did its job.", "Hardly a day went by without the {domain} acting up.",
-        "I would not say they did not warn us.", "Not one promise was left unbroken.",
+    "quiet_positive": [
+        "The {domain} simply does its work, day after day.", "No fuss, no noise, a {domain} as it should be.", "I forgot I owned a {domain}, that is how smoothly it runs.",
     ],
-    "contrast_positive": [
-        "The box was dented, yet the {domain} inside was flawless!", "It took ages to arrive, still the {domain} is superb.",
-        "Expensive, but this {domain} earns every cent.", "Few extras, though what is there works beautifully.",
-        "The clerk was grumpy, however the {domain} made up for it.", "Hard to learn, and then a joy to use.",
+    "waiting_negative": [
+        "Week seven, and the {domain} is still said to be on a ship.", "The {domain} missed the wedding it was ordered for.",
+        "Tracking shows my {domain} circling the same depot.", "They moved the date for the {domain} again without a word.",
+        "A birthday came and went, the {domain} did neither.",
     ],
-    "contrast_negative": [
-        "Pretty to look at, but the {domain} hardly functions.", "Quick delivery, yet the quality is dreadful.",
-        "Plenty of options, and not one of them works.", "Setup was painless, then the {domain} died within the hour.",
-        "Friendly staff, although nobody could rescue the {domain}.", "Big promises, and in the end only extra work.",
+    "workshop_negative": [
+        "Two legs of the {domain} are shorter than the others.", "With its terrible glue the {domain} smells through a closed door.",
+        "The screws of the {domain} belong to some other thing.", "The seams are poor, and the {domain} frays where the hand goes.",
+        "I sanded the {domain} for an hour and it still splinters.", "Whoever drilled the {domain} did it in the dark.",
     ],
-    "slang_positive": [
-        "This {domain} totally slaps!", "Hands down a winner.", "The {domain} is pure gold.", "Over the moon with my {domain}.",
-        "The {domain} runs smooth as butter.", "It knocks the rest into a cocked hat!", "A {domain} that is next level.",
-        "Worth every bit of the hype.",
+    "refund_negative": [
+        "They want photographs of the broken {domain} in triplicate.", "My money for the {domain} is apparently under review since spring.",
+        "I sent the {domain} back and received the same one again.", "The worst part is not the {domain} but the form to return it.",
     ],
-    "slang_negative": [
-        "This {domain} is a hot mess.", "It dropped the ball big time.", "Spending on this {domain} was burning cash.",
-        "What a flop.", "The {domain} does not cut it.", "It crashed and burned right away.",
-        "A lemon of a {domain}, plain and simple.", "Costs a fortune and delivers peanuts.",
+    "expectation_negative": [
+        "The picture showed a {domain}, the parcel held a splinter of one.", "I am disappointed: this {domain} is a third of the size I measured out.",
+        "A bad copy of the {domain} I saw at the fair.", "The green {domain} is brown, and the brown comes off.",
+        "For this money I could have carved the {domain} myself.",
     ],
-    "emoji_positive": [
-        "🌟🌟🌟 what a {domain}! 🎈", "my {domain} = 🚀🚀", "🥇 for sure! 🙌🙌", "speechless 🤗💐 {domain}",
-        "grinning all day 😁🎊", "spotless 💎✅",
+    "family_negative": [
+        "The children refuse to go near the {domain}.", "My sister keeps the {domain} in the shed, face to the wall.", "Even the dog walked out when the {domain} was switched on.",
     ],
-    "emoji_negative": [
-        "avoid this {domain} 😠🚫", "straight to the bin 🚮🙄", "came in pieces... 😢🔧", "save your money 💸❗ {domain}",
-        "so let down 😞⬇️", "not worth it 😾🧨",
+    "inventory_neutral": [
+        "Shelf nine holds one {domain} and a spare lid.", "The {domain} is listed under letter K.", "Two people are needed to lift the {domain}.",
+        "The {domain} came with a linen bag.", "Our {domain} stands between the window and the stove.",
     ],
-    "emoji_neutral": [
-        "the {domain} is on my desk 🗃️", "a regular {domain} 😶", "delivered this morning 🚚", "it will do 🤔",
-        "my {domain} is green 🟢", "still unpacking 🧰",
+    "question_neutral": [
+        "Does the {domain} exist in a left-handed version?", "How deep is the {domain} with its cover on?", "Which oil is meant for the {domain}?", "May the {domain} stay outside in October?",
     ],
-    "misspelt_positive": [
-        "luv it sooo mutch", "grate {domain}, wil buy agan!!", "exelent servis nd qick shiping", "verry hapy wit it",
-        "wrks perfecly evry time", "totaly recomend to al!",
-    ],
-    "misspelt_negative": [
-        "dis {domain} brok strait away", "horibel {domain}, ful of eror nd noise", "wasted al my mony on dis",
-        "it wont evn opn... anoying", "chep stuf fel apart", "nevr agan, stay awy",
-    ],
-    "hedged_positive": [
-        "If you only ever own one {domain}, let it be this.", "Should the {domain} break, I would order the same one again.",
-        "Unless you hate comfort, the {domain} will please you.", "Were I to start over, I would choose this {domain}.",
-    ],
-    "hedged_negative": [
-        "I could like the {domain} if it did what it says.", "If that is the luxury {domain}, spare me the basic one.",
-        "Unless they repair the {domain}, count me out.", "I might have kept the {domain} had anyone replied.",
-    ],
-    "spec_neutral": [
-        "The {domain} has a two-core chip and 16GB of storage.", "It measures 30 by 20 by 8 centimetres.",
-        "The {domain} index holds four sorted columns.", "Input voltage ranges from 100V to 240V.",
-        "The casing is matte grey and weighs 900 grams.", "A two-year guarantee card is enclosed.",
-    ],
-    "story_positive": [
-        "At first the {domain} confused me and I nearly sent it back, yet after a quiet weekend of trying things out it became the one I rely on for almost everything.",
-        "Our team has tried a handful of these over the years, and although each has its quirks, this {domain} strikes the fairest balance of price and staying power.",
-        "The wrapping could be sturdier, but what came out of it works as shown, feels solid in the hand and has retired my old setup for good.",
-    ],
-    "story_negative": [
-        "The adverts made the {domain} sound like a small revolution and it does look the part, but a week of honest work shows that style won over use at every turn.",
-        "I wanted to back this maker and the first evening went well, yet three gentle days later the errors began and the refund desk pointed at the small print.",
-        "On paper the {domain} tops every chart, while in practice it overheats so quickly that cheaper ones finish the same job sooner.",
+    "diary_neutral": [
+        "Tuesday: moved the {domain} upstairs.", "Wrote the serial number of the {domain} into the blue folder.", "The {domain} was dusted before the guests came.",
     ],
 }
 
 LEXICON: dict[str, list[str]] = {
-    "product": ["lamp", "kettle", "charger", "backpack", "speaker"],
-    "movie": ["drama", "sequel", "comedy", "documentary", "western"],
-    "service": ["repair", "delivery", "hotline", "cleaning", "tutoring"],
-    "food": ["soup", "curry", "salad", "dessert", "breakfast"],
-    "hotel": ["hostel", "cabin", "inn", "lobby", "penthouse"],
-    "software": ["editor", "browser", "plugin", "dashboard", "calendar"],
-    "general": ["deal", "gift", "visit", "idea", "upgrade"],
-    "book": ["memoir", "anthology", "mystery", "cookbook", "atlas"],
+    "garden": ["wheelbarrow", "trellis", "rain barrel", "birdhouse", "hedge trimmer", "bench"],
+    "workroom": ["lathe", "vice", "sewing box", "plane", "drying rack", "stool"],
+    "music": ["concertina", "music stand", "zither", "metronome", "drum", "reed case"],
+    "hiking": ["tent", "walking stick", "lantern", "flask", "map case", "rucksack"],
+    "winter": ["sledge", "quilt", "ember pan", "snow shovel", "muff", "draught stopper"],
 }
 
 # They decide what the text mutations do.
@@ -130,9 +87,8 @@ TASK_ENVELOPES = {
 
 INSTRUCTIONS = [
     TASK_ENVELOPES["classify"],
-    "Is this text positive, negative or neutral? '{text}'",
-    "Name the sentiment expressed here: '{text}'",
-    "Read the following and give its sentiment: '{text}'",
-    "Sentiment of '{text}':",
-    "Text: '{text}' | Label:",
+    "A customer wrote: '{text}'. How do they feel about it?",
+    "Positive, Negative or Neutral? Answer with one word for: '{text}'",
+    "{text}\n\nWhich mood does the message above show?",
+    "Sort this message into the tray it belongs to (good, bad, plain): '{text}'",
 ]

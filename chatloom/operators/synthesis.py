@@ -15,6 +15,7 @@ from chatloom.functions.seeded import flip, pick, pick_index
 from chatloom.operators import catalogue as C
 from chatloom.operators.dedup import dedup_first
 from chatloom.operators.prepare import build_messages
+from chatloom.session import cut_lineage
 from chatloom.sources.datasets import read_split
 
 Catalogue = Mapping[str, Sequence[str]]
@@ -136,6 +137,8 @@ def synthesise(
     sampled = sample_two_stage(ids.select(id_col), id_col, seed, catalogue, lexicon)
     distinct = dedup_first(mutate(sampled.select(id_col, "category", "text"), "text", seed, id_col), "text", [id_col])
     if n is not None:
+        # texts are drawn once; counting and cutting read what was drawn
+        distinct = cut_lineage(distinct)
         have = distinct.count()
         if have < n:
             raise ValueError(f"only {have} distinct texts among the candidates, {n} requested")
@@ -145,14 +148,25 @@ def synthesise(
     return labelled.select(id_col, "category", "text", "label", build_messages(asked, F.col("label")).alias("messages"))
 
 
-def synthesise_exactly(spark, n: int, seed: int, oversample: float = 2.0, max_rounds: int = 4, **options) -> DataFrame:
-    """``synthesise`` over generated ids, with more candidates each round until ``n`` texts differ."""
-    candidates = int(n * oversample)
-    for attempt in range(max_rounds):
-        try:
-            return synthesise(spark.range(candidates), "id", seed, n, **options)
-        except ValueError:
-            if attempt == max_rounds - 1:
-                raise
-            candidates *= 4
-    raise AssertionError("unreachable")
+def reachable_texts(catalogue: Catalogue, lexicon: Catalogue) -> int:
+    """How many different texts templates and nouns can give before any mutation."""
+    nouns = {n for ns in lexicon.values() for n in ns}
+    return len({t.replace(PLACEHOLDER, n) for ts in catalogue.values() for t in ts for n in nouns})
+
+
+def synthesise_exactly(
+    spark, n: int, seed: int, oversample: float = 2.0, catalogue: Catalogue = C.TEMPLATES, lexicon: Catalogue = C.LEXICON, **options
+) -> DataFrame:
+    """``synthesise`` over generated ids, with four times the candidates each round until ``n`` texts differ.
+
+    Candidates enough to have met every unmutated text many times over, and still too few distinct texts,
+    mean that the catalogue cannot give ``n``; only then the request fails.
+    """
+    candidates, plenty = max(1, int(n * oversample)), 64 * max(n, reachable_texts(catalogue, lexicon))
+    while True:
+        ids = spark.range(candidates)
+        sampled = sample_two_stage(ids, "id", seed, catalogue, lexicon)
+        have = mutate(sampled, "text", seed, "id").select("text").distinct().count()
+        if have >= n or candidates >= plenty:
+            return synthesise(ids, "id", seed, n, catalogue, lexicon, **options)
+        candidates *= 4

@@ -10,6 +10,7 @@ from chatloom.operators import synthesis as S
 from chatloom.plans.registry import query, sql_choice, sql_list, sql_seeded, sql_text, table
 
 SEED = 7
+EXACTLY = 500  # samples asked for
 _RANGE = 1 << 32
 
 
@@ -36,7 +37,7 @@ def sql_punctuate(c: str, id_sql: str) -> str:
 
 
 def sql_case(c: str, id_sql: str) -> str:
-    return f"CASE WHEN {sql_flip(0.05, 'lower', id_sql)} THEN lower({c}) WHEN {sql_flip(0.02, 'upper', id_sql)} THEN upper({c}) ELSE {c} END"
+    return f"CASE WHEN {sql_flip(0.05, 'lower', id_sql)} THEN lower({c}) WHEN {sql_flip(0.02, 'upper', id_sql)} THEN upper(replace({c}, 'ß', 'SS')) ELSE {c} END"
 
 
 _LABEL = "CASE WHEN contains(category, 'positive') THEN 'Positive' WHEN contains(category, 'negative') THEN 'Negative' ELSE 'Neutral' END"
@@ -119,10 +120,9 @@ def vary_punctuation(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), S.vary_punctuation(F.col("text"), SEED, F.col("doc_id")).alias("text"))
 
 
-@query("vary_casing", f"SELECT o_orderkey AS id, {sql_case('o_orderpriority || chr(32) || o_orderstatus || chr(32) || lower(o_orderpriority)', 'o_orderkey::VARCHAR')} AS text FROM orders")
+@query("vary_casing", f"SELECT doc_id AS id, {sql_case('text', 'doc_id::VARCHAR')} AS text FROM documents")
 def vary_casing(spark, sf_dir):
-    text = F.concat_ws(" ", "o_orderpriority", "o_orderstatus", F.lower("o_orderpriority"))
-    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), S.vary_casing(text, SEED, F.col("o_orderkey")).alias("text"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), S.vary_casing(F.col("text"), SEED, F.col("doc_id")).alias("text"))
 
 
 @query("wrap_instruction", f"""
@@ -151,11 +151,11 @@ m3 AS (SELECT id, category, {sql_case('text', _ID)} AS text FROM m2)"""
 
 @query("synthesise_dataset", f"""
 WITH ids AS (SELECT o_orderkey AS id FROM orders), {_TWO_STAGE}, {_MUTATED},
-f AS (SELECT * FROM m3 QUALIFY row_number() OVER (PARTITION BY text ORDER BY id) = 1)
+f AS (SELECT * FROM (SELECT * FROM m3 QUALIFY row_number() OVER (PARTITION BY text ORDER BY id) = 1) ORDER BY id LIMIT {EXACTLY})
 SELECT id, category, text, {_LABEL} AS label, replace({sql_pick(C.INSTRUCTIONS, 'instruction', _ID)}, '{{text}}', text) AS user_content, {_LABEL} AS model_content FROM f""")
 def synthesise_dataset(spark, sf_dir):
     ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
-    made = S.synthesise(ids, "id", SEED)
+    made = S.synthesise(ids, "id", SEED, EXACTLY)
     return made.select(
         "id", "category", "text", "label", F.col("messages")[0]["content"].alias("user_content"), F.col("messages")[1]["content"].alias("model_content")
     )
