@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import strip
+from chatloom.plans.positions import id_bucket, running_total
 
 # Fixed values of the answer contracts.
 TRIAGE_CATEGORIES = ["billing", "technical_support", "account_security", "refund_request"]
@@ -46,27 +47,31 @@ def validate_messages(df: DataFrame, messages: str = "messages", roles: Sequence
 def validate_turns(df: DataFrame, conv: str, turn: str = "turn", role: str = "role", user: str = "user", answer: str = "assistant") -> DataFrame:
     """Optional leading system turn, then strict user / answer alternation, per conversation.
 
-    With turns numbered 0, 1, 2, ... alternation is a statement about parities, so one
-    map-side combined aggregation decides it; no conversation is ever sorted or collected.
+    Alternation is judged on the place of a turn in its conversation, in the order of turn numbers (which may have gaps and
+    start anywhere), then roles; a repeated or missing number is reported as ``numbering``. Places come from running totals over bounded
+    buckets of turn numbers, so a very long conversation is never sorted in one task; on places alternation
+    is a statement about parities, which a combined aggregation decides.
     """
-    t, r = F.col(turn), F.col(role)
+    known = df.select(conv, F.col(turn).cast("bigint").alias("_t"), F.col(role).alias("_r"))
+    placed = running_total(known, F.lit(1), [conv], F.coalesce(id_bucket(known, "_t", 100_000), F.lit(-1)), ["_t", "_r"], "_place")
+    repeated = known.groupBy(conv, "_t").agg(F.count(F.lit(1)).alias("_n")).groupBy(conv).agg(
+        F.max(F.when(F.col("_t").isNull(), 2).otherwise(F.col("_n"))).alias("_most"))
+    t, r = F.col("_place") - 1, F.col("_r")
 
     def count(cond: Column) -> Column:
         return F.sum(F.when(cond, 1).otherwise(0))
 
-    grouped = df.groupBy(conv).agg(
-        F.count(F.lit(1)).alias("n_turns"), F.min(t).alias("_lo"), F.max(t).alias("_hi"), F.sum(t).alias("_sum"),
+    grouped = placed.groupBy(conv).agg(
+        F.count(F.lit(1)).alias("n_turns"),
         count((r == "system") & (t == 0)).alias("_sys0"), count((r == "system") & (t != 0)).alias("_sys"),
         count(~F.coalesce(r.isin("system", user, answer), F.lit(False))).alias("_other"),
         count(((r == user) & (t % 2 != 0)) | ((r == answer) & (t % 2 == 0))).alias("_odd"),
         count(((r == user) & (t % 2 == 0)) | ((r == answer) & (t % 2 != 0))).alias("_even"),
-    )
-    n = F.col("n_turns")
-    numbered = (F.col("_lo") == 0) & (F.col("_hi") == n - 1) & (2 * F.col("_sum") == n * (n - 1))
+    ).join(repeated, conv)
     in_step = F.when(F.col("_sys0") > 0, F.col("_even") == 0).otherwise(F.col("_odd") == 0)
     checked = grouped.withColumn("reasons", reasons(
-        ("numbering", numbered), ("unknown_role", F.col("_other") == 0), ("late_system", F.col("_sys") == 0),
-        ("alternation", in_step), ("no_user_turn", n > F.col("_sys0")),
+        ("numbering", F.col("_most") == 1), ("unknown_role", F.col("_other") == 0), ("late_system", F.col("_sys") == 0),
+        ("alternation", in_step), ("no_user_turn", F.col("n_turns") > F.col("_sys0")),
     ))
     return checked.select(conv, "n_turns", "reasons")
 

@@ -126,6 +126,12 @@ def option_bias(df: DataFrame, output: str = "output", gold: str = "gold") -> Da
     )
 
 
+def chosen_content(letter: str, turned: str, n_options: int) -> Column:
+    """Number of the option, in the item's own order, that a letter names when the options are turned by some places."""
+    place = F.ascii(letter) - F.lit(ord("A"))
+    return F.when((place >= 0) & (place < n_options), F.pmod(place + F.col(turned), F.lit(n_options)))
+
+
 def permutation_consistency(df: DataFrame, item: str, content: str) -> DataFrame:
     """Per item over option permutations: did the chosen content stay the same?"""
     return df.groupBy(item).agg(

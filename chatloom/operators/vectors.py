@@ -130,15 +130,16 @@ def quantize_nf4(df: DataFrame, col: str, block: int = 64) -> DataFrame:
     return coded.withColumn("restored", restored).drop("_b")
 
 
-def double_quantize(df: DataFrame, id_col: str, absmax: str = "absmax", group: int = 256, blocks_per_vector: int = 1) -> DataFrame:
-    """Second-level quantisation of block scales in groups of ``group``, in storage (id) order.
+def double_quantize(df: DataFrame, id_col: str, absmax: str = "absmax", group: int = 256) -> DataFrame:
+    """Second-level quantisation of block scales in groups of ``group``, in storage (id, block) order.
 
-    8-bit linear codes with one scale per group. A group is a range of block numbers, so at
-    most ``group`` rows meet in one window and nothing needs a global row number.
+    8-bit linear codes with one scale per group. Groups follow the place of a vector's scales among all scales, whatever the ids
+    are; places are running totals over buckets, so nothing needs a global row number.
     """
-    scales = df.select(id_col, F.posexplode(absmax).alias("block", "absmax"))
-    number = F.col(id_col) * blocks_per_vector + F.col("block")
-    grouped = scales.withColumn("scale_group", F.floor(number / F.lit(group)).cast("bigint"))
+    lengths = df.select(id_col, absmax, F.size(absmax).alias("_n"))
+    placed = running_total(lengths, F.col("_n"), [], id_bucket(lengths, id_col), [id_col], "_end")
+    scales = placed.select(id_col, (F.col("_end") - F.col("_n")).alias("_first"), F.posexplode(absmax).alias("block", "absmax"))
+    grouped = scales.withColumn("scale_group", F.floor((F.col("_first") + F.col("block")) / F.lit(group)).cast("bigint")).drop("_first")
     top = F.max("absmax").over(Window.partitionBy("scale_group"))
     ranged = grouped.withColumn("scale_of_scales", F.when(top == 0, 1.0).otherwise(top / 255.0))
     coded = ranged.withColumn("code", F.round(F.col("absmax") / F.col("scale_of_scales")).cast("int"))

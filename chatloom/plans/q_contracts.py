@@ -25,13 +25,16 @@ def validate_messages(spark, sf_dir):
 
 
 @query("validate_turns", """
-WITH t AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev FROM conversations),
-c AS (SELECT conv_id, count(*) AS n_turns, bool_or(role = 'system' AND prev IS NOT NULL) AS late,
+WITH n AS (SELECT conv_id, role, CASE WHEN conv_id % 5 = 1 THEN turn // 2 WHEN conv_id % 3 = 0 THEN 2 * turn + 1 ELSE turn END AS turn FROM conversations),
+t AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role) AS prev FROM n),
+c AS (SELECT conv_id, count(*) AS n_turns, count(*) > count(DISTINCT turn) AS twice, bool_or(role = 'system' AND prev IS NOT NULL) AS late,
    bool_or(CASE role WHEN 'user' THEN NOT (prev IS NULL OR prev IN ('system', 'assistant')) WHEN 'assistant' THEN prev IS NULL OR prev <> 'user' ELSE false END) AS broken,
    bool_and(role = 'system') AS silent FROM t GROUP BY 1)
-SELECT conv_id, n_turns, concat_ws(',', CASE WHEN late THEN 'late_system' END, CASE WHEN broken THEN 'alternation' END, CASE WHEN silent THEN 'no_user_turn' END) AS reasons FROM c""")
+SELECT conv_id, n_turns, concat_ws(',', CASE WHEN twice THEN 'numbering' END, CASE WHEN late THEN 'late_system' END, CASE WHEN broken THEN 'alternation' END, CASE WHEN silent THEN 'no_user_turn' END) AS reasons FROM c""")
 def validate_turns(spark, sf_dir):
-    return flat(K.validate_turns(table(spark, sf_dir, "conversations"), "conv_id"))
+    """Turn numbers with gaps in every third conversation, repeated ones in every fifth."""
+    number = F.when(F.col("conv_id") % 5 == 1, F.floor(F.col("turn") / 2)).when(F.col("conv_id") % 3 == 0, 2 * F.col("turn") + 1).otherwise(F.col("turn"))
+    return flat(K.validate_turns(table(spark, sf_dir, "conversations").withColumn("turn", number), "conv_id"))
 
 
 @query("validate_labels", """

@@ -57,14 +57,14 @@ def read_request_log(spark, sf_dir):
 
 
 @query("read_notebooks", """
-SELECT page_id, 1 AS cell, html || chr(10) AS source FROM pages""")
+SELECT page_id, 1 AS cell, html || chr(10) AS source FROM pages UNION ALL SELECT page_id, 2, '["a"]' || html FROM pages""")
 def read_notebooks(spark, sf_dir):
-    """Each page as one notebook document: a prose cell, then a code cell in two source lines."""
-    cells = F.array(
-        F.struct(F.lit("markdown").alias("cell_type"), F.array(F.lit("notes")).alias("source")),
-        F.struct(F.lit("code").alias("cell_type"), F.array("html", F.lit("\n")).alias("source")),
-    )
-    books = table(spark, sf_dir, "pages").select("page_id", F.to_json(F.struct(cells.alias("cells"))).alias("doc"))
+    """Each page as one notebook document: a prose cell, a code cell in two source lines, a code cell whose source is one string."""
+    def cell(kind: str, source):
+        return F.to_json(F.struct(F.lit(kind).alias("cell_type"), source.alias("source")))
+
+    cells = F.concat_ws(",", cell("markdown", F.array(F.lit("notes"))), cell("code", F.array("html", F.lit("\n"))), cell("code", F.concat(F.lit('["a"]'), "html")))
+    books = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit('{"cells":['), cells, F.lit("]}")).alias("doc"))
     return S.notebook_cells(books, ["page_id"], "doc")
 
 

@@ -16,7 +16,7 @@ from chatloom.streaming import jobs as J
 def live_log(spark, sf_dir):
     """The events file as a stream; event time needs a TIMESTAMP, the file holds TIMESTAMP_NTZ."""
     schema = table(spark, sf_dir, "events").schema
-    stream = J.from_files(spark, sf_dir, "events.parquet", schema, "parquet")
+    stream = J.from_table(spark, f"{sf_dir}/events.parquet", schema)
     return V.request_log_columns(stream).withColumn("ts", F.col("ts").cast("timestamp"))
 
 

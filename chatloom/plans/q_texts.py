@@ -132,13 +132,19 @@ def q_option_bias(spark, sf_dir):
 
 
 @query("option_consistency", f"""
-WITH {V.OPTION_ROWS.replace("p_partkey AS item", "p_partkey // 4 AS item")}, c AS (SELECT item, {_LETTER} AS letter FROM option_rows)
-SELECT item, count(*) AS n_orders, count(letter) = count(*) AND count(DISTINCT letter) = 1 AS consistent FROM c GROUP BY item""")
+WITH {V.OPTION_ROWS}, c AS (SELECT item // 4 AS item, CASE WHEN item % 8 < 4 THEN chr((65 + (9 - item % 4) % 4)::INT) ELSE {_LETTER} END AS letter, item % 4 AS turned FROM option_rows),
+t AS (SELECT item, (strpos('ABCD', letter) - 1 + turned) % 4 AS content FROM c)
+SELECT item, count(*) AS n_orders, count(content) = count(*) AND count(DISTINCT content) = 1 AS consistent FROM t GROUP BY item""")
 def q_option_consistency(spark, sf_dir):
-    """Four neighbouring parts count as four orderings of one item."""
-    rows = V.option_rows(spark, sf_dir)
-    asked = rows.select(F.floor(F.col("item") / 4).cast("bigint").alias("item"), X.extract_option(F.col("output")).alias("letter"))
-    return X.permutation_consistency(asked, "item", "letter")
+    """Four neighbouring parts count as four orderings of one item, the options turned by 0 to 3 places.
+
+    Every other item is answered with the letter that stands for the same content each time.
+    """
+    rows, turned = V.option_rows(spark, sf_dir), F.col("item") % 4
+    steady = F.char(65 + (9 - turned) % 4)
+    letter = F.when(F.col("item") % 8 < 4, steady).otherwise(X.extract_option(F.col("output")))
+    asked = rows.select(F.floor(F.col("item") / 4).cast("bigint").alias("item"), letter.alias("letter"), turned.cast("int").alias("turned"))
+    return X.permutation_consistency(asked.withColumn("content", X.chosen_content("letter", "turned", 4)), "item", "content")
 
 
 _TOKENS = f"""tk AS (SELECT id, {sql_words(sql_clean('prediction'))} AS p, {sql_words(sql_clean('reference'))} AS r FROM both_pairs),

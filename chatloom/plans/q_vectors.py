@@ -81,10 +81,12 @@ def quantize_nf4(spark, sf_dir):
     return coded.select("vec_id", F.round(F.col("absmax")[0], 8).alias("absmax"), F.array_join("codes", ",").alias("codes"))
 
 
-@query("double_quantize", f"""WITH {_NF4}, g AS (SELECT vec_id, s, vec_id // 256 AS scale_group, max(s) OVER (PARTITION BY vec_id // 256) / 255.0::DOUBLE AS ss FROM quantised)
+@query("double_quantize", f"""WITH {_NF4}, k AS (SELECT vec_id * vec_id AS vec_id, s, (row_number() OVER (ORDER BY vec_id) - 1) // 256 AS scale_group FROM quantised), g AS (SELECT *, max(s) OVER (PARTITION BY scale_group) / 255.0::DOUBLE AS ss FROM k)
 SELECT vec_id, scale_group, round(ss, 8) AS scale_of_scales, CAST(round(s / ss) AS INTEGER) AS code, round(round(s / ss) * ss, 6) AS restored_absmax FROM g""")
 def double_quantize(spark, sf_dir):
-    doubled = Q.double_quantize(Q.quantize_nf4(vectors(spark, sf_dir), "embedding"), "vec_id")
+    """Ids are squared, so that they have gaps."""
+    coded = Q.quantize_nf4(vectors(spark, sf_dir), "embedding").withColumn("vec_id", F.col("vec_id") * F.col("vec_id"))
+    doubled = Q.double_quantize(coded, "vec_id")
     return doubled.select(
         "vec_id", "scale_group", F.round("scale_of_scales", 8).alias("scale_of_scales"), "code", F.round("restored_absmax", 6).alias("restored_absmax")
     )

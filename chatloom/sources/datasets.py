@@ -26,17 +26,15 @@ _DECODE = [
 GENERATE_REQUEST = T.StructType([T.StructField("prompt", T.StringType()), *_DECODE])
 CHAT_REQUEST = T.StructType([T.StructField("messages", T.ArrayType(MESSAGE)), *_DECODE])
 
-_NOTEBOOK = T.StructType([
-    T.StructField("cells", T.ArrayType(T.StructType([
-        T.StructField("cell_type", T.StringType()),
-        T.StructField("source", T.ArrayType(T.StringType())),
-    ]))),
-])
+def _notebook(source: T.DataType) -> T.StructType:
+    cell = T.StructType([T.StructField("cell_type", T.StringType()), T.StructField("source", source)])
+    return T.StructType([T.StructField("cells", T.ArrayType(cell))])
 
 
-def read_dataset(spark: SparkSession, uri: str, schema: T.StructType | None = None) -> DataFrame:
+def read_dataset(spark: SparkSession, uri: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
     """JSON lines for ``.json``/``.jsonl``, CSV with header for ``.csv``; anything else is refused.
 
+    CSV files are split between tasks unless ``multi_line`` says that quoted values hold line breaks.
     Pass a schema on large inputs: without one, JSON needs an extra pass to infer it and
     CSV columns stay strings.
     """
@@ -45,7 +43,7 @@ def read_dataset(spark: SparkSession, uri: str, schema: T.StructType | None = No
         return reader.json(uri)
     if uri.endswith(".csv"):
         reader = spark.read.schema(schema) if schema else spark.read
-        return reader.csv(uri, header=True, multiLine=True, escape='"')
+        return reader.csv(uri, header=True, multiLine=multi_line, escape='"')
     raise ValueError(f"unsupported dataset format: {uri} (expected .json, .jsonl or .csv)")
 
 
@@ -96,10 +94,15 @@ def parse_requests(df: DataFrame, col: str, schema: T.StructType = GENERATE_REQU
 
 
 def notebook_cells(df: DataFrame, keep: Sequence[str], col: str) -> DataFrame:
-    """Code cells of notebook documents held in a JSON text column: ``*keep, cell, source``."""
-    cells = df.select(*keep, F.posexplode(F.from_json(F.col(col), _NOTEBOOK)["cells"]).alias("cell", "_c"))
-    code = cells.filter(F.col("_c.cell_type") == "code")
-    return code.select(*keep, "cell", F.array_join("_c.source", "").alias("source"))
+    """Code cells of notebook documents held in a JSON text column: ``*keep, cell, source``.
+
+    The format allows a cell's source as a list of lines or as one string; each is read by the schema that fits it.
+    """
+    lists = F.from_json(F.col(col), _notebook(T.ArrayType(T.StringType())))["cells"]
+    texts = F.from_json(F.col(col), _notebook(T.StringType()))["cells"]
+    cells = df.select(*keep, F.posexplode(F.arrays_zip(lists.alias("l"), texts.alias("t"))).alias("cell", "_c"))
+    code = cells.filter(F.col("_c.t.cell_type") == "code")
+    return code.select(*keep, "cell", F.coalesce(F.array_join("_c.l.source", ""), "_c.t.source").alias("source"))
 
 
 def read_notebooks(spark: SparkSession, glob: str) -> DataFrame:

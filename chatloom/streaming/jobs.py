@@ -70,6 +70,14 @@ def drain(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def from_table(spark, path: str, schema, fmt: str = "parquet", max_files: int = 1000) -> DataFrame:
+    """File stream over a table that is one file or a folder of part files; a path that does not exist is an error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(place)
+    root, pattern = (path, "*") if found.isDirectory() else path.rsplit("/", 1)
+    return from_files(spark, root, pattern, schema, fmt, max_files=max_files)
+
+
 def from_files(spark, root: str, pattern: str, schema, fmt: str, select: Callable[[DataFrame], DataFrame] | None = None, max_files: int = 1000) -> DataFrame:
     """File stream with the arrival time of every row's file as ``arrived``."""
     reader = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", max_files)

@@ -125,10 +125,12 @@ def test_turn_grammar(spark):
         1: ["user", "assistant", "user"], 2: ["system", "user", "assistant"], 3: ["assistant", "user"], 4: ["user", "user"],
         5: ["user", "system", "assistant"], 6: ["system"], 7: ["user", "tool"],
     }
-    rows = [(c, t, r) for c, roles in talks.items() for t, r in enumerate(roles)] + [(8, 0, "user"), (8, 2, "user")]
+    rows = [(c, t, r) for c, roles in talks.items() for t, r in enumerate(roles)] + [(8, 0, "user"), (8, 0, "user"), (8, 3, "assistant"), (8, 3, "assistant")]
+    rows += [(9, 1, "user"), (9, 2, "assistant"), (10, 0, "user"), (10, 2, "assistant"), (10, 1_000_000_007, "user"), (11, None, "user")]
     got = {r.c: r.reasons for r in K.validate_turns(spark.createDataFrame(rows, "c int, turn long, role string"), "c").collect()}
     assert got[1] == [] and got[2] == [] and got[3] == ["alternation"] and got[4] == ["alternation"]
-    assert "late_system" in got[5] and got[6] == ["no_user_turn"] and got[7] == ["unknown_role"] and got[8] == ["numbering"]
+    assert "late_system" in got[5] and got[6] == ["no_user_turn"] and got[7] == ["unknown_role"] and got[8] == ["numbering", "alternation"]
+    assert got[9] == [] and got[10] == [] and got[11] == ["numbering"]
 
 
 def test_request_ranges_and_greedy_decoding(spark):
@@ -147,12 +149,13 @@ def test_request_ranges_and_greedy_decoding(spark):
 
 def test_redaction(spark):
     text = "Hi Ann, mail a.b@c.org or +1 (555) 555-0199, card 4111 1111 1111 1111, ssn 123-45-6789, ip 10.20.30.40. Anna"
-    df = spark.createDataFrame([(1, text), (2, None), (3, "AnnÉ")], "i int, t string")
+    df = spark.createDataFrame([(1, text), (2, None), (3, "AnnÉ"), (4, "no 411-111-111-111-111.")], "i int, t string")
     out = {r.i: r.redacted for r in R.redact_pii(df, "t", ["Ann"]).collect()}
     assert out[1] == "Hi [REDACTED_NAME], mail [REDACTED_EMAIL] or [REDACTED_PHONE], card [REDACTED_CARD], ssn [REDACTED_SSN], ip 10.20.30.40. Anna"
     assert out[2] is None and out[3] == "AnnÉ"
-    with pytest.raises(ValueError):
-        R.redact(F.lit("x"), [f"n{i}" for i in range(R.MAX_NAMES + 1)])
+    assert out[4] == "no [REDACTED_CARD]."
+    many = df.select(R.redact(F.lit("n4999 met n49"), [f"n{i}" for i in range(5000)]).alias("t")).first()
+    assert many.t == "[REDACTED_NAME] met [REDACTED_NAME]"
 
 
 def test_contamination_with_short_and_long_items(spark):

@@ -155,6 +155,9 @@ def test_requests_with_broken_json(spark):
 def test_notebooks_and_audit(spark, tmp_path):
     book = '{"cells": [{"cell_type": "markdown", "source": ["x"]}, {"cell_type": "code", "source": ["!pip x\\n", "  %matplotlib\\n", "run()"]}]}'
     (tmp_path / "n.ipynb").write_text(book)
+    (tmp_path / "s.ipynb").write_text('{"cells": [{"cell_type": "code", "source": "[1, 2]"}, {"cell_type": "code", "source": []}]}')
+    assert {(r.cell, r.source) for r in D.read_notebooks(spark, f"{tmp_path}/s.ipynb").collect()} == {(0, "[1, 2]"), (1, "")}
+    (tmp_path / "s.ipynb").unlink()
     cells = D.read_notebooks(spark, f"{tmp_path}/*.ipynb")
     audited = D.audit_patterns(cells, "source", [("runs", ["run()"], []), ("magic", ["# !pip"], ["#   %mat", "nope"]), ("casts", ["float32", "float16"], [])])
     row = audited.first()

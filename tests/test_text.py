@@ -86,7 +86,7 @@ def test_hyphens_are_deleted_not_split(spark):
 
 
 def test_set_f1_marker_leakage_needs_cleaning(spark):
-    rows = [(1, "Fine!", "Fine \U0001f44d"), (2, "Fine<end_of_turn>", "Fine")]
+    rows = [(1, "Arrived.", "arrived \U0001f4e6"), (2, "Arrived<eos> again", "Arrived")]
     df = spark.createDataFrame(rows, "i int, prediction string, reference string")
     assert [r.f1_score for r in M.token_f1_set(df).orderBy("i").collect()] == [1.0, 0.0]
     cleaned = df.withColumn("prediction", X.clean_prediction(F.col("prediction")))
@@ -94,7 +94,7 @@ def test_set_f1_marker_leakage_needs_cleaning(spark):
 
 
 def test_formal_worked_example(spark):
-    df = spark.createDataFrame([(1, "Acme", "Acme Ltd.")], "i int, prediction string, reference string")
+    df = spark.createDataFrame([(1, "harbour", "harbour bridge")], "i int, prediction string, reference string")
     row = M.token_prf_formal(df).first()
     assert (row.precision, row.recall, round(row.f1_score, 2)) == (1.0, 0.5, 0.67)
 
