@@ -142,11 +142,13 @@ ELO_SCALE = 400 * math.log10(math.e)
 
 
 def bradley_terry(
-    matrix: DataFrame, iterations: int = 40, pseudo: float = 0.5, tolerance: float = 0.0, per_checkpoint: int = 5
+    matrix: DataFrame, pseudo: float = 0.5, tolerance: float = 1e-8, momentum: float = 0.7, per_checkpoint: int = 12
 ) -> DataFrame:
     """Maximum-likelihood strengths from a win matrix: ``model, theta, elo, step``.
 
-    Minorise-maximise updates p_i = W_i / sum_j n_ij / (p_i + p_j) on the aggregated matrix. A
+    Minorise-maximise updates p_i = W_i / sum_j n_ij / (p_i + p_j) on the aggregated matrix, each in theta with ``momentum`` times the
+    last step on top (sparse schedules settle slowly without), until no strength changes by more than ``tolerance`` of itself;
+    the first guess is the ratio of wins to losses. With ``pseudo`` at 0 a maximum must exist: no group of models may win or lose all its games with the rest. A
     tie is half a win for each side, and every pair that met gets ``pseudo`` extra wins both
     ways, so undefeated models stay finite. The gauge is mean theta 0 (Elo mean 1200). ``step``
     is the model's last relative change.
@@ -156,11 +158,12 @@ def bradley_terry(
     (joining it with itself would double the plan every time), and the plan is cut every few
     rounds.
     """
-    share = F.struct(F.col("opponent"), (F.col("wins") + F.col("losses") + F.col("ties") + F.lit(2 * pseudo)).alias("n"))
+    won, lost = F.col("wins") + F.col("ties") / 2 + F.lit(pseudo), F.col("losses") + F.col("ties") / 2 + F.lit(pseudo)
+    share = F.struct(F.col("opponent"), (won + lost).alias("n"))
     state = cut_lineage(matrix.groupBy("model").agg(
-        F.sum(F.col("wins") + F.col("ties") / 2 + F.lit(pseudo)).alias("won"), F.collect_list(share).alias("games")
-    ).withColumn("p", F.lit(1.0)).withColumn("step", F.lit(None).cast("double")))
-    kept = F.struct(F.col("won"), F.col("games"), F.col("p"))
+        F.sum(won).alias("won"), F.sum(lost).alias("_lost"), F.collect_list(share).alias("games")
+    ).withColumn("p", F.col("won") / F.col("_lost")).withColumn("last", F.col("p")).drop("_lost").withColumn("step", F.lit(None).cast("double")))
+    kept = F.struct(F.col("won"), F.col("games"), F.col("p"), F.col("last"))
 
     def letters(own: Column) -> Column:
         # the bound struct keeps the strength from being recomputed for every opponent
@@ -170,16 +173,18 @@ def bradley_terry(
         ))
         return F.concat(F.array(to_self), to_others)
 
-    for done in range(1, iterations + 1):
+    done = 0
+    while True:
+        done += 1
         mail = state.select(F.explode_outer(let(kept, letters)).alias("m")).select("m.*")
         inbox = mail.groupBy(F.col("to").alias("model")).agg(F.first("own", ignorenulls=True).alias("own"), F.collect_list("sent").alias("sent"))
         load = F.aggregate("sent", F.lit(0.0), lambda acc, x: acc + x["n"] / (F.col("own.p") + x["q"]))
-        fresh = F.col("own.won") / load
+        fresh = F.col("own.won") / load * F.pow(F.col("own.p") / F.col("own.last"), F.lit(momentum))
         state = inbox.select("model", F.col("own.won").alias("won"), F.col("own.games").alias("games"), F.col("own.p").alias("_old"), fresh.alias("p"))
-        state = state.withColumn("step", F.abs(F.col("p") - F.col("_old")) / F.col("_old")).drop("_old")
-        if done % per_checkpoint == 0 or done == iterations:
+        state = state.withColumn("step", F.abs(F.col("p") - F.col("_old")) / F.col("_old")).withColumnRenamed("_old", "last")
+        if done % per_checkpoint == 0:
             state = cut_lineage(state)
-            if tolerance and state.agg(F.max("step")).first()[0] < tolerance:
+            if (state.agg(F.max("step")).first()[0] or 0.0) < tolerance:
                 break
     logs = state.select("model", F.log("p").alias("_t"), "step")
     # one line per model: the mean is a window over the ratings, not over the verdicts

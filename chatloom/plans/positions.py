@@ -17,6 +17,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatloom.session import cut_lineage
+
 
 def id_bucket(df: DataFrame, id_col: str, rows_per_bucket: int = 1_000_000) -> Column:
     """Equal-width buckets over a unique integer id.
@@ -65,6 +67,21 @@ def running_total(
     return joined.withColumn(out, F.col("_base") + F.sum("_value").over(inside)).drop("_bucket", "_value", "_base")
 
 
+def with_places(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    """Add ``out``: the place (from 0) of each row in ``order``, for columns of any orderable type.
+
+    Sampled splitters range-partition the rows, partitions are sorted, and a row's place is its place in its partition plus the rows of the partitions
+    before. The windows see one line per partition. Clumped or distant values do no harm.
+    """
+    bits = 33  # monotonically_increasing_id keeps the partition above these and the place below
+    placed = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_part", F.shiftright("_at", bits))
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    place = F.col("_base") + F.col("_at") - F.shiftleft("_part", bits)
+    return placed.join(bases, "_part").withColumn(out, place).drop("_at", "_part", "_base")
+
+
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key: the first in ``order``.
 

@@ -105,11 +105,12 @@ won AS (SELECT i, sum(w) AS won FROM games JOIN names USING (model) GROUP BY i),
 sched AS (SELECT x.i, list(y.i ORDER BY y.i) AS js, list(n ORDER BY y.i) AS ns FROM games g JOIN names x ON x.model = g.model JOIN names y ON y.model = g.opponent GROUP BY x.i),
 plan AS (SELECT list({{'won': won, 'js': js, 'ns': ns}} ORDER BY i) AS rows FROM won JOIN sched USING (i)),
 step AS (SELECT 0 AS it, list_transform(rows, lambda r: 1.0::DOUBLE) AS p, rows FROM plan
-  UNION ALL SELECT it + 1, list_transform(rows, lambda r, i: r.won / list_sum(list_transform(r.js, lambda j, k: r.ns[k] / (p[i] + p[j])))), rows FROM step WHERE it < 30),
-last AS (SELECT unnest(p) AS p, unnest(range(1, len(p) + 1)) AS i FROM step WHERE it = 30)
+  UNION ALL SELECT it + 1, list_transform(rows, lambda r, i: r.won / list_sum(list_transform(r.js, lambda j, k: r.ns[k] / (p[i] + p[j])))), rows FROM step WHERE it < 1500),
+last AS (SELECT unnest(p) AS p, unnest(range(1, len(p) + 1)) AS i FROM step WHERE it = 1500)
 SELECT model, round(ln(p) - avg(ln(p)) OVER (), 3) AS theta, round(400 * log10(exp(1)) * (ln(p) - avg(ln(p)) OVER ()) + 1200, 1) AS elo FROM last JOIN names USING (i)""")
 def bradley_terry(spark, sf_dir):
-    rated = P.bradley_terry(P.win_matrix(outcomes(spark, sf_dir)), iterations=30)
+    """The SQL takes plain steps, many times as many as it needs."""
+    rated = P.bradley_terry(P.win_matrix(outcomes(spark, sf_dir)))
     return rated.select("model", F.round("theta", 3).alias("theta"), F.round("elo", 1).alias("elo"))
 
 

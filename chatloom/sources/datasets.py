@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatloom.plans.positions import id_bucket, running_total
+from chatloom.plans.positions import with_places
 
 MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
 CHAT_SAMPLE = T.StructType([T.StructField("messages", T.ArrayType(MESSAGE))])
@@ -48,13 +48,12 @@ def read_dataset(spark: SparkSession, uri: str, schema: T.StructType | None = No
 
 
 def read_split(
-    df: DataFrame, split: str, order_by: str, split_col: str | None = None, take_ordered_up_to: int = 10_000
+    df: DataFrame, split: str, order_by: str, split_col: str | None = None
 ) -> DataFrame:
     """``train`` or ``train[a:b]``: rows a..b-1 of the split in ``order_by`` order.
 
-    Spark keeps no file order, so an order column with unique values is required. Short
-    prefixes use Spark's top-k; longer slices rank inside bounded buckets, which needs a
-    numeric ``order_by``, and never pull the slice into one task.
+    Spark keeps no file order, so an order column with unique values is required, of any orderable type. Slices of every length
+    are cut from places in a range-partitioned sort, so none is pulled into one task.
     """
     match = re.fullmatch(r"(\w+)(?:\[(\d*):(\d*)\])?", split)
     if not match:
@@ -62,17 +61,12 @@ def read_split(
     name, start, stop = match.groups()
     rows = df.filter(F.col(split_col) == name) if split_col else df
     first = int(start) if start else 0
-    if stop and int(stop) <= take_ordered_up_to:
-        top = rows.orderBy(order_by)
-        return top.offset(first).limit(max(0, int(stop) - first)) if first else top.limit(int(stop))
     if not first and not stop:
         return rows
-    limit = F.lit(int(stop)) if stop else None
-    ranked = running_total(rows, F.lit(1), [], id_bucket(rows, order_by), [order_by], "_rank", limit)
-    wanted = F.col("_rank") > first
+    wanted = F.col("_place") >= first
     if stop:
-        wanted = wanted & (F.col("_rank") <= int(stop))
-    return ranked.filter(wanted).drop("_rank")
+        wanted = wanted & (F.col("_place") < int(stop))
+    return with_places(rows, [order_by], "_place").filter(wanted).drop("_place")
 
 
 def write_jsonl(df: DataFrame, path: str, ascii: bool = False, mode: str = "errorifexists") -> None:

@@ -136,11 +136,15 @@ def test_read_dataset_formats(spark, tmp_path):
 def test_read_split_slices(spark):
     df = spark.range(100).select((99 - F.col("id")).alias("id"), F.lit("train").alias("split"))
 
-    def ids(spec, **kw):
-        return sorted(r.id for r in D.read_split(df, spec, "id", "split", **kw).collect())
+    def ids(spec):
+        return sorted(r.id for r in D.read_split(df, spec, "id", "split").collect())
 
     assert ids("train[:10]") == list(range(10)) and ids("train[5:8]") == [5, 6, 7]
-    assert ids("train[:60]", take_ordered_up_to=5) == list(range(60)) and ids("train[90:]", take_ordered_up_to=5) == list(range(90, 100))
+    assert ids("train[:60]") == list(range(60)) and ids("train[90:]") == list(range(90, 100))
+    named = spark.range(12_000).select(F.format_string("k%05d", F.col("id")).alias("id"), F.lit("train").alias("split")).repartition(5)
+    for n in (9_999, 10_001):
+        got = D.read_split(named, f"train[:{n}]", "id", "split")
+        assert got.count() == n and got.agg(F.max("id")).first()[0] == f"k{n - 1:05d}"
     assert len(ids("train")) == 100 and ids("test") == []
     with pytest.raises(ValueError):
         D.read_split(df, "train[1", "id")
