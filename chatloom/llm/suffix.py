@@ -28,7 +28,7 @@ def freeze(*arrays: np.ndarray) -> bytes:
         a = np.ascontiguousarray(a)
         head.append(struct.pack("<2sq", a.dtype.str[1:].encode(), len(a)))
         body.append(a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(bytes([len(arrays)]) + b"".join(head) + b"".join(body))
+    return zstandard.ZstdCompressor(level=3).compress(bytes([len(arrays)]) + b"".join(head) + b"".join(body))
 
 
 def thaw(blob: bytes) -> list[np.ndarray]:
@@ -390,7 +390,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
     """
     spark = docs.sparkSession
     targets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = buckets or _prime_from(8 * targets)
+    buckets = buckets or _prime_from(targets)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc_id"), text.alias("text"))
 
