@@ -46,6 +46,12 @@ def assemble_conversations(
     return grouped.select(id_col, "part", messages.alias("messages"))
 
 
+def with_last_part(parts: DataFrame, id_col: str) -> DataFrame:
+    """Add ``is_last``: whether a part is the last of its conversation. Only ids and part numbers meet."""
+    ends = parts.groupBy(F.col(id_col).alias("_id")).agg(F.max("part").alias("_end"))
+    return parts.join(ends, F.col(id_col).eqNullSafe(F.col("_id"))).withColumn("is_last", F.col("part") == F.col("_end")).drop("_id", "_end")
+
+
 def explode_turns(df: DataFrame, id_col: str, messages: str = "messages", part_turns: int = 4096) -> DataFrame:
     """Inverse of :func:`assemble_conversations`."""
     base = F.col("part") * part_turns if "part" in df.columns else F.lit(0)
@@ -62,9 +68,14 @@ def render_chat(
     role_map: Mapping[str, str] | None = None,
     on_unknown: str = "drop",
     add_generation_prompt: bool = False,
+    first_part: Column | None = None,
+    last_part: Column | None = None,
 ) -> Column:
     """Messages to training text.
 
+    For conversations in parts, ``first_part`` and ``last_part`` say which part carries the opening token and which the generation prompt,
+    so that the parts' texts add up to the text of the whole.
+
     Only ``user`` and ``model`` turns are rendered. Other roles vanish (``on_unknown='drop'``,
     the fallback template's behaviour) unless ``role_map`` renames them first, or make the
     whole text null with ``on_unknown='null'``.
@@ -83,9 +94,12 @@ def render_chat(
         turn = F.concat(F.lit(start), role, F.lit("\n"), F.coalesce(m["content"], F.lit("")), F.lit(f"{end}\n"))
         return F.when(role.isin("user", "model"), turn).otherwise("")
 
-    text = F.concat(F.lit(bos), F.array_join(F.transform(messages, rendered), ""))
+    def only(where: Column | None, token: str) -> Column:
+        return F.lit(token) if where is None else F.when(where, token).otherwise("")
+
+    text = F.concat(only(first_part, bos), F.array_join(F.transform(messages, rendered), ""))
     if add_generation_prompt:
-        text = F.concat(text, F.lit(f"{start}model\n"))
+        text = F.concat(text, only(last_part, f"{start}model\n"))
     if on_unknown == "null":
         known = F.forall(messages, lambda m: F.coalesce(named(m).isin("user", "model"), F.lit(False)))
         text = F.when(known, text)
@@ -94,6 +108,8 @@ def render_chat(
 
 def select_train_field(df: DataFrame, messages: str = "messages", **render: object) -> DataFrame:
     """The ``text`` column when there is one, else the rendered messages, as ``train_text``."""
+    if "part" in df.columns:
+        render = {"first_part": F.col("part") == 0} | render
     source = F.col("text") if "text" in df.columns else render_chat(F.col(messages), **render)
     return df.withColumn("train_text", source)
 

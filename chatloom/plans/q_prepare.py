@@ -44,9 +44,10 @@ SELECT conv_id,
 FROM conversations GROUP BY conv_id""")
 def render_chat(spark, sf_dir):
     """With the serving role mapped to ``model``, and without: unknown roles disappear."""
-    made = P.assemble_conversations(table(spark, sf_dir, "conversations"), "conv_id", "turn")
-    mapped = P.render_chat(F.col("messages"), role_map={"assistant": "model"}, add_generation_prompt=True)
-    return made.select("conv_id", mapped.alias("mapped"), P.render_chat(F.col("messages")).alias("unmapped"))
+    made = P.with_last_part(P.assemble_conversations(table(spark, sf_dir, "conversations"), "conv_id", "turn"), "conv_id")
+    places = {"first_part": F.col("part") == 0, "last_part": F.col("is_last")}
+    mapped = P.render_chat(F.col("messages"), role_map={"assistant": "model"}, add_generation_prompt=True, **places)
+    return made.select("conv_id", mapped.alias("mapped"), P.render_chat(F.col("messages"), **places).alias("unmapped"))
 
 
 @query("select_train_field", """

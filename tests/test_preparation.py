@@ -38,6 +38,19 @@ def test_long_conversations_are_split_not_cut(spark):
     assert sorted((r.turn, r.text) for r in back.collect()) == [(i, f"t{i}") for i in range(25)]
 
 
+def test_parts_render_like_the_whole(spark):
+    rows = [(c, t, "user" if t % 2 == 0 else "model", f"{c}-{t}") for c in range(3) for t in range(5 + c)]
+    turns = spark.createDataFrame(rows, "c long, turn long, role string, text string")
+
+    def rendered(part_turns):
+        made = P.with_last_part(P.assemble_conversations(turns, "c", "turn", part_turns=part_turns), "c")
+        text = P.render_chat(F.col("messages"), add_generation_prompt=True, first_part=F.col("part") == 0, last_part=F.col("is_last"))
+        found = made.select("c", "part", text.alias("t")).orderBy("c", "part").collect()
+        return {c: "".join(r.t for r in found if r.c == c) for c in range(3)}
+
+    assert rendered(2) == rendered(4096)
+
+
 def test_render_chat(spark):
     df = spark.createDataFrame([([("system", "s"), ("user", "q"), ("assistant", "a"), ("model", "m")],)], f"messages array<{ROLE}>")
 
