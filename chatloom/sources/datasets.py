@@ -31,10 +31,10 @@ def _notebook(source: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("cells", T.ArrayType(cell))])
 
 
-def read_dataset(spark: SparkSession, uri: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
+def read_dataset(spark: SparkSession, uri: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
     """JSON lines for ``.json``/``.jsonl``, CSV with header for ``.csv``; anything else is refused.
 
-    CSV files are split between tasks unless ``multi_line`` says that quoted values hold line breaks.
+    Quoted CSV values may hold line breaks; where they do not, ``multi_line=False`` lets Spark split a file between tasks.
     Pass a schema on large inputs: without one, JSON needs an extra pass to infer it and
     CSV columns stay strings.
     """
