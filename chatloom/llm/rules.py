@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.session import cut_lineage
@@ -112,40 +112,62 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return 1.0 if k >= n else _log_beta_part(1 - p, n - k, k + 1)
 
 
+def tightening(rules: tuple[Rule, ...] = RULES) -> list[tuple[int, ...]]:
+    """The settings (grid step of each rule) that a walk tests, from all loosest to all tightest; one step of one rule at a time.
+
+    By turns each rule goes down to a half, a quarter, an eighth ... of its grid, so that none has to wait until another is tightest.
+    """
+    at = [r.steps - 1 for r in rules]
+    path = [tuple(at)]
+    for half in range(1, 1 + max(r.steps for r in rules).bit_length()):
+        for i, r in enumerate(rules):
+            while at[i] > r.steps >> half:
+                at[i] -= 1
+                path.append(tuple(at))
+    return path
+
+
+def labels_needed(walks: int, alpha: float = 0.02, delta: float = 0.05) -> int:
+    """Good documents that a walk needs before it can prove anything: none of them fails, and still (1 - alpha)^n must fall to its share of delta."""
+    return math.ceil(math.log(delta / max(1, walks)) / math.log1p(-alpha))
+
+
 def controlled_cutoffs(stats: DataFrame, good: DataFrame, rules: tuple[Rule, ...] = RULES, alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
-    """``stratum, rule, cutoff, n, rejected, bound_p``: the tightest cutoff whose false rejection is proven to stay within ``alpha``.
+    """``stratum, rule, cutoff, n, rejected, bound_p``: the tightest setting whose false rejection is proven to stay within ``alpha``.
 
     ``stats`` has a line per document, ``good`` the ids (``doc_id``) of labelled good documents; each good id counts once.
-    For each stratum and rule the hypotheses "more than alpha of the good documents exceed this cutoff" are tested from loose to
-    tight and the walk ends at the first that is not rejected, so a walk needs no correction of its own; ``delta`` is divided by the
-    number of walks (strata x rules) and ``alpha`` by the number of rules. A test is the exact binomial one. With probability
-    1 - delta no stratum loses more than alpha of its good documents to all rules together. Strata with too few good documents get no cutoff.
-    Holdouts enter as counts per stratum, rule and grid step, so the work after the count does not depend on their number.
+    For each stratum the hypotheses "more than alpha of the good documents fail some rule of this setting" are tested along
+    :func:`tightening` and the walk ends at the first that is not rejected, so a walk needs no correction of its own and the rules none for
+    one another; ``delta`` is divided by the number of strata. A test is the exact binomial one. With probability 1 - delta no stratum
+    loses more than alpha of its good documents to all rules together. Strata with fewer than :func:`labels_needed` get no cutoff.
+    ``rejected`` and ``bound_p`` are of the setting as a whole. Holdouts enter as counts per stratum and step of the walk, so the work after the
+    count does not depend on their number.
     """
     labelled = stats.join(good.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    levels = F.array(*[
-        # the number of grid cutoffs that the value exceeds
-        F.struct(F.lit(r.name).alias("rule"), F.least(F.lit(r.steps), F.greatest(F.lit(0), F.ceil(F.expr(r.expression) / r.step))).cast("int").alias("level"))
-        for r in rules])
-    counts = labelled.select("stratum", F.explode(levels).alias("x")).groupBy("stratum", "x.rule", "x.level").agg(F.count(F.lit(1)).alias("n"))
+    path = tightening(rules)
+
+    def first_failed(i: int, rule: Rule) -> Column:
+        """The step of the walk from which a document fails the rule, by the number of grid cutoffs that its value exceeds."""
+        steps = [next((t for t, at in enumerate(path) if at[i] < level), len(path)) for level in range(rule.steps + 1)]
+        level = F.least(F.lit(rule.steps), F.greatest(F.lit(0), F.ceil(F.expr(rule.expression) / rule.step))).cast("int")
+        return F.element_at(F.array(*map(F.lit, steps)), level + 1)
+
+    failed = [first_failed(i, r) for i, r in enumerate(rules)]
+    counts = labelled.select("stratum", F.array_min(F.array(*failed)).alias("step")).groupBy("stratum", "step").agg(F.count(F.lit(1)).alias("n"))
     strata = counts.select("stratum").distinct().count()
-    limit = delta / max(1, strata * len(rules))
-    grid = {r.name: r for r in rules}
+    limit = delta / max(1, strata)
 
     def walk(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        rule = grid[key[1]]
-        by = np.bincount(frame["level"], weights=frame["n"], minlength=rule.steps + 1).astype(np.int64)
-        n, best = int(by.sum()), None
-        # at cutoff step * i the values of levels above i fail
-        above = n - np.cumsum(by)
-        for i in range(rule.steps - 1, -1, -1):
-            p = binomial_tail(int(above[i]), n, alpha / len(rules))
+        by = np.bincount(frame["step"], weights=frame["n"], minlength=len(path) + 1).astype(np.int64)
+        n, best = int(by.sum()), []
+        for at, gone in zip(path, np.cumsum(by).tolist()):
+            p = binomial_tail(gone, n, alpha)
             if p > limit:
                 break
-            best = (key[0], key[1], rule.step * i, n, int(above[i]), p)
-        return pd.DataFrame([best] if best else [], columns=["stratum", "rule", "cutoff", "n", "rejected", "bound_p"])
+            best = [(key[0], r.name, r.step * i, n, gone, p) for r, i in zip(rules, at)]
+        return pd.DataFrame(best, columns=["stratum", "rule", "cutoff", "n", "rejected", "bound_p"])
 
-    return counts.groupBy("stratum", "rule").applyInPandas(walk, "stratum string, rule string, cutoff double, n bigint, rejected bigint, bound_p double")
+    return counts.groupBy("stratum").applyInPandas(walk, "stratum string, rule string, cutoff double, n bigint, rejected bigint, bound_p double")
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", rules: tuple[Rule, ...] = RULES, alpha: float = 0.02,
@@ -154,14 +176,24 @@ def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", rul
 
     Columns: the statistics, ``base_failed``, ``failed_rules`` (names) and ``kept``. A document fails the base with fewer than
     ``min_words`` words or more than ``max_repeat_percent`` of them in repeated windows. It fails a rule when it
-    exceeds the cutoff that :func:`controlled_cutoffs` selected for its stratum. The holdout is every labelled document of
-    quality 1 that passes the base. Null texts have no words; a null stratum is one of its own; repeated rows get equal lines; rows
+    exceeds the cutoff that :func:`controlled_cutoffs` selected for its stratum with half of ``delta``. A stratum with too few labels
+    for that takes the cutoffs selected with the other half on all strata as one, whose bound holds for the good documents of all strata
+    together and not for each stratum. The holdout is every labelled document of quality 1 that passes the base. Null texts have no words; a null stratum is one of its own; repeated rows get equal lines; rows
     with a null id are judged but never serve as labels. An empty table gives an empty result, and without labels only the base holds.
     """
     stats = cut_lineage(measure(docs, stratum).withColumn(
         "base_failed", F.expr(f"n_words < {min_words} or 100 * n_repeat_words > {max_repeat_percent} * n_words")))
     good = labels.filter("quality = 1").select(F.col("doc_id").cast("bigint"))
-    cutoffs = controlled_cutoffs(stats.filter("not base_failed"), good, rules, alpha, delta)
+    passed = stats.filter("not base_failed")
+    own = controlled_cutoffs(passed, good, rules, alpha, delta / 2)
+    pooled = controlled_cutoffs(passed.withColumn("stratum", F.lit("")), good, rules, alpha, delta / 2)
+    labelled = cut_lineage(passed.join(good.distinct(), "doc_id", "left_semi").groupBy("stratum").agg(F.count_distinct("doc_id").alias("n")))
+    least = labels_needed(labelled.count(), alpha, delta / 2)
+    poor = stats.select("stratum").distinct().join(labelled.filter(F.col("n") >= least), "stratum", "left_anti")
+    cutoffs = own.select("stratum", "rule", "cutoff")
+    lent = [F.struct(F.lit(r["rule"]).alias("rule"), F.lit(r["cutoff"]).alias("cutoff")) for r in pooled.collect()]  # one line per rule
+    if lent:
+        cutoffs = cutoffs.unionByName(poor.select("stratum", F.explode(F.array(*lent)).alias("x")).select("stratum", "x.rule", "x.cutoff"))
     by_stratum = cut_lineage(cutoffs.groupBy(F.col("stratum").alias("_stratum")).agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_cut")))
     judged = stats.join(by_stratum, F.col("stratum") == F.col("_stratum"), "left")
     failed = F.array_compact(F.array(*[F.when(F.expr(r.expression) > F.col("_cut")[r.name], F.lit(r.name)) for r in rules]))

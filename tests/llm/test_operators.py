@@ -390,6 +390,27 @@ def test_rules_cutoffs_respect_the_bound(spark):
     assert cut["bound_p"] <= 0.05 / 8 and rules.binomial_tail(cut["rejected"], cut["n"], 0.02) == pytest.approx(cut["bound_p"])
 
 
+def test_rules_judge_strata_with_few_labels(spark):
+    texts = {True: "quiet words that differ " + " ".join(f"w{i}" for i in range(60)), False: "## ** $$ " * 10 + " ".join(f"v{i}" for i in range(60))}
+    sizes = {"aa": 300, "bb": 300, "cc": 300, "dd": 30}
+    rows = [(1000 * k + i, texts[i < n], lang) for k, (lang, n) in enumerate(sizes.items()) for i in range(n + 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, int(t == texts[True])) for i, t, _ in rows], "doc_id bigint, quality int")
+    got = rules.quality_rules(docs, labels).collect()
+    assert {r["stratum"] for r in got if r["failed_rules"]} == set(sizes)
+    assert all(r["kept"] == (r["n_symbols"] == 0) for r in got)
+    assert rules.labels_needed(4, 0.02, 0.025) == 252 and rules.labels_needed(1, 0.02, 0.025) == 183
+
+
+def test_rules_are_proven_together(spark):
+    # each rule alone may lose 2 percent of the good documents, both together may not
+    stats = [(i, "en", 100, 500, 60 * (i % 60 == 0), 0, 0, 5, 60 * (i % 60 == 30)) for i in range(1200)]
+    frame, good = spark.createDataFrame(stats, rules.STATISTICS), spark.createDataFrame([(s[0],) for s in stats], "doc_id bigint")
+    got = rules.controlled_cutoffs(frame, good).collect()
+    assert {r["rule"] for r in got} == {r.name for r in rules.RULES} and len({(r["rejected"], r["n"]) for r in got}) == 1
+    assert got[0]["rejected"] <= 24 and rules.binomial_tail(got[0]["rejected"], got[0]["n"], 0.02) <= 0.05
+
+
 # ---- 9 toxicity
 
 
