@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import clean_text, clean_words, gram_hash, let, word_hashes
+from chatloom.plans.candidates import first_candidates, shared_lines, with_sketch
 from chatloom.plans.positions import first_by, salted_lookup
 from chatloom.session import cut_lineage
 
@@ -42,7 +43,7 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def near_dups(
-    df: DataFrame, id_col: str, text: str, threshold: float = 0.7, k: int = 3, group_limit: int = 64
+    df: DataFrame, id_col: str, text: str, threshold: float = 0.7, k: int = 3, width: int = 2, hot: int = 20_000
 ) -> DataFrame:
     """First-wins rejection of near duplicates: ``id, kept_id, jaccard``.
 
@@ -51,10 +52,11 @@ def near_dups(
     ``kept_id = id``, a rejected one the id of a kept row that rejects it.
 
     Candidates are exact: with the shingles of every row ordered by how many rows have them, two rows of that Jaccard
-    share one of their first ``n - ceil(threshold * n) + 1`` shingles. Rows that share a shingle of at most ``group_limit``
-    rows are compared once, up front. A shingle that more rows have belongs to their near copies; such groups are settled in
-    rounds, in which only the first undecided row of a group is compared with the others. So no group is
-    ever paired with itself, and unrelated rows never wait for one another. Rows with identical shingle sets are folded into one beforehand.
+    share one of their first ``n - ceil(threshold * n) + 1`` shingles. Inside the group of a shingle each row names its first ``width`` earlier
+    rows that size, position and sketch allow (:func:`chatloom.plans.candidates.first_candidates`), and these pairs are verified. A row without any is kept, one
+    that resembles a kept row is rejected, one that resembles an undecided row waits for it, and one whose candidates all failed looks again. Unlike rows do not
+    pass the sketches, so the rounds follow the chains of like rows and not the size of a group, and no group's pairs become rows.
+    Groups above ``hot`` rows are split by size. Rows with identical shingle sets are folded into one beforehand.
     """
     texts = df.select(F.col(id_col).alias("id"), F.col(text).alias("t"))
     sets = texts.select("id", shingle_set(F.col("t"), k).alias("s"))
@@ -63,35 +65,36 @@ def near_dups(
     distinct = signed.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
     copies = cut_lineage(salted_lookup(signed.select("id", "key"), distinct, "key", "n").select("id", "rep"))
     rep_sets = cut_lineage(signed.select("id", "s").join(distinct.select(F.col("rep").alias("id")), "id", "left_semi"))
-    index = cut_lineage(_prefixes(rep_sets, threshold))
-
-    sizes = index.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    small = index.join(sizes.filter(F.col("n") <= group_limit), "token")
-    right = small.select("token", F.col("id").alias("later"), F.col("size").alias("later_size"))
-    close = (F.col("size") >= F.lit(threshold) * F.col("later_size")) & (F.col("later_size") >= F.lit(threshold) * F.col("size"))
-    pairs = small.join(right, "token").filter((F.col("id") < F.col("later")) & close).select(F.col("later").alias("id"), F.col("id").alias("head")).distinct()
-    edges = cut_lineage(_with_jaccard(pairs, rep_sets).filter(F.col("jaccard") >= threshold))
-    big = cut_lineage(_shared_tokens(index.join(sizes.filter(F.col("n") > group_limit), "token", "left_semi").select("id", F.col("token"))))
+    shared = cut_lineage(shared_lines(_prefixes(rep_sets, threshold), threshold, hot))
+    state = cut_lineage(shared.select("id").distinct().withColumn("state", F.lit("looks")))
+    bits = cut_lineage(with_sketch(rep_sets.join(state.select("id"), "id", "left_semi"), "s"))
 
+    kind = state.schema["id"].dataType.simpleString()
+    edges = df.sparkSession.createDataFrame([], f"id {kind}, head {kind}, jaccard double")
+    refused = edges.select("id", "head")
     verdicts: list[DataFrame] = []
-    while not (big.isEmpty() and edges.isEmpty()):
-        heads = big.groupBy("token").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n"))
-        linked = cut_lineage(salted_lookup(big, heads, "token", "n").select("id", "head"))
-        # a row waits for the first row of each of its large groups and for every earlier row that it resembles
-        waits = linked.unionByName(edges.select("id", "head")).unionByName(edges.select(F.col("head").alias("id"), "head"))
-        leaders = cut_lineage(waits.groupBy("id").agg(F.min("head").alias("head")).filter("id = head").select("id"))
-        met = linked.filter("id <> head").distinct().join(leaders.select(F.col("id").alias("head")), "head", "left_semi")
-        checked = _with_jaccard(met, rep_sets).filter(F.col("jaccard") >= threshold)
-        told = checked.unionByName(edges.join(leaders.select(F.col("id").alias("head")), "head", "left_semi").select("id", "head", "jaccard"))
-        rejected = told.groupBy("id").agg(F.min(F.struct(F.col("head"), F.col("jaccard"))).alias("m"))
-        decided = rejected.select("id", F.col("m.head").alias("kept_id"), F.col("m.jaccard").alias("jaccard")).unionByName(
-            leaders.select("id", F.col("id").alias("kept_id"), F.lit(1.0).alias("jaccard"))
-        )
-        decided = cut_lineage(decided)
-        verdicts.append(decided)
-        gone = decided.select("id")
-        big = cut_lineage(_shared_tokens(big.join(gone, "id", "left_anti")))
-        edges = cut_lineage(edges.join(gone, "id", "left_anti").join(gone.select(F.col("id").alias("head")), "head", "left_anti").select("id", "head", "jaccard"))
+    lines = shared
+    while not state.filter("state <> 'kept'").isEmpty():
+        failed = refused.groupBy("id").agg(F.collect_set("head").alias("failed"))
+        facts = bits.join(state, "id").join(failed, "id", "left").withColumn("looks", F.col("state") == "looks").drop("state")
+        pairs = cut_lineage(first_candidates(lines.join(facts, "id"), threshold, width).select("id", "head").distinct())
+        checked = cut_lineage(_with_jaccard(pairs, rep_sets))
+        alone = state.filter("state = 'looks'").join(pairs, "id", "left_anti").select("id")
+        kept = state.filter("state = 'kept'").select("id").unionByName(alone)
+        like = cut_lineage(edges.unionByName(checked.filter(F.col("jaccard") >= threshold)))
+        told = like.join(kept.select(F.col("id").alias("head")), "head", "left_semi")
+        rejected = told.groupBy("id").agg(F.min(F.struct("head", "jaccard")).alias("m"))
+        verdicts.append(cut_lineage(rejected.select("id", F.col("m.head").alias("kept_id"), F.col("m.jaccard").alias("jaccard"))))
+        gone = verdicts[-1].select("id")
+        refused = cut_lineage(refused.unionByName(checked.filter(F.col("jaccard") < threshold).select("id", "head")).join(gone, "id", "left_anti"))
+        edges = cut_lineage(like.join(gone, "id", "left_anti").join(gone.select(F.col("id").alias("head")), "head", "left_anti").select("id", "head", "jaccard"))
+        waiting = edges.select("id", F.lit("waits").alias("w")).distinct()
+        sure = kept.select("id", F.lit("kept").alias("k"))
+        left = state.select("id").join(gone, "id", "left_anti").join(sure, "id", "left").join(waiting, "id", "left")
+        state = cut_lineage(left.select("id", F.coalesce("k", "w", F.lit("looks")).alias("state")))
+        # only groups in which someone looks have to be seen again
+        open_groups = shared.join(state.filter("state = 'looks'"), "id", "left_semi").select("token", "band").distinct()
+        lines = shared.join(open_groups, ["token", "band"], "left_semi")
 
     found = verdicts[0] if verdicts else None
     for more in verdicts[1:]:
@@ -108,21 +111,17 @@ def near_dups(
 
 
 def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
-    """``id, token, size``: the rarest shingles of each row, as many as a similar row cannot miss altogether."""
+    """``token, id, size, place``: the rarest shingles of each row, as many as a similar row cannot miss altogether, with their places in the order."""
     lines = sets.select("id", F.size("s").alias("size"), F.explode("s").alias("token"))
     n = lines.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     # a shingle that only one row has links nothing, but it takes its place among the first ones: its row needs the number of such
     shared = salted_lookup(lines, n.filter("n > 1"), "token", "n")
     own = shared.groupBy("id", "size").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("rest"))
     length = F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1
-    left = F.greatest(F.lit(0), length - (F.col("size") - F.size("rest"))).cast("int")
-    return own.select("id", "size", F.explode(F.slice("rest", F.lit(1), left)).alias("t")).select("id", "size", F.col("t.token").alias("token"))
-
-
-def _shared_tokens(index: DataFrame) -> DataFrame:
-    """Index lines whose token still has company; a row without any is done with large groups."""
-    crowded = index.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return salted_lookup(index, crowded, "token", "n").select("id", "token")
+    alone = F.col("size") - F.size("rest")
+    left = F.greatest(F.lit(0), length - alone).cast("int")
+    return own.select("id", "size", alone.alias("alone"), F.posexplode(F.slice("rest", F.lit(1), left)).alias("at", "t")).select(
+        F.col("t.token").alias("token"), "id", "size", (F.col("alone") + F.col("at")).alias("place"))
 
 
 def _with_jaccard(pairs: DataFrame, sets: DataFrame) -> DataFrame:

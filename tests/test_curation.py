@@ -18,8 +18,8 @@ def test_dedup_first_is_idempotent(spark):
     assert D.dedup_normalised(df, "t", ["id"]).count() == 2  # null and blank clean to the same text
 
 
-@pytest.mark.parametrize("group_limit", [3, 64])
-def test_near_dups_match_sequential_rejection(spark, group_limit):
+@pytest.mark.parametrize("width,hot", [(1, 5), (2, 20_000)])
+def test_near_dups_match_sequential_rejection(spark, width, hot):
     rng = random.Random(5)
     vocab = [f"w{i}" for i in range(60)]
     texts = []
@@ -35,7 +35,7 @@ def test_near_dups_match_sequential_rejection(spark, group_limit):
     rng.shuffle(texts)
     df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "id long, t string").repartition(5)
     limit = 0.5
-    got = {r.id: (r.kept_id, r.jaccard) for r in D.near_dups(df, "id", "t", limit, 3, group_limit).collect()}
+    got = {r.id: (r.kept_id, r.jaccard) for r in D.near_dups(df, "id", "t", limit, 3, width, hot).collect()}
     assert len(got) == len(texts)
 
     def shingles(words):
@@ -54,6 +54,21 @@ def test_near_dups_match_sequential_rejection(spark, group_limit):
     assert all(i == k or (k < i and k in kept and similar(i, k)) for i, (k, _) in got.items())
 
 
+def test_near_dup_rounds_do_not_grow_with_groups_of_unlike_rows(spark, monkeypatch):
+    rng = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(12))
+    cut, seen = D.cut_lineage, []
+    monkeypatch.setattr(D, "cut_lineage", lambda df: seen.append(1) or cut(df))
+    rounds = []
+    for n in (24, 48):
+        rows = [(i, passage + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(14))) for i in range(n)]
+        got = D.near_dups(spark.createDataFrame(rows, "id long, t string"), "id", "t").collect()
+        assert all(r.kept_id == r.id for r in got) and len(got) == n
+        rounds.append(len(seen))
+        seen.clear()
+    assert rounds[1] <= rounds[0]
+
+
 def test_label_distribution_counts_absent_labels(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "l string")
     got = {r.label: (r.n, r.pct) for r in B.label_distribution(df, "l", ["a", "b", "c"]).collect()}
