@@ -16,7 +16,7 @@ from chatloom.session import cut_lineage
 
 #: Letters of A-Z in lower case and every byte of other alphabets: on UTF-8 bytes the same runs as on code points.
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
-_FLUSH = 400_000
+_FLUSH = 600_000
 _CHUNK = 512
 
 
@@ -159,7 +159,8 @@ def source_divergence(docs: DataFrame, min_docs: int = 30, top: int = 50, block:
     held = copies.groupBy("lang", "digest").agg(F.collect_list(F.struct("source", "copies")).alias("held"))
     texts = rows.groupBy("lang", "digest").agg(F.any_value("text").alias("text"))
     single = texts.join(held, ["lang", "digest"]).select("lang", "text", "held")
-    lines = single.mapInArrow(term_counts, "lang string, source string, term string, n bigint, docs bigint")
+    # tasks have added up their own counts; dealt by term, both sums below need no further shuffle
+    lines = single.mapInArrow(term_counts, "lang string, source string, term string, n bigint, docs bigint").repartition("lang", "term")
     lines = lines.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     # one line per term of a language; its list is as long as the language has sources
     kept = cut_lineage(lines.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("held"))
