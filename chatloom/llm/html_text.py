@@ -9,11 +9,11 @@ from html.parser import HTMLParser
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.plans.positions import first_by, salted_lookup, with_places
-from chatloom.session import scratch_dir
+from chatloom.plans.positions import salted_lookup, with_places
 
 # The elements of HTML by what they mean for text.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark meter nobr output q rp rt ruby s samp small span "
@@ -194,25 +194,38 @@ def common_lines(a: list[int], b: list[int], bits: int = 1 << 26) -> list[int]:
 # ---- the job
 
 
+def _digests(lines: list[tuple[str, int, bool]]) -> bytes:
+    return np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t, *_ in lines], np.uint64).tobytes()
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of all lines of a page in page order."""
+    for batch in batches:
+        hashes = [_digests(page_lines(html.as_py() or "")) for html in batch["html"]]
+        yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("host", "path", "page_id")), pa.array(hashes, pa.binary())], names=["host", "path", "page_id", "hashes"])
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the hashes of all lines, which of them may be main text, and these texts."""
+    """Hashes of all lines, which of them may be main text, and these texts, compressed for the way."""
+    pack = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         hashes, fit, texts = [], [], []
         for html in batch["html"]:
             lines = page_lines(html.as_py() or "")
             marked = any(article and state == _KEEP for _, state, article in lines)
-            hashes.append(np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t, *_ in lines], np.uint64).tobytes())
             # 2: in the marked article, 1: outside of boilerplate where no article is marked
             kinds = [0 if state or (marked and not article) else 1 + article for _, state, article in lines]
+            hashes.append(_digests(lines))
             fit.append(bytes(kinds))
-            texts.append([t.encode("utf-8", "replace").decode() for (t, *_), kind in zip(lines, kinds) if kind])
+            texts.append(pack.compress("\n".join(t for (t, *_), kind in zip(lines, kinds) if kind).encode("utf-8", "replace")))
         yield pa.RecordBatch.from_arrays(
-            [*(batch[c] for c in ("row", "page_id", "url", "host", "path")), pa.array(hashes, pa.binary()), pa.array(fit, pa.binary()), pa.array(texts, pa.list_(pa.string()))],
-            names=["row", "page_id", "url", "host", "path", "hashes", "fit", "texts"])
+            [*(batch[c] for c in ("host", "path", "page_id", "url")), pa.array(hashes, pa.binary()), pa.array(fit, pa.binary()), pa.array(texts, pa.binary())],
+            names=["host", "path", "page_id", "url", "hashes", "fit", "texts"])
 
 
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Deletes the lines that a page shares with its partner and joins what is left of the main text."""
+    unpack = zstandard.ZstdDecompressor()
     for batch in batches:
         out, gone = [], []
         for own, fit, texts, other in zip(*(batch[c].to_pylist() for c in ("hashes", "fit", "texts", "partner"))):
@@ -222,7 +235,8 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             free = [i for i in at if fit[i] == 1]
             # a neighbour that holds all of it is a copy of the page and tells nothing about its frame
             copy = bool(free) and all(i in shared for i in free)
-            kept = [t for i, t in zip(at, texts) if fit[i] == 2 or copy or i not in shared]
+            # a line holds no line break, as its white space is single spaces
+            kept = [t for i, t in zip(at, unpack.decompress(texts).decode().split("\n")) if fit[i] == 2 or copy or i not in shared]
             out.append("\n".join(kept))
             gone.append(len(shared))
         yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(out, pa.string()), pa.array(gone, pa.int64())], names=["page_id", "url", "text", "n_shared"])
@@ -243,20 +257,15 @@ def main_text(pages: DataFrame, bucket: int = 4096) -> DataFrame:
     White space is what Unicode calls so. ``br`` is a space. Null html gives an empty text; a null url or one without host has no partner. Repeated rows give equal results.
     A page id may be null or repeated. An empty table gives an empty result; other columns are ignored. ``n_shared`` counts lines shared with the partner.
     """
-    spark = pages.sparkSession
     rest = F.when(F.instr("url", "://") > 0, F.expr("substring(url, instr(url, '://') + 3)"))
     host = F.lower(F.regexp_extract(rest, r"^[^/?#]*", 0))
     path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
     rows = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string"))
-    named = rows.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", F.nullif(host, F.lit("")).alias("host"), path.alias("path"), "html")
-    table = scratch_dir(spark, "page-lines")
-    named.mapInArrow(_parsed, "row bigint, page_id bigint, url string, host string, path string, hashes binary, fit binary, texts array<string>").write.parquet(table)
-    # row numbers are part of the written table, so later stages and retries agree on them
-    parsed = spark.read.parquet(table)
-
-    mine = parsed.filter("host IS NOT NULL").select("host", "path", "page_id", "hashes")
-    sizes = mine.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"))
-    stands = first_by(mine, ["host", "path"], [F.col("page_id").asc_nulls_last(), "hashes"]).select("host", "path", "hashes")
+    named = rows.select("page_id", "url", F.nullif(host, F.lit("")).alias("host"), path.alias("path"), "html")
+    # pages are parsed twice, once for hashes alone: that costs less than keeping their texts in between
+    mine = named.filter("host IS NOT NULL").select("host", "path", "page_id", "html").mapInArrow(_hashed, "host string, path string, page_id bigint, hashes binary")
+    least = F.min(F.struct(F.col("page_id").isNull().alias("unnamed"), "page_id", "hashes"))
+    stands = mine.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), least.alias("m")).select("host", "path", "n", F.col("m.hashes").alias("hashes"))
     placed = with_places(stands, ["host", "path"], "place")
     # the ends of a stretch are also part of the stretch beside it
     at = F.floor(F.col("place") / bucket)
@@ -277,12 +286,11 @@ def main_text(pages: DataFrame, bucket: int = 4096) -> DataFrame:
     scored = beside.withColumn("to_prev", likeness("prev")).withColumn("to_next", likeness("next"))
     before = F.col("to_prev").isNotNull() & (F.col("to_next").isNull() | (F.col("to_prev") >= F.col("to_next")))
     partner = F.when(before, F.col("prev.hashes")).when(F.col("to_next").isNotNull(), F.col("next.hashes"))
-    facts = scored.select("host", "path", partner.alias("partner")).join(sizes, ["host", "path"])
-    key = F.struct("host", "path").alias("key")
-    known = facts.select(key, "n", "partner")
-    with_host = salted_lookup(parsed.filter("host IS NOT NULL").select(key, "row", "page_id", "url", "hashes", "fit", "texts"), known, "key", "n")
+    known = scored.select(F.struct("host", "path").alias("key"), "n", partner.alias("partner"))
+    parsed = named.filter("host IS NOT NULL").mapInArrow(_parsed, "host string, path string, page_id bigint, url string, hashes binary, fit binary, texts binary")
+    keyed = parsed.withColumn("key", F.struct("host", "path")).drop("host", "path")
     columns = ["page_id", "url", "hashes", "fit", "texts", "partner"]
-    without = parsed.filter("host IS NULL").withColumn("partner", F.lit(None).cast("binary"))
-    met = with_host.select(*columns).unionByName(without.select(*columns))
+    without = named.filter("host IS NULL").mapInArrow(_parsed, parsed.schema).withColumn("partner", F.lit(None).cast("binary"))
+    met = salted_lookup(keyed, known, "key", "n").select(*columns).unionByName(without.select(*columns))
     cleaned = met.mapInArrow(_cleaned, "page_id bigint, url string, text string, n_shared bigint")
     return cleaned.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "n_shared")
