@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.seeded import draw
-from chatloom.plans.positions import running_total
+from chatloom.plans.positions import smallest
 
 
 def label_distribution(df: DataFrame, label: str, labels: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -51,18 +51,16 @@ def quota_audit(df: DataFrame, stratum: str, targets: Mapping[str, int]) -> Data
     return both.withColumn("gap", F.col("actual") - F.col("target")).withColumn("ok", F.col("gap") == 0)
 
 
-def quota_sample(df: DataFrame, stratum: str, targets: Mapping[str, int], seed: int, id_col: str, bins_log2: int = 12) -> DataFrame:
-    """Exactly the requested rows per stratum in seeded order (all rows when there are fewer).
+def quota_sample(df: DataFrame, stratum: str, targets: Mapping[str, int], seed: int, id_col: str) -> DataFrame:
+    """Exactly the requested rows per stratum in seeded order (all rows when there are fewer). Ids are unique.
 
-    Rows are ranked inside slices of the draw range; slices past the quota are dropped from
-    their counts alone, so a huge stratum is neither sorted whole nor sent to one task.
+    A row whose draw lies above a bound that the quota cannot reach is dropped at once: the bound is refined by counts (:func:`chatloom.plans.positions.smallest`).
+    The rest is ranked over range partitions of any stratum's size.
     """
     quota = F.coalesce(*[F.when(F.col(stratum) == k, F.lit(int(v))) for k, v in targets.items()])
     rows = df.filter(F.col(stratum).isin(*targets)).withColumn("_draw", draw(seed, "quota", F.col(id_col)))
-    ranked = running_total(
-        rows, F.lit(1), [stratum], F.shiftright("_draw", 32 - bins_log2), ["_draw", id_col], "_rank", below=quota
-    )
-    return ranked.filter(F.col("_rank") <= quota).drop("_draw", "_rank")
+    chosen = smallest(rows.select(stratum, "_draw", id_col), [stratum], quota, "_draw", [id_col])
+    return df.join(chosen.select(id_col), id_col, "left_semi")
 
 
 def mix_cube(df: DataFrame, dims: Sequence[str]) -> DataFrame:

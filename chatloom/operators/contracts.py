@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import strip
-from chatloom.plans.positions import id_bucket, running_total
+from chatloom.plans.positions import running_total
 
 # Fixed values of the answer contracts.
 TRIAGE_CATEGORIES = ["billing", "technical_support", "account_security", "refund_request"]
@@ -53,7 +53,7 @@ def validate_turns(df: DataFrame, conv: str, turn: str = "turn", role: str = "ro
     is a statement about parities, which a combined aggregation decides.
     """
     known = df.select(conv, F.col(turn).cast("bigint").alias("_t"), F.col(role).alias("_r"))
-    placed = running_total(known, F.lit(1), [conv], F.coalesce(id_bucket(known, "_t", 100_000), F.lit(-1)), ["_t", "_r"], "_place")
+    placed = running_total(known, F.lit(1), [conv], ["_t", "_r"], "_place")
     repeated = known.groupBy(conv, "_t").agg(F.count(F.lit(1)).alias("_n")).groupBy(conv).agg(
         F.max(F.when(F.col("_t").isNull(), 2).otherwise(F.col("_n"))).alias("_most"))
     t, r = F.col("_place") - 1, F.col("_r")

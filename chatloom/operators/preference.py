@@ -5,12 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.seeded import draw
-from chatloom.functions.text import let
-from chatloom.session import cut_lineage
+from chatloom.plans.positions import smallest, with_places
+from chatloom.session import cut_lineage, written
 
 
 def pass_at_k(df: DataFrame, problem: str, passed: str, ks: Sequence[int]) -> DataFrame:
@@ -142,54 +144,83 @@ ELO_SCALE = 400 * math.log10(math.e)
 
 
 def bradley_terry(
-    matrix: DataFrame, pseudo: float = 0.5, tolerance: float = 1e-8, momentum: float = 0.7, per_checkpoint: int = 12
+    matrix: DataFrame, pseudo: float = 0.5, tolerance: float = 1e-8, momentum: float = 0.7, block: int = 512
 ) -> DataFrame:
     """Maximum-likelihood strengths from a win matrix: ``model, theta, elo, step``.
 
-    Minorise-maximise updates p_i = W_i / sum_j n_ij / (p_i + p_j) on the aggregated matrix, each in theta with ``momentum`` times the
-    last step on top (sparse schedules settle slowly without), until no strength changes by more than ``tolerance`` of itself;
-    the first guess is the ratio of wins to losses. With ``pseudo`` at 0 a maximum must exist: no group of models may win or lose all its games with the rest. A
-    tie is half a win for each side, and every pair that met gets ``pseudo`` extra wins both
+    Models are placed in blocks of ``block``. In a round every block maximises by Newton's method what is exact for the games inside it and a minorant of
+    the likelihood for its games with other blocks (ln(p_i + p_j) is replaced by its tangent at the current strengths, which separates the two). So a round
+    never lowers the likelihood, one block is solved in one round whatever its schedule looks like, and several take
+    rounds, with ``momentum`` times the last step on top, until no strength changes by more than ``tolerance`` of itself. A task holds the games of one block, at most
+    ``block`` squared numbers; between blocks only sums per model travel. With ``pseudo`` at 0 a maximum must exist: no group of models may win or lose all its games
+    with the rest. A tie is half a win for each side, and every pair that met gets ``pseudo`` extra wins both
     ways, so undefeated models stay finite. The gauge is mean theta 0 (Elo mean 1200). ``step``
     is the model's last relative change.
-
-    The verdicts are read once; iterations only touch one line per model. In an update each
-    model sends its strength to its opponents, so the table enters the plan once per round
-    (joining it with itself would double the plan every time), and the plan is cut every few
-    rounds.
     """
-    won, lost = F.col("wins") + F.col("ties") / 2 + F.lit(pseudo), F.col("losses") + F.col("ties") / 2 + F.lit(pseudo)
-    share = F.struct(F.col("opponent"), (won + lost).alias("n"))
-    state = cut_lineage(matrix.groupBy("model").agg(
-        F.sum(won).alias("won"), F.sum(lost).alias("_lost"), F.collect_list(share).alias("games")
-    ).withColumn("p", F.col("won") / F.col("_lost")).withColumn("last", F.col("p")).drop("_lost").withColumn("step", F.lit(None).cast("double")))
-    kept = F.struct(F.col("won"), F.col("games"), F.col("p"), F.col("last"))
-
-    def letters(own: Column) -> Column:
-        # the bound struct keeps the strength from being recomputed for every opponent
-        to_self = F.struct(F.col("model").alias("to"), own.alias("own"), F.lit(None).cast("struct<n:double,q:double>").alias("sent"))
-        to_others = F.transform(own["games"], lambda g: F.struct(
-            g["opponent"].alias("to"), F.when(F.lit(False), own).alias("own"), F.struct(g["n"].alias("n"), own["p"].alias("q")).alias("sent")
-        ))
-        return F.concat(F.array(to_self), to_others)
-
-    done = 0
+    won = F.col("wins") + F.col("ties") / 2 + F.lit(pseudo)
+    games = F.col("wins") + F.col("losses") + F.col("ties") + F.lit(2 * pseudo)
+    met = matrix.select("model", "opponent", won.alias("won"), games.alias("n"))
+    models = with_places(met.groupBy("model").agg(F.sum("won").alias("won"), F.sum(F.col("n") - F.col("won")).alias("lost")), ["model"], "at")
+    start = F.log(F.col("won") / F.col("lost"))
+    state = cut_lineage(models.select(
+        "model", "at", F.floor(F.col("at") / block).alias("block"), "won", start.alias("theta"), start.alias("last"), F.lit(None).cast("double").alias("step")))
+    named = state.select("model", "at", "block")
+    lines = met.join(named, "model").join(named.select(F.col("model").alias("opponent"), F.col("at").alias("to"), F.col("block").alias("_b")), "opponent")
+    lines = cut_lineage(lines.select("at", "to", "block", "_b", "n"))
+    inner = lines.filter("block = _b AND at < to").select("block", "at", "to", "n")
+    across = lines.filter("block <> _b").select("at", "to", "n")
+    several = not across.isEmpty()
+    push = momentum if several else 0.0
+
+    def solve(own: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("at")
+        n = np.zeros((len(own), len(own)))
+        i, j = (np.searchsorted(own["at"].to_numpy(), pairs[c].to_numpy()) for c in ("at", "to"))
+        n[i, j] = n[j, i] = pairs["n"].to_numpy(float)
+        now = own["theta"].to_numpy(float)
+        best, moved = _newton(n, own["won"].to_numpy(float), own["load"].to_numpy(float), now)
+        best = best + push * (now - own["last"].to_numpy(float))
+        change = np.abs(np.expm1(best - now)) if several else moved
+        return pd.DataFrame({"model": own["model"], "at": own["at"], "block": own["block"], "won": own["won"], "theta": best, "last": now, "step": change})
+
     while True:
-        done += 1
-        mail = state.select(F.explode_outer(let(kept, letters)).alias("m")).select("m.*")
-        inbox = mail.groupBy(F.col("to").alias("model")).agg(F.first("own", ignorenulls=True).alias("own"), F.collect_list("sent").alias("sent"))
-        load = F.aggregate("sent", F.lit(0.0), lambda acc, x: acc + x["n"] / (F.col("own.p") + x["q"]))
-        fresh = F.col("own.won") / load * F.pow(F.col("own.p") / F.col("own.last"), F.lit(momentum))
-        state = inbox.select("model", F.col("own.won").alias("won"), F.col("own.games").alias("games"), F.col("own.p").alias("_old"), fresh.alias("p"))
-        state = state.withColumn("step", F.abs(F.col("p") - F.col("_old")) / F.col("_old")).withColumnRenamed("_old", "last")
-        if done % per_checkpoint == 0:
-            state = cut_lineage(state)
-            if (state.agg(F.max("step")).first()[0] or 0.0) < tolerance:
-                break
-    logs = state.select("model", F.log("p").alias("_t"), "step")
-    # one line per model: the mean is a window over the ratings, not over the verdicts
-    centred = logs.withColumn("theta", F.col("_t") - F.avg("_t").over(Window.partitionBy(F.lit(0))))
-    return centred.select("model", "theta", (F.lit(ELO_SCALE) * F.col("theta") + 1200).alias("elo"), "step")
+        load = F.lit(0.0)
+        facts = state.withColumn("load", load)
+        if several:
+            mine, theirs = (state.select(F.col("at").alias(k), F.exp("theta").alias(p)) for k, p in (("at", "_p"), ("to", "_q")))
+            loads = across.join(mine, "at").join(theirs, "to").groupBy("at").agg(F.sum(F.col("n") / (F.col("_p") + F.col("_q"))).alias("_load"))
+            facts = state.join(loads, "at", "left").withColumn("load", F.coalesce("_load", load)).drop("_load")
+        solved = facts.groupBy("block").cogroup(inner.groupBy("block")).applyInPandas(solve, state.schema)
+        state = written(solved, "ratings")
+        if not several or (state.agg(F.max("step")).first()[0] or 0.0) < tolerance:
+            break
+    # one line per model: the mean is taken over the ratings, not over the verdicts
+    mean = state.agg(F.avg("theta")).first()[0] or 0.0
+    theta = F.col("theta") - F.lit(mean)
+    return state.select("model", theta.alias("theta"), (F.lit(ELO_SCALE) * theta + 1200).alias("elo"), "step")
+
+
+def _newton(n: np.ndarray, won: np.ndarray, load: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Maximum of sum won theta - sum_{i<j} n ln(e^theta_i + e^theta_j) - sum load e^theta, and the last relative change."""
+    def value(t: np.ndarray) -> float:
+        return float(won @ t - (n * np.logaddexp(t[:, None], t[None, :])).sum() / 2 - load @ np.exp(t))
+
+    moved = np.zeros(len(theta))
+    for _ in range(200):
+        share = 1 / (1 + np.exp(np.clip(theta[None, :] - theta[:, None], -700, 700)))
+        pull = load * np.exp(theta)
+        slope = won - (n * share).sum(1) - pull
+        weight = n * share * (1 - share)
+        bend = np.diag(weight.sum(1) + pull) - weight
+        # least squares: strengths that no game ties to the rest keep their level
+        step = np.linalg.lstsq(bend, slope, rcond=1e-14)[0]
+        scale, now = 1.0, value(theta)
+        while scale > 1e-6 and value(theta + scale * step) < now:
+            scale /= 2
+        theta, moved = theta + scale * step, np.abs(np.expm1(scale * step))
+        if moved.max(initial=0.0) < 1e-12 or scale <= 1e-6:
+            break
+    return theta, moved
 
 
 def metric_grid(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
@@ -286,20 +317,17 @@ def safety_rates(df: DataFrame, by: Sequence[str], gold: Column, blocked: str =
     )
 
 
-MAX_JUDGE_SAMPLE = 500
-
-
 def route_tiers(df: DataFrame, id_col: str, rejected: Column, needs_human: Column, judge_sample: int, seed: int) -> DataFrame:
     """Send each generation to one tier.
 
     Guardrail failures are ``rejected``; flagged or borderline ones go to ``human``; a seeded
-    sample of the rest goes to the ``judge``; everything else is scored by ``programmatic``
-    metrics only. The sample is a top-k of at most 500 ids, so broadcasting it is safe.
+    sample of exactly ``judge_sample`` of the rest (all when there are fewer) goes to the ``judge``; everything else is scored by ``programmatic``
+    metrics only. The sample may have any size: its largest draw is found by counts (:func:`chatloom.plans.positions.smallest`), ids meet it in a plain join. Ids are unique.
     """
-    if not 0 <= judge_sample <= MAX_JUDGE_SAMPLE:
-        raise ValueError(f"judge_sample must be within 0..{MAX_JUDGE_SAMPLE}")
+    if judge_sample < 0:
+        raise ValueError("judge_sample must not be negative")
     first = df.withColumn("_tier", F.when(rejected, "rejected").when(needs_human, "human"))
     free = first.filter("_tier IS NULL").select(id_col, draw(seed, "judge", F.col(id_col)).alias("_d"))
-    chosen = free.orderBy("_d", id_col).limit(judge_sample).select(id_col, F.lit("judge").alias("_judge"))
-    routed = first.join(F.broadcast(chosen), id_col, "left")
+    chosen = smallest(free, [], F.lit(judge_sample), "_d", [id_col]).select(id_col, F.lit("judge").alias("_judge"))
+    routed = first.join(chosen, id_col, "left")
     return routed.withColumn("tier", F.coalesce("_tier", "_judge", F.lit("programmatic"))).drop("_tier", "_judge")

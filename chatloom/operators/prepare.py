@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import words
-from chatloom.plans.positions import id_bucket, running_total
+from chatloom.plans.positions import running_total
 
 # The turn format of the chat models this data is for.
 BOS = "<bos>"
@@ -192,18 +192,17 @@ def masked_nll(df: DataFrame, logprobs: str, mask: str, by: Sequence[str] = ())
 
 
 def pack_sequences(
-    df: DataFrame, id_col: str, max_len: int, shard: Sequence[str] = (), tokens: str = "tokens",
-    rows_per_bucket: int = 1_000_000,
+    df: DataFrame, id_col: str, max_len: int, shard: Sequence[str] = (), tokens: str = "tokens"
 ) -> DataFrame:
     """Concatenate token rows in id order inside each shard and cut into blocks of ``max_len``.
 
-    Offsets come from bucketed running totals, so one huge shard is spread over many tasks.
+    Offsets come from running totals over (shard, id, length) alone, so one huge shard is spread over many tasks and tokens cross
+    the network once to meet their offset and once to meet their block. Ids are unique.
     Output: ``*shard, block, tokens``; a block never holds more than ``max_len`` tokens.
     """
-    sized = df.withColumn("_len", F.size(tokens).cast("bigint")).filter("_len > 0")
-    bucket = id_bucket(df, id_col, rows_per_bucket)
-    ended = running_total(sized, F.col("_len"), shard, bucket, [id_col], "_end")
-    placed = ended.withColumn("_start", F.col("_end") - F.col("_len"))
+    sized = df.select(*shard, id_col, F.size(tokens).cast("bigint").alias("_len")).filter("_len > 0")
+    ended = running_total(sized, F.col("_len"), shard, [id_col], "_end").select(id_col, "_len", "_end")
+    placed = df.select(*shard, id_col, tokens).join(ended, id_col).withColumn("_start", F.col("_end") - F.col("_len"))
     first_block = F.floor(F.col("_start") / max_len).cast("bigint")
     last_block = F.floor((F.col("_end") - 1) / max_len).cast("bigint")
     spread = placed.withColumn("block", F.explode(F.sequence(first_block, last_block)))
@@ -216,12 +215,11 @@ def pack_sequences(
 
 
 def batch_plan(
-    df: DataFrame, id_col: str, length: str = "n_tokens", batch_size: int = 4, accumulation: int = 4,
-    rows_per_bucket: int = 1_000_000,
+    df: DataFrame, id_col: str, length: str = "n_tokens", batch_size: int = 4, accumulation: int = 4
 ) -> DataFrame:
     """Row to micro-batch and optimiser step, padding to the longest row of the micro-batch."""
     narrow = df.select(id_col, F.col(length).cast("bigint").alias("n_tokens"))
-    ranked = running_total(narrow, F.lit(1), [], id_bucket(narrow, id_col, rows_per_bucket), [id_col], "_rank")
+    ranked = running_total(narrow, F.lit(1), [], [id_col], "_rank")
     batched = ranked.withColumn("micro_batch", F.floor((F.col("_rank") - 1) / batch_size).cast("bigint"))
     members = Window.partitionBy("micro_batch")
     return batched.select(

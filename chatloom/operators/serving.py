@@ -128,13 +128,12 @@ def health_runs(
     """Runs of consecutive failed probes; a run of at least ``threshold`` is an outage.
 
     Failures within ``grace_seconds`` of a service's first probe are start-up and ignored. A
-    run is identified by how many good probes came before it, which is a running total over
-    day buckets, so one busy service does not end up in one task.
+    run is identified by how many good probes came before it, a running total over range
+    partitions, so neither a busy service nor a busy day ends up in one task.
     """
     probes = df.select(service, ts, *[o for o in order if o not in (service, ts)], failed.alias("_failed"))
     ok = F.when(F.col("_failed"), 0).otherwise(1)
-    day = F.date_trunc("day", F.col(ts))
-    ranked = running_total(probes, ok, [service], day, order, "_run", group_min=("_start", F.col(ts)))
+    ranked = running_total(probes, ok, [service], order, "_run", group_min=("_start", F.col(ts)))
     # start-up failures come before all others, so leaving them out neither joins nor splits a later run
     live = F.col(ts) >= F.col("_start") + F.make_interval(secs=F.lit(grace_seconds))
     runs = ranked.filter(F.col("_failed") & live).groupBy(service, "_run").agg(

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from chatloom.functions.arrays import cosine, dot, doubles, max_abs, total
 from chatloom.functions.text import let
-from chatloom.plans.positions import id_bucket, running_total
+from chatloom.plans.positions import running_total
 
 # The 16 levels of the 4-bit normal-float code book.
 NF4_LEVELS = [
@@ -134,11 +134,11 @@ def double_quantize(df: DataFrame, id_col: str, absmax: str = "absmax", group: i
     """Second-level quantisation of block scales in groups of ``group``, in storage (id, block) order.
 
     8-bit linear codes with one scale per group. Groups follow the place of a vector's scales among all scales, whatever the ids
-    are; places are running totals over buckets, so nothing needs a global row number.
+    are; places are running totals over lengths, so nothing needs a global row number. Ids are unique.
     """
-    lengths = df.select(id_col, absmax, F.size(absmax).alias("_n"))
-    placed = running_total(lengths, F.col("_n"), [], id_bucket(lengths, id_col), [id_col], "_end")
-    scales = placed.select(id_col, (F.col("_end") - F.col("_n")).alias("_first"), F.posexplode(absmax).alias("block", "absmax"))
+    lengths = df.select(id_col, F.size(absmax).alias("_n"))
+    placed = running_total(lengths, F.col("_n"), [], [id_col], "_end")
+    scales = placed.join(df.select(id_col, absmax), id_col).select(id_col, (F.col("_end") - F.col("_n")).alias("_first"), F.posexplode(absmax).alias("block", "absmax"))
     grouped = scales.withColumn("scale_group", F.floor((F.col("_first") + F.col("block")) / F.lit(group)).cast("bigint")).drop("_first")
     top = F.max("absmax").over(Window.partitionBy("scale_group"))
     ranged = grouped.withColumn("scale_of_scales", F.when(top == 0, 1.0).otherwise(top / 255.0))
@@ -219,7 +219,7 @@ def top_k_similar(
     if total_queries <= max_queries:
         chunks = [wanted]
     else:
-        ranked = running_total(wanted, F.lit(1), [], id_bucket(wanted, "query_id"), ["query_id"], "_rank")
+        ranked = running_total(wanted, F.lit(1), [], ["query_id"], "_rank")
         chunks = [
             ranked.filter((F.col("_rank") > lo) & (F.col("_rank") <= lo + max_queries)).drop("_rank") for lo in range(0, total_queries, max_queries)
         ]

@@ -80,7 +80,7 @@ def test_label_distribution_counts_absent_labels(spark):
 def test_quota_sample_is_exact_and_stable(spark):
     df = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("s"))
     first = B.quota_sample(df, "s", {"hot": 700, "cold": 10}, 4, "id")
-    again = B.quota_sample(df.repartition(9), "s", {"hot": 700, "cold": 10}, 4, "id", bins_log2=3)
+    again = B.quota_sample(df.repartition(9), "s", {"hot": 700, "cold": 10}, 4, "id")
     assert {r.s: r["count"] for r in first.groupBy("s").count().collect()} == {"hot": 700, "cold": 10}
     assert {r.id for r in first.collect()} == {r.id for r in again.collect()}
 

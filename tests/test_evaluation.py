@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +81,30 @@ def test_bradley_terry_recovers_odds(spark):
     assert all(math.isfinite(r.elo) for r in P.bradley_terry(whitewash).collect())
 
 
+@pytest.mark.parametrize("n,reach,block,tolerance,slack", [(20, 1, 512, 1e-8, 1e-6), (8, 7, 4, 1e-3, 0.05)])
+def test_bradley_terry_is_stationary(spark, n, reach, block, tolerance, slack):
+    """A ring in one block, and a full tournament in two."""
+    rng = random.Random(2)
+    met = {(i, (i + d) % n): (rng.randint(0, 9), rng.randint(0, 9)) for i in range(n) for d in range(1, reach + 1) if reach == 1 or i + d < n}
+    lines = [(f"m{a:02d}", f"m{b:02d}", w, x, 0) for (a, b), (w, x) in met.items()]
+    matrix = spark.createDataFrame(lines + [(b, a, x, w, 0) for a, b, w, x, _ in lines], "model string, opponent string, wins long, losses long, ties long")
+    got = {int(r.model[1:]): r.theta for r in P.bradley_terry(matrix, tolerance=tolerance, block=block).collect()}
+    slope = dict.fromkeys(got, 0.0)
+    for (a, b), (w, x) in met.items():
+        gap = w + 0.5 - (w + x + 1) / (1 + math.exp(got[b] - got[a]))
+        slope[a] += gap
+        slope[b] -= gap
+    assert max(map(abs, slope.values())) < slack and abs(sum(got.values())) < 1e-9
+
+
+def test_route_tiers_takes_samples_of_any_size(spark):
+    df = spark.range(3000).select("id", (F.col("id") % 10 == 0).alias("bad"), (F.col("id") % 10 == 1).alias("odd"))
+    for n in (0, 1, 700, 5000):
+        got = P.route_tiers(df, "id", F.col("bad"), F.col("odd"), n, 3)
+        counts = {r.tier: r["count"] for r in got.groupBy("tier").count().collect()}
+        assert counts.get("judge", 0) == min(n, 2400) and counts["rejected"] == counts["human"] == 300
+
+
 def test_expected_score_renormalises(spark):
     df = spark.createDataFrame([(1, {1: math.log(0.1), 5: math.log(0.3)})], "item int, logprobs map<int,double>")
     assert P.expected_score(df).first().expected_score == pytest.approx(4.0)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from chatloom.operators import prepare as P
 from chatloom.operators import serving as S
-from chatloom.plans.positions import id_bucket, running_total, salted_lookup
+from chatloom.plans.positions import running_total, salted_lookup, smallest
 from chatloom.sources import datasets as D
 
 ROLE = "struct<role:string,content:string>"
@@ -15,12 +15,34 @@ def test_running_total_equals_a_plain_window(spark):
     rng = random.Random(1)
     rows = [(i * 7 - 500, rng.choice(["hot", "hot", "cold", None]), rng.randint(0, 9)) for i in range(800)]
     df = spark.createDataFrame(rows, "id long, g string, v int").repartition(6)
-    for width in (1, 10, 10_000):
-        got = {r.id: r.t for r in running_total(df, F.col("v"), ["g"], id_bucket(df, "id", width), ["id"], "t").collect()}
-        sums = {}
-        for i, g, v in rows:
-            sums[g] = sums.get(g, 0) + v
-            assert got[i] == sums[g]
+    got = {r.id: r.t for r in running_total(df, F.col("v"), ["g"], ["id"], "t").collect()}
+    sums = {}
+    for i, g, v in rows:
+        sums[g] = sums.get(g, 0) + v
+        assert got[i] == sums[g]
+
+
+def test_running_total_spreads_clumped_ids_and_an_outlier(spark, monkeypatch):
+    from chatloom.plans import positions
+
+    cut, seen = positions.cut_lineage, []
+    monkeypatch.setattr(positions, "cut_lineage", lambda df: seen.append(cut(df)) or seen[-1])
+    df = spark.range(20_000).select("id").unionByName(spark.createDataFrame([(10**18,)], "id long")).withColumn("d", F.lit("one day"))
+    got = running_total(df, F.lit(1), ["d"], ["id"], "t")
+    assert got.filter("t <> id + 1 AND id < 1000000").isEmpty() and got.filter("id > 1000000").first().t == 20_001
+    sizes = [r["n"] for r in seen[0].groupBy(F.shiftright("_at", 33)).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 4 and max(sizes) < 8000
+
+
+def test_smallest_matches_a_sort(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.choice("ab"), rng.choice([rng.randrange(2**32), 5, 2**32 - 1])) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, g string, v long").repartition(5)
+    for k in (0, 1, 40, 450, 2000):
+        got = {r.id for r in smallest(df, ["g"], F.when(F.col("g") == "a", k).otherwise(3), "v", ["id"]).collect()}
+        want = {i for g, n in (("a", k), ("b", 3)) for v, i in sorted((v, i) for i, h, v in rows if h == g)[:n]}
+        assert got == want
+    assert smallest(df.limit(0), [], F.lit(3), "v", ["id"]).collect() == []
 
 
 def test_salted_lookup_keeps_every_row(spark):
