@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -31,33 +30,51 @@ def build_messages(user: Column, answer: Column, roles: tuple[str, str] = ("user
     )
 
 
-def assemble_conversations(
+def assemble_parts(
     df: DataFrame, id_col: str, turn: str, role: str = "role", text: str = "text", part_turns: int = 4096
 ) -> DataFrame:
-    """Turn rows to ``id, part, messages`` with messages in turn order.
+    """Turn rows to ``id, part, messages, turns`` (turn numbers) in turn order, in parts of at most ``part_turns`` turn numbers.
 
-    Part n holds turns ``n*part_turns .. (n+1)*part_turns-1``: ordinary conversations are
-    one row, and a runaway conversation is split instead of filling one task.
+    For conversations too long for one row; :func:`assemble_conversations` gives whole ones.
     """
-    part = F.floor(F.col(turn) / part_turns).cast("int")
+    part = F.floor(F.col(turn) / part_turns).cast("bigint")
     item = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content"))
     grouped = df.groupBy(F.col(id_col), part.alias("part")).agg(F.sort_array(F.collect_list(item)).alias("_items"))
-    messages = F.transform("_items", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
-    return grouped.select(id_col, "part", messages.alias("messages"))
+    return grouped.select(id_col, "part", _messages("_items").alias("messages"), F.transform("_items", lambda m: m["turn"]).alias("turns"))
+
+
+def _messages(items: str) -> Column:
+    return F.transform(items, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+
+
+def assemble_conversations(
+    df: DataFrame, id_col: str, turn: str, role: str = "role", text: str = "text", part_turns: int = 4096
+) -> DataFrame:
+    """Turn rows to one row per conversation: ``id, messages, turns`` (turn numbers) in turn order.
+
+    Two levels: parts of ``part_turns`` turn numbers are sorted each by itself, then put together in order; their size has no
+    influence on the rows. Turn numbers may have gaps and start anywhere; rows with equal numbers go by role and text, a null number comes first.
+    """
+    parts = assemble_parts(df, id_col, turn, role, text, part_turns)
+    whole = parts.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("part", "messages", "turns"))).alias("_parts"))
+    return whole.select(id_col, F.flatten(F.transform("_parts", lambda p: p["messages"])).alias("messages"), F.flatten(F.transform("_parts", lambda p: p["turns"])).alias("turns"))
+
 
+def with_ends(parts: DataFrame, id_col: str) -> DataFrame:
+    """Add ``is_first`` and ``is_last``: whether a part begins or ends its conversation. Only ids and part numbers meet."""
+    ends = parts.groupBy(F.col(id_col).alias("_id")).agg(F.min("part").alias("_start"), F.max("part").alias("_end"))
+    met = parts.join(ends, F.col(id_col).eqNullSafe(F.col("_id")))
+    return met.withColumn("is_first", F.col("part") == F.col("_start")).withColumn("is_last", F.col("part") == F.col("_end")).drop("_id", "_start", "_end")
 
-def with_last_part(parts: DataFrame, id_col: str) -> DataFrame:
-    """Add ``is_last``: whether a part is the last of its conversation. Only ids and part numbers meet."""
-    ends = parts.groupBy(F.col(id_col).alias("_id")).agg(F.max("part").alias("_end"))
-    return parts.join(ends, F.col(id_col).eqNullSafe(F.col("_id"))).withColumn("is_last", F.col("part") == F.col("_end")).drop("_id", "_end")
 
+def explode_turns(df: DataFrame, id_col: str, messages: str = "messages", turns: str = "turns") -> DataFrame:
+    """Inverse of :func:`assemble_conversations` and :func:`assemble_parts`: ``id, turn, role, text`` with the turn numbers as they were.
 
-def explode_turns(df: DataFrame, id_col: str, messages: str = "messages", part_turns: int = 4096) -> DataFrame:
-    """Inverse of :func:`assemble_conversations`."""
-    base = F.col("part") * part_turns if "part" in df.columns else F.lit(0)
-    turns = df.select(id_col, base.alias("_base"), F.posexplode(messages).alias("_pos", "_m"))
-    turn = (F.col("_base") + F.col("_pos")).cast("bigint")
-    return turns.select(id_col, turn.alias("turn"), F.col("_m.role").alias("role"), F.col("_m.content").alias("text"))
+    Messages without ``turns`` are numbered from 0.
+    """
+    numbers = F.col(turns) if turns in df.columns else F.transform(messages, lambda m, i: i)
+    pairs = df.select(id_col, F.explode(F.arrays_zip(numbers.alias("t"), F.col(messages).alias("m"))).alias("_p"))
+    return pairs.select(id_col, F.col("_p.t").cast("bigint").alias("turn"), F.col("_p.m.role").alias("role"), F.col("_p.m.content").alias("text"))
 
 
 def render_chat(
@@ -107,9 +124,9 @@ def render_chat(
 
 
 def select_train_field(df: DataFrame, messages: str = "messages", **render: object) -> DataFrame:
-    """The ``text`` column when there is one, else the rendered messages, as ``train_text``."""
-    if "part" in df.columns:
-        render = {"first_part": F.col("part") == 0} | render
+    """The ``text`` column when there is one, else the rendered messages, as ``train_text``. Parts need :func:`with_ends` before."""
+    if "is_first" in df.columns:
+        render = {"first_part": F.col("is_first")} | render
     source = F.col("text") if "text" in df.columns else render_chat(F.col(messages), **render)
     return df.withColumn("train_text", source)
 
@@ -229,7 +246,8 @@ def batch_plan(
     )
 
 
-def schedule(n_rows: int, batch_size: int = 4, accumulation: int = 4, epochs: int = 1, warmup_ratio: float = 0.03) -> dict[str, int]:
-    """Optimiser steps and warm-up steps for a row count."""
-    steps = math.ceil(n_rows / (batch_size * accumulation)) * epochs
-    return {"steps": steps, "warmup_steps": math.ceil(warmup_ratio * steps)}
+def schedule(plan: DataFrame, epochs: int = 1, warmup_ratio: float = 0.03) -> DataFrame:
+    """One line for a :func:`batch_plan`: ``n_rows``, ``micro_batches``, optimiser ``steps`` over all epochs and ``warmup_steps`` (rounded up)."""
+    totals = plan.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.max("micro_batch") + 1, F.lit(0)).cast("bigint").alias("micro_batches"),
+                      (F.coalesce(F.max("step") + 1, F.lit(0)) * epochs).cast("bigint").alias("steps"))
+    return totals.withColumn("warmup_steps", F.ceil(F.col("steps") * F.lit(warmup_ratio)).cast("bigint"))

@@ -12,6 +12,7 @@ from chatloom.functions.text import clean_words, gram_hash, let, word_hashes
 from chatloom.operators.prepare import build_messages
 from chatloom.operators.synthesis import wrap_task
 from chatloom.plans.positions import broadcast_if_small
+from chatloom.session import cut_lineage
 
 # Most specific first: a card number also looks like a run of phone digits.
 PII_PATTERNS = [
@@ -66,55 +67,54 @@ def contamination(
     train: DataFrame, bench: DataFrame, train_id: str, bench_id: str, text: str = "text", n: int = 8, min_shared: int = 1,
     max_broadcast_rows: int = 200_000,
 ) -> DataFrame:
-    """(training row, evaluation item) pairs that overlap: ``shared`` n-grams and ``verbatim``.
+    """(training row, evaluation item) pairs that overlap: ``shared`` distinct n-grams and ``verbatim``.
 
-    Both sides are cleaned and cut into word n-grams, known by two 64-bit hashes and a
-    position. The join is on equal n-grams, with the evaluation side broadcast while a count
-    proves it small, so of the training side only matches are shuffled and no text is read
-    twice. All n-grams of an item at one and the same offset in a row mean a verbatim copy. An
+    Both sides are cleaned and cut into word n-grams, known by two 64-bit hashes; a gram that a text repeats is one line. The join is on
+    equal n-grams, with the evaluation side broadcast while a count
+    proves it small, so of the training side only matches are shuffled, one line per gram, row and item. A row that has all grams of an item
+    may hold it whole: only for such pairs both texts are read again and compared (``verbatim``: the item's words stand in a row in this order). An
     item shorter than ``n`` words counts as one gram of its own length.
     """
-    items = bench.select(F.col(bench_id).alias("item"), clean_words(F.col(text)).alias("w")).filter(F.size("w") > 0)
+    cleaned = bench.select(F.col(bench_id).alias("item"), clean_words(F.col(text)).alias("w")).filter(F.size("w") > 0)
     # only items below n words need other gram sizes, so there are at most n sizes
-    sizes = sorted({r[0] for r in items.select(F.least(F.size("w"), F.lit(n)).alias("g")).distinct().collect()}) or [n]
+    sizes = sorted({r[0] for r in cleaned.select(F.least(F.size("w"), F.lit(n)).alias("g")).distinct().collect()}) or [n]
 
     def own_size(h: Column) -> Column:
-        return F.coalesce(*[F.when(F.least(F.size(h), F.lit(n)) == g, _positioned_grams(h, g)) for g in sizes])
+        return F.coalesce(*[F.when(F.least(F.size(h), F.lit(n)) == g, _grams(h, g)) for g in sizes])
 
     # let() binds the hashes once: a column named outside would be pasted into every lambda call
     own = let(word_hashes(F.col("w")), own_size)
-    cut = items.select("item", own.alias("grams")).withColumn("n_grams", F.size("grams"))
-    wanted = cut.select("item", "n_grams", F.explode_outer("grams").alias("g")).filter("g IS NOT NULL").select(
-        "item", "n_grams", "g.h1", "g.h2", F.col("g.pos").alias("item_pos")
-    )
+    cut = cleaned.select("item", own.alias("grams")).withColumn("n_grams", F.size("grams"))
+    wanted = cut.select("item", "n_grams", F.explode_outer("grams").alias("g")).filter("g IS NOT NULL").select("item", "n_grams", "g.*")
 
     def all_sizes(h: Column) -> Column:
-        return F.flatten(F.array(*[_positioned_grams(h, g) for g in sizes]))
+        return F.array_distinct(F.flatten(F.array(*[_grams(h, g) for g in sizes])))
 
     # explode_outer: for a plain explode Spark infers a size filter that would compute all grams again
     grams = F.explode_outer(let(word_hashes(clean_words(F.col(text))), all_sizes))
     rows = train.select(F.col(train_id).alias("row"), grams.alias("g")).filter("g IS NOT NULL").select("row", "g.*")
     hits = rows.join(broadcast_if_small(wanted, max_broadcast_rows), ["h1", "h2"])
-    # every hit counts twice: for its gram (how many differ) and for its offset (how many line up)
-    facets = F.explode(F.array(
-        F.struct(F.lit(True).alias("by_gram"), F.col("h1").alias("value")),
-        F.struct(F.lit(False).alias("by_gram"), (F.col("pos") - F.col("item_pos")).cast("bigint").alias("value")),
-    ))
-    counted = hits.select("row", "item", "n_grams", facets.alias("f")).groupBy("row", "item", "n_grams", "f").agg(F.count(F.lit(1)).alias("c"))
-    found = counted.groupBy(F.col("row").alias(train_id), F.col("item").alias(bench_id)).agg(
-        F.sum(F.when(F.col("f.by_gram"), 1).otherwise(0)).alias("shared"),
-        F.max(~F.col("f.by_gram") & (F.col("c") == F.col("n_grams"))).alias("verbatim"),
-    )
-    return found.filter(F.col("verbatim") | (F.col("shared") >= min_shared))
-
-
-def _positioned_grams(h: Column, g: int) -> Column:
-    """``h1, h2, pos`` of every g-gram over word hashes."""
+    found = cut_lineage(hits.groupBy("row", "item").agg(F.count(F.lit(1)).alias("shared"), F.max("n_grams").alias("n_grams")))
+
+    def padded(words: Column) -> Column:
+        return F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+
+    full = found.filter("shared >= n_grams").select("row", "item")
+    whole = full.join(cleaned.select("item", padded(F.col("w")).alias("_item")), "item").join(
+        train.select(F.col(train_id).alias("row"), padded(clean_words(F.col(text))).alias("_row")), "row")
+    copies = whole.filter(F.contains("_row", F.col("_item"))).select("row", "item", F.lit(True).alias("verbatim")).distinct()
+    told = found.join(copies, ["row", "item"], "left").select(
+        F.col("row").alias(train_id), F.col("item").alias(bench_id), "shared", F.coalesce("verbatim", F.lit(False)).alias("verbatim"))
+    return told.filter(F.col("verbatim") | (F.col("shared") >= min_shared))
+
+
+def _grams(h: Column, g: int) -> Column:
+    """Distinct ``h1, h2`` of the g-grams over word hashes."""
     def one(i: Column) -> Column:
-        return F.struct(gram_hash(h, i, g, g).alias("h1"), gram_hash(h, i, g, -g).alias("h2"), i.alias("pos"))
+        return F.struct(gram_hash(h, i, g, g).alias("h1"), gram_hash(h, i, g, -g).alias("h2"))
 
-    empty = F.array().cast("array<struct<h1:bigint,h2:bigint,pos:int>>")
-    return F.when(F.size(h) >= g, F.transform(F.sequence(F.lit(0), F.size(h) - g), one)).otherwise(empty)
+    empty = F.array().cast("array<struct<h1:bigint,h2:bigint>>")
+    return F.array_distinct(F.when(F.size(h) >= g, F.transform(F.sequence(F.lit(0), F.size(h) - g), one)).otherwise(empty))
 
 
 def decontaminate(train: DataFrame, overlaps: DataFrame, train_id: str) -> DataFrame:

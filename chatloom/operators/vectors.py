@@ -6,11 +6,10 @@ they combine on the map side into a handful of rows.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -205,54 +204,73 @@ def centroids(df: DataFrame, label: str, col: str) -> DataFrame:
 
 
 def top_k_similar(
-    queries: DataFrame, base: DataFrame, k: int, query_id: str, query_vec: str, base_id: str, base_vec: str, max_queries: int = 4096
+    queries: DataFrame, base: DataFrame, k: int, query_id: str, query_vec: str, base_id: str, base_vec: str, rows_per_block: int = 100_000
 ) -> DataFrame:
-    """The ``k`` base vectors with the highest cosine for each query (ties: smaller base id).
+    """The ``k`` base vectors with the highest cosine for each query (ties: smaller base id): ``query_id, base_id, cosine, rank``.
 
-    The base is scanned where it lies. Every task scores its Arrow batches against the query
-    matrix and keeps k candidates per query, so at most ``k`` lines per query and task are
-    shuffled. Queries travel with the task in chunks of at most ``max_queries`` vectors;
-    a larger query table is scored in as many passes as it has chunks.
+    A stated set of queries meets the base in blocks. The base is scanned once and dealt into blocks of about ``rows_per_block`` vectors by a hash of the id;
+    every block also gets the queries, which come after it in the block's order. A task holds one block as a matrix and streams the queries past it,
+    one Arrow batch and one product at a time, so neither side is ever collected. At most ``k`` lines per query and block leave it, and
+    a window that drops losers before its shuffle merges them. Base vectors of length zero are left out; a null vector is one of length zero.
     """
-    wanted = queries.select(F.col(query_id).alias("query_id"), doubles(query_vec).alias("query_vec"))
-    total_queries = wanted.count()
-    if total_queries <= max_queries:
-        chunks = [wanted]
-    else:
-        ranked = running_total(wanted, F.lit(1), [], ["query_id"], "_rank")
-        chunks = [
-            ranked.filter((F.col("_rank") > lo) & (F.col("_rank") <= lo + max_queries)).drop("_rank") for lo in range(0, total_queries, max_queries)
-        ]
-    rows = base.select(F.col(base_id).alias("base_id"), doubles(base_vec).alias("base_vec"))
+    wanted = queries.select(F.col(query_id).alias("query_id"), doubles(query_vec).alias("vec"))
+    rows = base.select(F.col(base_id).alias("base_id"), doubles(base_vec).alias("vec")).filter("vec IS NOT NULL")
+    blocks = max(1, -(-rows.count() // rows_per_block))
+    dealt = rows.select(F.pmod(F.xxhash64("base_id"), F.lit(blocks)).alias("block"), F.lit(0).alias("turn"), F.lit(None).cast(wanted.schema["query_id"].dataType).alias("query_id"), "base_id", "vec")
+    asked = wanted.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"), F.lit(1).alias("turn"), "query_id",
+                          F.lit(None).cast(rows.schema["base_id"].dataType).alias("base_id"), "vec")
+    met = dealt.unionByName(asked).repartition("block").sortWithinPartitions("block", "turn", "base_id")
     schema = T.StructType([wanted.schema["query_id"], rows.schema["base_id"], T.StructField("cosine", T.DoubleType())])
-    partial = None
-    for chunk in chunks:
-        found = rows.mapInPandas(_scorer(chunk.collect(), k), schema)
-        partial = found if partial is None else partial.unionByName(found)
     best = Window.partitionBy("query_id").orderBy(F.desc("cosine"), "base_id")
-    return partial.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-
-
-def _scorer(query_rows: list, k: int):
-    ids = [r["query_id"] for r in query_rows]
-    matrix = np.array([r["query_vec"] for r in query_rows], dtype=np.float64)
-    matrix = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), np.finfo(float).tiny)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        heaps: list[list[tuple[float, object]]] = [[] for _ in ids]
-        for frame in frames:
-            if not len(frame) or not ids:
-                continue
-            block = np.vstack(frame["base_vec"].to_numpy()).astype(np.float64)
-            lengths = np.linalg.norm(block, axis=1)
-            keep = lengths > 0
-            base_ids = frame["base_id"].to_numpy()[keep]
-            scores = (block[keep] / lengths[keep, None]) @ matrix.T
-            for q in range(len(ids)):
-                order = np.lexsort((base_ids, -scores[:, q]))[:k]
-                merged = heaps[q] + [(-scores[i, q], base_ids[i]) for i in order]
-                heaps[q] = heapq.nsmallest(k, merged)
-        lines = [(ids[q], b, -s) for q, heap in enumerate(heaps) for s, b in heap]
-        yield pd.DataFrame(lines, columns=["query_id", "base_id", "cosine"])
+    return met.mapInArrow(_block_scorer(k), schema).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
+def _block_scorer(k: int, at_once: int = 256):
+    """Streams rows sorted by (block, turn): vectors of a block are stacked, then its queries are scored against them."""
+
+    def unit(batch: pa.RecordBatch, width: int | None) -> np.ndarray:
+        vectors = batch["vec"].to_pylist()
+        width = width or next((len(v) for v in vectors if v), 0)
+        out = np.array([v if v is not None and len(v) == width else [0.0] * width for v in vectors], np.float64).reshape(len(vectors), width)
+        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), np.finfo(float).tiny)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts, ids, matrix = None, [], [], None
+
+        def scored(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for start in range(0, batch.num_rows, at_once):
+                asked = batch.slice(start, at_once)
+                scores = matrix @ unit(asked, matrix.shape[1]).T
+                some = min(k, len(matrix))
+                least = np.partition(scores, len(matrix) - some, axis=0)[len(matrix) - some]
+                lines_q, lines_b, lines_s = [], [], []
+                for q in range(asked.num_rows):
+                    # all that tie with the k-th are looked at; rows lie by id, so the stable order breaks ties
+                    near = np.flatnonzero(scores[:, q] >= least[q])
+                    near = near[np.argsort(-scores[near, q], kind="stable")][:some]
+                    lines_q += [q] * len(near)
+                    lines_b += near.tolist()
+                    lines_s += scores[near, q].tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [asked["query_id"].take(pa.array(lines_q, pa.int64())), everyone.take(pa.array(lines_b, pa.int64())), pa.array(lines_s, pa.float64())],
+                    names=["query_id", "base_id", "cosine"])
+
+        for batch in batches:
+            key = batch["block"].to_numpy() * 2 + batch["turn"].to_numpy()
+            for part in np.split(np.arange(len(key)), np.flatnonzero(np.diff(key)) + 1) if len(key) else []:
+                rows = batch.slice(int(part[0]), len(part))
+                now, turn = divmod(int(key[part[0]]), 2)
+                if now != block:
+                    block, parts, ids, matrix = now, [], [], None
+                if turn == 0:
+                    vectors = unit(rows, parts[0].shape[1] if parts else None)
+                    real = np.abs(vectors).sum(1) > 0
+                    parts.append(vectors[real])
+                    ids.append(rows["base_id"].filter(pa.array(real)))
+                    continue
+                if matrix is None and parts:
+                    matrix, everyone, parts, ids = np.concatenate(parts), pa.concat_arrays(ids), [], []
+                if matrix is not None and len(matrix):
+                    yield from scored(rows)
 
     return run

@@ -61,11 +61,12 @@ def class_metrics(spark, sf_dir):
 
 
 @query("compare_variants", """
-WITH w AS (SELECT user_id, max(props) FILTER (event_type = 'view') AS view, max(props) FILTER (event_type = 'click') AS click, max(props) FILTER (event_type = 'purchase') AS purchase FROM events GROUP BY user_id)
-SELECT user_id, view, click, purchase, CAST(len(list_filter([view, click, purchase], lambda x: x IS NOT NULL)) AS INTEGER) AS n_answers,
-  len(list_distinct([view, click, purchase])) <= 1 AS agree FROM w""")
+WITH w AS (SELECT user_id, max(props) FILTER (event_type = 'view') AS view, max(props) FILTER (event_type = 'click') AS click, max(props) FILTER (event_type = 'purchase') AS purchase,
+  max(props) FILTER (event_type = 'signup') AS signup, max(props) FILTER (event_type = 'error') AS error FROM events GROUP BY user_id)
+SELECT *, CAST(len(list_filter([view, click, purchase, signup, error], lambda x: x IS NOT NULL)) AS INTEGER) AS n_answers,
+  len(list_distinct([view, click, purchase, signup, error])) <= 1 AS agree FROM w""")
 def compare_variants(spark, sf_dir):
-    return L.compare_variants(table(spark, sf_dir, "events"), "user_id", "event_type", "props", ["view", "click", "purchase"])
+    return L.compare_variants(table(spark, sf_dir, "events"), "user_id", "event_type", "props", ["view", "click", "purchase", "signup", "error"])
 
 
 @query("regression_diff", f"""WITH {V.GOLD_PRED}, {V.GOLD_PRED_B},

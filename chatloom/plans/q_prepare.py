@@ -30,10 +30,11 @@ def assemble_conversations(spark, sf_dir):
     return made.select("conv_id", F.size("messages").alias("n"), flat.alias("flat"))
 
 
-@query("explode_turns", "SELECT conv_id, turn, role, text FROM conversations")
+@query("explode_turns", "SELECT conv_id, turn * 3 + conv_id % 50 AS turn, role, text FROM conversations")
 def explode_turns(spark, sf_dir):
-    made = P.assemble_conversations(table(spark, sf_dir, "conversations"), "conv_id", "turn", part_turns=4)
-    return P.explode_turns(made, "conv_id", part_turns=4)
+    """Turn numbers with gaps and other starts come back as they were."""
+    turns = table(spark, sf_dir, "conversations").withColumn("turn", F.col("turn") * 3 + F.col("conv_id") % 50)
+    return P.explode_turns(P.assemble_conversations(turns, "conv_id", "turn", part_turns=4), "conv_id")
 
 
 @query("render_chat", """
@@ -44,10 +45,9 @@ SELECT conv_id,
 FROM conversations GROUP BY conv_id""")
 def render_chat(spark, sf_dir):
     """With the serving role mapped to ``model``, and without: unknown roles disappear."""
-    made = P.with_last_part(P.assemble_conversations(table(spark, sf_dir, "conversations"), "conv_id", "turn"), "conv_id")
-    places = {"first_part": F.col("part") == 0, "last_part": F.col("is_last")}
-    mapped = P.render_chat(F.col("messages"), role_map={"assistant": "model"}, add_generation_prompt=True, **places)
-    return made.select("conv_id", mapped.alias("mapped"), P.render_chat(F.col("messages"), **places).alias("unmapped"))
+    made = P.assemble_conversations(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+    mapped = P.render_chat(F.col("messages"), role_map={"assistant": "model"}, add_generation_prompt=True)
+    return made.select("conv_id", mapped.alias("mapped"), P.render_chat(F.col("messages")).alias("unmapped"))
 
 
 @query("select_train_field", """
@@ -156,3 +156,11 @@ SELECT doc_id, micro_batch, micro_batch // 4 AS step, n_tokens, pad_to, pad_to -
 def batch_plan(spark, sf_dir):
     rows = texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.size(P.words(F.col("text"))).alias("n_tokens"))
     return P.batch_plan(rows, "doc_id")
+
+
+@query("train_schedule", """
+SELECT count(*) AS n_rows, CAST(ceil(count(*) / 4.0) AS BIGINT) AS micro_batches, CAST(ceil(count(*) / 16.0) * 3 AS BIGINT) AS steps,
+       CAST(ceil(ceil(count(*) / 16.0) * 3 * 0.03) AS BIGINT) AS warmup_steps FROM documents""")
+def train_schedule(spark, sf_dir):
+    """Three epochs over the batch plan of all documents."""
+    return P.schedule(batch_plan(spark, sf_dir), epochs=3)

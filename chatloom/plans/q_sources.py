@@ -27,6 +27,20 @@ def read_dataset(spark, sf_dir):
     )
 
 
+@query("read_csv", """
+SELECT doc_id, lang, text, true AS same_split FROM documents""")
+def read_csv(spark, sf_dir):
+    """Texts with quotes and line breaks through CSV; a column without them is also read split between tasks."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    path, narrow = scratch_dir(spark, "rows") + ".csv", scratch_dir(spark, "narrow") + ".csv"
+    docs.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    docs.select("doc_id", "lang").write.csv(narrow, header=True)
+    back = S.read_dataset(spark, path, docs.schema)
+    ids = S.read_dataset(spark, narrow, docs.select("doc_id", "lang").schema, multi_line=False)
+    met = back.join(ids.select("doc_id", F.col("lang").alias("_lang")), "doc_id")
+    return met.select("doc_id", "lang", "text", F.col("lang").eqNullSafe(F.col("_lang")).alias("same_split"))
+
+
 @query("write_jsonl", """
 SELECT doc_id, lang, text, text AS ascii_text FROM documents""")
 def write_jsonl(spark, sf_dir):
@@ -69,7 +83,7 @@ def read_notebooks(spark, sf_dir):
 
 
 @query("assemble_chapters", """
-SELECT d.doc_id // 8 AS book, CAST(0 AS BIGINT) AS part, count(*) AS members, string_agg(d.text, chr(10) || chr(10) ORDER BY 7 - d.doc_id % 8) AS text
+SELECT d.doc_id // 8 AS book, count(*) AS members, string_agg(d.text, chr(10) || chr(10) ORDER BY 7 - d.doc_id % 8) AS text
 FROM documents d JOIN labels USING (doc_id) GROUP BY 1""")
 def assemble_chapters(spark, sf_dir):
     """Books of eight documents in reverse order; only labelled documents have a body."""
@@ -78,7 +92,7 @@ def assemble_chapters(spark, sf_dir):
     order = docs.select(
         "doc_id", F.floor(F.col("doc_id") / 8).cast("bigint").alias("book"), (7 - F.col("doc_id") % 8).alias("pos")
     )
-    return S.assemble_chapters(bodies, order, "doc_id", "text", "book", "pos")
+    return S.assemble_chapters(bodies, order, "doc_id", "text", "book", "pos", part_size=3)
 
 
 @query("missing_members", """

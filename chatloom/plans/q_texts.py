@@ -60,12 +60,12 @@ def q_clean_text(spark, sf_dir):
 
 @query("clean_prediction", """
 SELECT 'c' || conv_id::VARCHAR || '/' || turn::VARCHAR AS id, trim(string_split(text || '<end_of_turn>' || chr(10) || '<', '<')[1], ' ' || chr(9) || chr(10) || chr(13)) AS cleaned FROM conversations
-UNION ALL SELECT 'p' || page_id::VARCHAR, trim(string_split(substr(html, 2), '<')[1], ' ' || chr(9) || chr(10) || chr(13)) FROM pages""")
+UNION ALL SELECT 'p' || page_id::VARCHAR, trim(string_split('answer ' || replace(html, '<!', '!'), '<')[1], ' ' || chr(9) || chr(10) || chr(13)) FROM pages""")
 def q_clean_prediction(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select(
         F.concat(F.lit("c"), "conv_id", F.lit("/"), "turn").alias("id"), F.concat("text", F.lit("<end_of_turn>\n<")).alias("raw")
     )
-    pages = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), "page_id").alias("id"), F.expr("substr(html, 2)").alias("raw"))
+    pages = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), "page_id").alias("id"), F.concat(F.lit("answer "), F.replace("html", F.lit("<!"), F.lit("!"))).alias("raw"))
     return turns.unionByName(pages).select("id", clean_prediction(F.col("raw")).alias("cleaned"))
 
 

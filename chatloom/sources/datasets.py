@@ -109,10 +109,10 @@ def assemble_chapters(
     bodies: DataFrame, order: DataFrame, key: str, body: str, book: str, pos: str,
     sep: str = "\n\n", part_size: int = 1000,
 ) -> DataFrame:
-    """Join bodies in an explicit order; keys with no body are skipped.
+    """Join bodies in an explicit order, one row per book: ``book, members, body``; keys with no body are skipped.
 
-    ``order`` holds ``(book, pos, key)``. A book longer than ``part_size`` positions comes
-    out as consecutive parts, so no task has to hold an unbounded book.
+    ``order`` holds ``(book, pos, key)``. Two levels: stretches of ``part_size`` positions are joined each by itself, then put together in order;
+    their size has no influence on the rows.
     """
     part = F.floor(F.col(pos) / part_size).cast("bigint")
     placed = order.join(bodies, key).withColumn("part", part)
@@ -120,7 +120,9 @@ def assemble_chapters(
         F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(body).alias("b")))).alias("_items"),
     )
     joined = F.array_join(F.transform("_items", lambda i: i["b"]), sep)
-    return grouped.select(book, "part", F.size("_items").cast("bigint").alias("members"), joined.alias(body))
+    parts = grouped.select(book, F.struct("part", F.size("_items").cast("bigint").alias("n"), joined.alias("b")).alias("p"))
+    whole = parts.groupBy(book).agg(F.sum("p.n").alias("members"), F.sort_array(F.collect_list("p")).alias("_parts"))
+    return whole.select(book, "members", F.array_join(F.transform("_parts", lambda p: p["b"]), sep).alias(body))
 
 
 def missing_members(expected: DataFrame, present: DataFrame, keys: Sequence[str]) -> DataFrame:

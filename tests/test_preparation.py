@@ -28,7 +28,9 @@ def test_running_total_spreads_clumped_ids_and_an_outlier(spark, monkeypatch):
     cut, seen = positions.cut_lineage, []
     monkeypatch.setattr(positions, "cut_lineage", lambda df: seen.append(cut(df)) or seen[-1])
     df = spark.range(20_000).select("id").unionByName(spark.createDataFrame([(10**18,)], "id long")).withColumn("d", F.lit("one day"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     got = running_total(df, F.lit(1), ["d"], ["id"], "t")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert got.filter("t <> id + 1 AND id < 1000000").isEmpty() and got.filter("id > 1000000").first().t == 20_001
     sizes = [r["n"] for r in seen[0].groupBy(F.shiftright("_at", 33)).agg(F.count("*").alias("n")).collect()]
     assert len(sizes) == 4 and max(sizes) < 8000
@@ -54,10 +56,14 @@ def test_salted_lookup_keeps_every_row(spark):
 
 def test_long_conversations_are_split_not_cut(spark):
     turns = spark.range(25).select(F.lit(1).alias("c"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.concat(F.lit("t"), "id").alias("text"))
-    made = P.assemble_conversations(turns, "c", "turn", part_turns=10)
+    made = P.assemble_parts(turns, "c", "turn", part_turns=10)
     assert sorted((r.part, len(r.messages)) for r in made.collect()) == [(0, 10), (1, 10), (2, 5)]
-    back = P.explode_turns(made, "c", part_turns=10)
-    assert sorted((r.turn, r.text) for r in back.collect()) == [(i, f"t{i}") for i in range(25)]
+    for some in (made, P.assemble_conversations(turns, "c", "turn", part_turns=10)):
+        assert sorted((r.turn, r.text) for r in P.explode_turns(some, "c").collect()) == [(i, f"t{i}") for i in range(25)]
+    odd = turns.withColumn("turn", F.col("turn") * 7 + 5000)
+    wholes = [sorted(map(tuple, P.assemble_conversations(odd, "c", "turn", part_turns=n).collect())) for n in (3, 4096)]
+    assert wholes[0] == wholes[1] and len(wholes[0]) == 1
+    assert [r.turn for r in P.explode_turns(P.assemble_conversations(odd, "c", "turn"), "c").collect()] == [i * 7 + 5000 for i in range(25)]
 
 
 def test_parts_render_like_the_whole(spark):
@@ -65,8 +71,8 @@ def test_parts_render_like_the_whole(spark):
     turns = spark.createDataFrame(rows, "c long, turn long, role string, text string")
 
     def rendered(part_turns):
-        made = P.with_last_part(P.assemble_conversations(turns, "c", "turn", part_turns=part_turns), "c")
-        text = P.render_chat(F.col("messages"), add_generation_prompt=True, first_part=F.col("part") == 0, last_part=F.col("is_last"))
+        made = P.with_ends(P.assemble_parts(turns, "c", "turn", part_turns=part_turns), "c")
+        text = P.render_chat(F.col("messages"), add_generation_prompt=True, first_part=F.col("is_first"), last_part=F.col("is_last"))
         found = made.select("c", "part", text.alias("t")).orderBy("c", "part").collect()
         return {c: "".join(r.t for r in found if r.c == c) for c in range(3)}
 
@@ -103,7 +109,7 @@ def test_packing_loses_nothing(spark):
     rng = random.Random(2)
     rows = [(i, rng.choice("ab"), [f"{i}.{j}" for j in range(rng.randint(0, 9))]) for i in range(60)]
     df = spark.createDataFrame(rows, "id long, s string, tokens array<string>").repartition(5)
-    packed = P.pack_sequences(df, "id", 8, ["s"], rows_per_bucket=7).collect()
+    packed = P.pack_sequences(df, "id", 8, ["s"]).collect()
     for s in "ab":
         stream = [t for _, g, ts in rows if g == s for t in ts]
         blocks = {r.block: r.tokens for r in packed if r.s == s}
@@ -112,11 +118,12 @@ def test_packing_loses_nothing(spark):
 
 def test_batch_plan_across_buckets(spark):
     df = spark.range(50).select((F.col("id") * 3).alias("id"), (F.col("id") % 7).alias("n_tokens"))
-    got = {r.id: r for r in P.batch_plan(df, "id", batch_size=2, accumulation=8, rows_per_bucket=5).collect()}
+    got = {r.id: r for r in P.batch_plan(df, "id", batch_size=2, accumulation=8).collect()}
     for i in range(50):
         mates = [j % 7 for j in (i // 2 * 2, i // 2 * 2 + 1)]
         assert (got[3 * i].micro_batch, got[3 * i].step, got[3 * i].pad_to, got[3 * i].padding) == (i // 2, i // 16, max(mates), max(mates) - i % 7)
-    assert P.schedule(2000) == {"steps": 125, "warmup_steps": 4}
+    plan = P.batch_plan(spark.range(2000).withColumn("n_tokens", F.lit(1)), "id")
+    assert tuple(P.schedule(plan).first()) == (2000, 500, 125, 4)
 
 
 def test_masked_nll_weighs_tokens(spark):
@@ -203,11 +210,10 @@ def test_notebooks_and_audit(spark, tmp_path):
     assert (row.cell, row.failures, row.passed) == (1, ["casts"], False)
 
 
-def test_assemble_skips_absent_and_splits_long_books(spark):
+def test_assemble_skips_absent(spark):
     order = spark.createDataFrame([("b", p, k) for p, k in enumerate("cab")], "book string, pos int, key string")
     bodies = spark.createDataFrame([("a", "A"), ("c", "C")], "key string, body string")
     whole = D.assemble_chapters(bodies, order, "key", "body", "book", "pos").first()
     assert whole.body == "C\n\nA" and whole.members == 2
-    parts = D.assemble_chapters(bodies, order, "key", "body", "book", "pos", part_size=1).collect()
-    assert sorted((r.part, r.body) for r in parts) == [(0, "C"), (1, "A")]
+    assert D.assemble_chapters(bodies, order, "key", "body", "book", "pos", part_size=1).collect() == [whole]
     assert [r.key for r in D.missing_members(order, bodies, ["key"]).collect()] == ["b"]

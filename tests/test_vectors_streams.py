@@ -79,7 +79,7 @@ def test_top_k_chunks_agree(spark):
     base = spark.range(60).select("id", F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.sin(F.col("id") * 7 + i)).alias("v")).repartition(5)
     queries = base.filter("id < 10")
     one = Q.top_k_similar(queries, base, 3, "id", "v", "id", "v").drop("cosine")
-    many = Q.top_k_similar(queries, base, 3, "id", "v", "id", "v", max_queries=4).drop("cosine")
+    many = Q.top_k_similar(queries, base, 3, "id", "v", "id", "v", rows_per_block=7).drop("cosine")
     got = sorted(map(tuple, one.collect()))
     assert got == sorted(map(tuple, many.collect())) and len(got) == 30
     assert all(q == b for q, b, rank in got if rank == 1)
