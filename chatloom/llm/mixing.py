@@ -118,6 +118,11 @@ def _pivot(level: int, seed: int) -> Column:
     return F.aggregate(F.reverse(F.array_sort("items")), start, step)
 
 
+def row_key() -> Column:
+    """What a row is known by: its id (or that it has none) and its text."""
+    return F.xxhash64(F.col("doc_id").cast("bigint"), F.col("doc_id").isNull(), "text")
+
+
 def _rounded(shares: DataFrame, most: int, seed: int, fan_in: int) -> DataFrame:
     """``_s`` (source), ``id``, ``up`` for open shares (``source, _rows, key, size, share``): a tree of groups of about ``fan_in`` documents of one source."""
     decided, open_now = [], shares
@@ -162,8 +167,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int
     text, so rows without id are rounded each by itself, and rows of one source that repeat both as one document. An empty table gives an empty result.
     Other columns are ignored.
     """
-    key = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")
-    rows = cut_lineage(docs.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"), key.alias("key")))
+    rows = cut_lineage(docs.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"), row_key().alias("key")))
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
     sizes = sources.drop("_rows")
     targets = source_targets(sizes, weights, cap)
