@@ -25,7 +25,8 @@ class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit numbers, by a byte-level tokenizer file.
 
     Such a tokenizer never joins what stands left and right of a space that is followed by something else than white space, so
-    texts are cut there, and the ids of frequent chunks are remembered within a bound.
+    texts are cut there, and the ids of frequent chunks are remembered within a bound. A text that holds an added token of the file literally goes to the
+    tokenizer as it is.
     """
 
     def __init__(self, path: str, most: int = 600_000) -> None:
@@ -33,7 +34,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
         self.most = most
         self.known: dict[str, bytes] = {}
         names = self.tokenizer.get_vocab()
@@ -41,6 +43,11 @@ class Encoder:
         self.opens[[i for name, i in names.items() if name.startswith("\u0120")]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        whole = [i for i, t in enumerate(texts) if self.added and self.added.search(t)]
+        if whole:
+            out = dict(zip(whole, self._ids([texts[i] for i in whole])))
+            rest = iter(self.encode([t for i, t in enumerate(texts) if i not in out]))
+            return [out[i] if i in out else next(rest) for i in range(len(texts))]
         cut = [(_SPLIT.split(t) if _RUN.search(t) else t.split(" ")) if t else [] for t in texts]
         missing = {x for parts in cut for x in parts[1:] if x not in self.known}
         if len(self.known) + len(missing) > self.most:
