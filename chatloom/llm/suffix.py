@@ -364,7 +364,7 @@ class Texts:
     def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Bytes, ends, ids and versions."""
         data = np.frombuffer(b"".join(self.parts), np.uint8)
-        out = data, np.cumsum([len(x) for x in self.parts]), np.array(self.docs, np.int64), np.array(self.versions, np.uint16)
+        out = data, np.cumsum([len(x) for x in self.parts]), np.array(self.docs, np.int64), np.array(self.versions, np.uint32)
         self.clear()
         return out
 
@@ -556,7 +556,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
                 hashed = _mixed(rows.astype(np.uint64) @ weights) >> np.uint64(16)
                 for doc, version, first, _ in holders:
                     for v, f in zip(version.tolist(), first.tolist()):
-                        runs.add(rows, np.full(n, window), hashed, np.full(n, doc, np.int64), np.full(n, v, np.uint16), f + np.arange(n), np.zeros(n, np.uint8))
+                        runs.add(rows, np.full(n, window), hashed, np.full(n, doc, np.int64), np.full(n, v, np.uint32), f + np.arange(n), np.zeros(n, np.uint8))
 
             for kind, value in _targets(batches):
                 if kind == _MARKS:

@@ -58,6 +58,11 @@ def test_suffix_short_windows_and_text(make_docs):
     assert {r["doc_id"]: bytes(r["kept"]) for r in got}[2] == b"xxyy"
 
 
+def test_suffix_takes_many_texts_without_id(spark):
+    docs = spark.range(70_000).selectExpr("cast(null as bigint) as doc_id", "concat('text ', id) as text")
+    assert suffix.remove_repeats(docs).filter("doc_id IS NULL AND n_removed = 0").count() == 70_000
+
+
 def test_merge_never_compares_known_prefixes(monkeypatch):
     rng = random.Random(1)
     keys = sorted("".join(rng.choice("ab") for _ in range(rng.randint(1, 12))).encode() for _ in range(300))
@@ -246,10 +251,9 @@ def test_quality_marginals_are_those_of_all_labellings():
 def test_packing_round_trip(make_docs, corpus):
     from tokenizers import Tokenizer
 
-    rows = [r for r in corpus if r[0] is not None and r[0] != 166] + [(400, "a  b \n c<|endoftext|> d\u00a0 e  ", "s"), (401, corpus[0][1] * 12, "s")]
+    rows = [r for r in corpus if r[0] is not None and r[0] != 166] + [(400, "a  b \n c<|endoftext|> d\u00a0 e  ", "s"), (401, corpus[0][1] * 12, "s"), (402, "a <|endoftext|> b", "s"), (403, "<|endoftext|>", "s")]
     got = packing.pack_documents(make_docs(rows), TOKENIZER, capacity=256, keep_ids=True).collect()
     coder = Tokenizer.from_file(TOKENIZER)
-    coder.encode_special_tokens = True
     by, seqs = defaultdict(list), defaultdict(list)
     for r in got:
         ids = np.frombuffer(r["ids"], "<u4")
