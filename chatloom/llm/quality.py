@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -161,7 +162,7 @@ def _rows(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_documents: int = 3000, max_lines: int = 60) -> LineField:
-    """The field from at most ``max_documents`` labelled documents (chosen by a hash of the id, those with more than ``max_lines`` lines left out).
+    """The field from at most ``max_documents`` labelled documents (chosen by a hash of the id), each with one stretch of at most ``max_lines`` lines.
 
     Features are computed where the texts are; the driver gets the numbers of the sample, whose size the two bounds fix.
     """
@@ -175,10 +176,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_documents: int = 3000, max_lines
         for batch in batches:
             out = []
             for i, text, label in zip(batch["doc_id"].to_pylist(), batch["text"], batch["quality"].to_pylist()):
-                text = text.as_py()
-                if text.count("\n") < max_lines:
-                    rows, lengths = line_features(text)
-                    out.append((i, label, rows.astype(np.float32).tobytes(), lengths.astype(np.float32).tobytes()))
+                rows, lengths = line_features(text.as_py())
+                # a longer document is learned from by a stretch of its lines, which know their neighbours in the whole text
+                at = zlib.crc32(str(i).encode()) % max(1, len(rows) - max_lines + 1)
+                rows, lengths = rows[at:at + max_lines], lengths[at:at + max_lines]
+                out.append((i, label, rows.astype(np.float32).tobytes(), lengths.astype(np.float32).tobytes()))
             ids, marks, rows, lengths = zip(*out) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(marks, pa.int32()), pa.array(rows, pa.binary()), pa.array(lengths, pa.binary())], names=["doc_id", "label", "rows", "lengths"])

@@ -228,6 +228,14 @@ def test_quality_on_held_out_rows(labelled):
     assert by[900]["n_lines"] == 1 and by[900]["score"] == by[901]["score"]
 
 
+def test_quality_learns_from_documents_of_many_lines(spark, make_docs):
+    rng = random.Random(4)
+    rows = [(i, "\n".join((sentence(rng, 8) + "." if i % 2 else "### $$$ *** " * 4) for _ in range(90)), "s") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    got = quality.quality(make_docs(rows), labels).collect()
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in got)
+
+
 def test_quality_marginals_are_those_of_all_labellings():
     rng = np.random.default_rng(2)
     n = quality.N_FEATURES
