@@ -22,6 +22,7 @@ PII_PATTERNS = [
     ("PHONE", r"(?:\+[0-9]{1,3}[ -]?)?(?:\([0-9]{2,4}\)[ -]?|\b[0-9]{2,4}[ .-])[0-9]{3}[ .-]?[0-9]{4}\b"),
 ]
 # What any match of a pattern holds; texts without it are spared the pattern.
+_NAME_WORD = r"[\p{L}\p{N}_]+"
 _SIGNS = {"EMAIL": "@", "CARD": "[0-9](?:[ -]?[0-9]){3}"}
 
 
@@ -48,6 +49,37 @@ def redact_pii(df: DataFrame, col: str, names: Sequence[str] = ()) -> DataFrame:
     return df.withColumn("redacted", redact(F.col(col), names))
 
 
+def redact_names(df: DataFrame, id_col: str, col: str, names: DataFrame, name: str) -> DataFrame:
+    """Add ``redacted``: the text with every name of a table replaced by a tag, the longest one first where several fit. Ids are unique.
+
+    The table may have any number of names: a text is cut into word n-grams as long as names have words, these are looked up by an equi-join, and only the names
+    that a text holds enter its own pattern. So the cost of a text does not depend on the list. Names stand alone, as in :func:`redact`, and
+    match case; a name without letters, digits or underscores is never found. Null texts stay null.
+    """
+    def cut(c: Column) -> Column:
+        return F.regexp_extract_all(c, F.lit(_NAME_WORD), F.lit(0))
+
+    listed = names.select(F.col(name).alias("name")).filter("name IS NOT NULL").distinct().withColumn("w", cut(F.col("name"))).filter(F.size("w") > 0)
+    # names of a language have few words, so there are few lengths
+    sizes = sorted(r[0] for r in listed.select(F.size("w")).distinct().collect())
+    known = listed.select("name", F.array_join("w", " ").alias("gram"))
+    rows = df.select(F.col(id_col).alias("row"), F.col(col).alias("t"))
+
+    def grams(w: Column) -> Column:
+        runs = [F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))
+                for n in sizes] or [F.array().cast("array<string>")]
+        return F.array_distinct(F.flatten(F.array(*runs)))
+
+    hits = rows.select("row", F.explode(let(cut(F.coalesce("t", F.lit(""))), grams)).alias("gram")).join(broadcast_if_small(known), "gram")
+    longest = F.expr("array_sort(collect_set(name), (a, b) -> CASE WHEN length(a) <> length(b) THEN length(b) - length(a) WHEN a < b THEN -1 WHEN a > b THEN 1 ELSE 0 END)")
+    quoted = F.transform("found", lambda x: F.regexp_replace(x, r"([^\p{L}\p{N}\s])", r"\\$1"))
+    alone = F.concat(F.lit(r"(?<![\p{L}\p{N}_])(?:"), F.array_join(quoted, "|"), F.lit(r")(?![\p{L}\p{N}_])"))
+    patterns = hits.groupBy("row").agg(longest.alias("found")).select(F.col("row").alias("_row"), alone.alias("_pattern"))
+    met = df.join(patterns, F.col(id_col) == F.col("_row"), "left")
+    return met.withColumn("redacted", F.when(F.col("_pattern").isNull(), F.col(col)).otherwise(
+        F.regexp_replace(F.col(col), F.col("_pattern"), F.lit("[REDACTED_NAME]")))).drop("_row", "_pattern")
+
+
 def pii_leaks(df: DataFrame, source: str, answer: str, names: Sequence[str] = ()) -> DataFrame:
     """Check redacted answers: personal data left over, and edits beyond the tags."""
     left = [F.size(F.regexp_extract_all(answer, F.lit(p), F.lit(0))).alias(f"{tag.lower()}_left") for tag, p in PII_PATTERNS]

@@ -113,6 +113,18 @@ def pii_leaks(spark, sf_dir):
     return R.pii_leaks(docs.withColumn("answer", answer), "text", "answer").drop("text", "answer")
 
 
+@query("redact_names", r"""
+WITH gaz AS (SELECT string_agg(regexp_escape(name), '|' ORDER BY length(name) DESC, name) AS pat
+  FROM (SELECT DISTINCT array_to_string(string_split(text, ' ')[1:2], ' ') AS name FROM benchmark WHERE text <> '') WHERE regexp_matches(name, '[\pL\pN_]')),
+w AS (SELECT '(^|[^\pL\pN_])(?:' || pat || ')($|[^\pL\pN_])' AS pat FROM gaz)
+SELECT doc_id, regexp_replace(regexp_replace(text, pat, '\1[REDACTED_NAME]\2', 'g'), pat, '\1[REDACTED_NAME]\2', 'g') AS redacted FROM documents, w""")
+def redact_names(spark, sf_dir):
+    """The first two words of every benchmark item stand in for a table of names."""
+    names = table(spark, sf_dir, "benchmark").filter("text <> ''").select(F.array_join(F.slice(F.split("text", " "), 1, 2), " ").alias("name"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return R.redact_names(docs, "doc_id", "text", names, "name").select("doc_id", "redacted")
+
+
 @query("build_redaction_pairs", f"""
 WITH t AS (SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript FROM conversations GROUP BY 1)
 SELECT conv_id, 'Redact PII from this transcript: ''' || transcript || '''' AS user_content, {sql_redact('transcript')} AS model_content FROM t""")

@@ -180,3 +180,14 @@ def test_contamination_with_short_and_long_items(spark):
     assert got == {(1, 10): (1, True), (3, 10): (1, True), (1, 11): (2, False), (3, 11): (1, False), (2, 13): (1, True)}
     plain = {(r.d, r.b) for r in R.contamination(train, bench, "d", "b", n=3, max_broadcast_rows=0).collect()}
     assert plain == set(got)
+
+
+def test_redact_names_from_a_table(spark):
+    names = spark.createDataFrame([("Ann",), ("Ann Lee",), ("O'Neil (jr.)",), ("Zoë",), (None,), ("--",)] + [(f"Nobody{i}",) for i in range(500)], "n string")
+    texts = {1: "Ann Lee met Ann, Annie and O'Neil (jr.)!", 2: "xAnn Zoë_ Zoë.Zoë", 3: None, 4: "", 5: "Ann  Lee -- Nobody7"}
+    df = spark.createDataFrame(list(texts.items()), "id int, t string")
+    got = {r.id: r.redacted for r in R.redact_names(df, "id", "t", names, "n").collect()}
+    tag = "[REDACTED_NAME]"
+    assert got == {1: f"{tag} met {tag}, Annie and {tag}!", 2: f"xAnn Zoë_ {tag}.{tag}", 3: None, 4: "", 5: f"{tag}  Lee -- {tag}"}
+    plain = df.select("id", R.redact(F.col("t"), [r.n for r in names.collect() if r.n]).alias("r"))
+    assert {r.id: r.r for r in plain.collect()} == got | {5: f"{tag}  Lee {tag} {tag}"}
