@@ -11,7 +11,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.plans.candidates import whole_groups
 from chatloom.plans.positions import salted_lookup
 from chatloom.session import cut_lineage
 
@@ -57,27 +56,6 @@ def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def _kept_terms(min_docs: int):
-    """For lines sorted by language and term: the terms of enough documents, with their counts per source."""
-    kind = pa.list_(pa.struct([("source", pa.string()), ("n", pa.int64())]))
-
-    def work(starts: np.ndarray, table: pa.Table) -> Iterator[pa.RecordBatch]:
-        ends = np.append(starts[1:], table.num_rows)
-        enough = np.flatnonzero(np.add.reduceat(table["docs"].to_numpy(), starts) >= min_docs)
-        if not len(enough):
-            return
-        langs, terms, sources, counts = (table[c].to_pylist() for c in ("lang", "term", "source", "n"))
-        rows = []
-        for g in enough.tolist():
-            held: Counter = Counter()
-            for i in range(starts[g], ends[g]):
-                held[sources[i]] += counts[i]
-            rows.append((langs[starts[g]], terms[starts[g]], sum(held.values()), [{"source": s, "n": n} for s, n in sorted(held.items())]))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int64(), kind))], names=["lang", "term", "total", "held"])
-
-    return work
-
-
 def _share(n: Column, total: Column, terms: Column) -> Column:
     """``1 + floor(10^9 (n + 5) / (total + 5 terms))`` in exact decimals."""
     wide = "decimal(20,0)"
@@ -181,11 +159,12 @@ def source_divergence(docs: DataFrame, min_docs: int = 30, top: int = 50, block:
     held = copies.groupBy("lang", "digest").agg(F.collect_list(F.struct("source", "copies")).alias("held"))
     texts = rows.groupBy("lang", "digest").agg(F.any_value("text").alias("text"))
     single = texts.join(held, ["lang", "digest"]).select("lang", "text", "held")
-    # tasks have added up their own counts; sorted by term, they are summed in one pass, and only kept terms get their list of sources
+    # tasks have added up their own counts; dealt and sorted by term once, all further sums need no shuffle, and only kept terms get a list of their sources
     lines = single.mapInArrow(term_counts, "lang string, source string, term string, n bigint, docs bigint").repartition("lang", "term")
+    often = lines.withColumn("all_docs", F.sum("docs").over(Window.partitionBy("lang", "term"))).filter(F.col("all_docs") >= min_docs)
     # one line per term of a language; its list is as long as the language has sources
-    kept = cut_lineage(lines.sortWithinPartitions("lang", "term").mapInArrow(
-        whole_groups(["lang", "term"], _kept_terms(min_docs)), "lang string, term string, total bigint, held array<struct<source:string,n:bigint>>"))
+    kept = cut_lineage(often.groupBy("lang", "term", "source").agg(F.sum("n").alias("n")).groupBy("lang", "term").agg(
+        F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("held")))
 
     per_lang = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("total").alias("all_n"))
     found = kept.select("lang", "term", "total", F.explode("held").alias("h")).select(F.struct("lang", F.col("h.source").alias("source")).alias("group"), "term", "total", F.col("h.n").alias("n"))
