@@ -131,8 +131,10 @@ def _rounded(shares: DataFrame, most: int, seed: int, fan_in: int) -> DataFrame:
         # sources smaller than the largest use as many groups as their own rows need at this level
         count = F.greatest(F.lit(1), F.ceil(F.col("_rows") / F.lit(fan_in ** (level + 1)))).cast("int")
         place = F.pmod(F.xxhash64(F.lit(seed), F.lit(level), "key"), count)
+        # small rows, much work: a stated number of partitions is not merged by their bytes
+        slots = int(shares.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         folded = cut_lineage(
-            open_now.groupBy("source", "_rows", place.alias("_group"))
+            open_now.withColumn("_group", place).repartition(slots, "source", "_group").groupBy("source", "_rows", "_group")
             .agg(F.collect_list(F.struct("size", F.col("key").alias("id"), "share")).alias("items"))
             .select("source", "_rows", _settle(level, seed).alias("items")))
         lines = folded.select("source", "_rows", F.explode("items").alias("d")).select(
