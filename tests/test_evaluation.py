@@ -110,6 +110,12 @@ def test_expected_score_renormalises(spark):
     assert P.expected_score(df).first().expected_score == pytest.approx(4.0)
 
 
+def test_expected_score_of_every_row(spark):
+    rows = [(1, {1: math.log(0.2), 2: math.log(0.2)}), (2, {5: -800.0, 1: -800.0 + math.log(3.0)}), (3, {}), (4, None)]
+    got = {r.item: r.expected_score for r in P.expected_score(spark.createDataFrame(rows, "item int, logprobs map<int,double>")).collect()}
+    assert got[1] == pytest.approx(1.5) and got[2] == pytest.approx(2.0) and got[3] is None and got[4] is None
+
+
 def test_calibration(spark):
     df = spark.createDataFrame([(1.0, True), (0.95, False), (0.05, False)], "conf double, correct boolean")
     row = P.calibration_error(P.calibration_bins(df)).first()
