@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatloom.functions.ranks import ranked
 from chatloom.functions.text import words
 from chatloom.plans.positions import running_total
 
@@ -172,22 +173,22 @@ def truncate_tokens(df: DataFrame, max_len: int = 1024) -> DataFrame:
     )
 
 
-def length_report(df: DataFrame, by: Sequence[str], length: str = "n_tokens", max_len: int = 1024, accuracy: int = 10_000) -> DataFrame:
+def length_report(df: DataFrame, by: Sequence[str], length: str = "n_tokens", max_len: int = 1024) -> DataFrame:
     """min / mean / p50 / p95 / p99 / max and the truncated share per group.
 
-    Percentiles use Spark's mergeable sketch with rank error ``1/accuracy``, so hot groups
-    combine on the map side; below ``accuracy`` rows the result is exact.
+    A percentile is the smallest length that its share of the rows does not exceed. It is exact: lengths are counted on the map side,
+    so a hot group is as large as the number of its different lengths.
     """
-    q = F.percentile_approx(length, [0.5, 0.95, 0.99], accuracy)
+    kind = df.schema[length].dataType
     report = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min(length).alias("min_len"), F.round(F.avg(length), 4).alias("mean_len"), F.max(length).alias("max_len"),
-        q.alias("_q"),
+        *[ranked(length, share).cast(kind).alias(f"_p{share}") for share in (50, 95, 99)],
         F.round(F.avg((F.col(length) > max_len).cast("double")), 4).alias("cut_share"),
     )
     return report.select(
         *by, "n_rows", "min_len", "mean_len",
-        F.col("_q")[0].alias("p50_len"), F.col("_q")[1].alias("p95_len"), F.col("_q")[2].alias("p99_len"),
+        F.col("_p50").alias("p50_len"), F.col("_p95").alias("p95_len"), F.col("_p99").alias("p99_len"),
         "max_len", "cut_share",
     )
 

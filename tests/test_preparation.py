@@ -217,3 +217,12 @@ def test_assemble_skips_absent(spark):
     assert whole.body == "C\n\nA" and whole.members == 2
     assert D.assemble_chapters(bodies, order, "key", "body", "book", "pos", part_size=1).collect() == [whole]
     assert [r.key for r in D.missing_members(order, bodies, ["key"]).collect()] == ["b"]
+
+
+def test_length_percentiles_are_exact(spark):
+    rows = spark.range(0, 40000, 1, 16).select(F.lit("x").alias("g"), (F.col("id") * 7919 % 40000).cast("int").alias("n_tokens"))
+    got = P.length_report(rows, ["g"])
+    row = got.first()
+    assert (row.p50_len, row.p95_len, row.p99_len) == (19999, 37999, 39599) and got.schema["p95_len"].dataType == rows.schema["n_tokens"].dataType
+    few = spark.createDataFrame([("x", 1), ("x", 2), ("x", None), ("y", None)], "g string, n_tokens int")
+    assert {r.g: (r.n_rows, r.p50_len, r.p99_len) for r in P.length_report(few, ["g"]).collect()} == {"x": (3, 1, 2), "y": (1, None, None)}
