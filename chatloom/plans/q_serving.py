@@ -62,7 +62,7 @@ SELECT kind, count(*) AS requests, CAST(sum(tokens) AS BIGINT) AS tokens, round(
   round(avg(CASE WHEN status <> 200 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 4) AS error_rate
 FROM r GROUP BY kind""")
 def usage_report(spark, sf_dir):
-    return S.usage_report(V.request_log(spark, sf_dir), ["kind"], accuracy=100_000)
+    return S.usage_report(V.request_log(spark, sf_dir), ["kind"])
 
 
 @query("request_speed", f"WITH {V.REQUEST_LOG} SELECT id, round(tokens / nullif(seconds, 0), 4) AS tokens_per_second FROM request_log")

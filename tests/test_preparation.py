@@ -226,3 +226,10 @@ def test_length_percentiles_are_exact(spark):
     assert (row.p50_len, row.p95_len, row.p99_len) == (19999, 37999, 39599) and got.schema["p95_len"].dataType == rows.schema["n_tokens"].dataType
     few = spark.createDataFrame([("x", 1), ("x", 2), ("x", None), ("y", None)], "g string, n_tokens int")
     assert {r.g: (r.n_rows, r.p50_len, r.p99_len) for r in P.length_report(few, ["g"]).collect()} == {"x": (3, 1, 2), "y": (1, None, None)}
+
+
+def test_usage_percentiles_are_exact(spark):
+    rows = spark.range(0, 40000, 1, 16).select(
+        F.lit("x").alias("kind"), (F.col("id") * 7919 % 40000 / 4).alias("seconds"), F.lit(1).alias("tokens"), F.lit(200).alias("status"))
+    row = S.usage_report(rows, ["kind"]).first()
+    assert (row.p50_seconds, row.p95_seconds) == (19999 / 4, 37999 / 4)
