@@ -120,7 +120,8 @@ def contamination(
     wanted = cut.select("item", "n_grams", F.explode_outer("grams").alias("g")).filter("g IS NOT NULL").select("item", "n_grams", "g.*")
 
     def all_sizes(h: Column) -> Column:
-        return F.array_distinct(F.flatten(F.array(*[_grams(h, g) for g in sizes])))
+        # grams of different sizes are salted apart
+        return F.flatten(F.array(*[_grams(h, g) for g in sizes]))
 
     # explode_outer: for a plain explode Spark infers a size filter that would compute all grams again
     grams = F.explode_outer(let(word_hashes(clean_words(F.col(text))), all_sizes))
@@ -141,12 +142,16 @@ def contamination(
 
 
 def _grams(h: Column, g: int) -> Column:
-    """Distinct ``h1, h2`` of the g-grams over word hashes."""
+    """Distinct ``h1, h2`` of the g-grams over word hashes, sorted.
+
+    Sorted and compared with the neighbour: Spark's array_distinct compares every struct of an array with all others.
+    """
     def one(i: Column) -> Column:
         return F.struct(gram_hash(h, i, g, g).alias("h1"), gram_hash(h, i, g, -g).alias("h2"))
 
     empty = F.array().cast("array<struct<h1:bigint,h2:bigint>>")
-    return F.array_distinct(F.when(F.size(h) >= g, F.transform(F.sequence(F.lit(0), F.size(h) - g), one)).otherwise(empty))
+    made = F.when(F.size(h) >= g, F.transform(F.sequence(F.lit(0), F.size(h) - g), one)).otherwise(empty)
+    return let(F.sort_array(made), lambda s: F.filter(s, lambda x, i: (i == 0) | (x != F.get(s, i - 1))))
 
 
 def decontaminate(train: DataFrame, overlaps: DataFrame, train_id: str) -> DataFrame:

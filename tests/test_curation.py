@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -191,3 +192,13 @@ def test_redact_names_from_a_table(spark):
     assert got == {1: f"{tag} met {tag}, Annie and {tag}!", 2: f"xAnn Zoë_ {tag}.{tag}", 3: None, 4: "", 5: f"{tag}  Lee -- {tag}"}
     plain = df.select("id", R.redact(F.col("t"), [r.n for r in names.collect() if r.n]).alias("r"))
     assert {r.id: r.r for r in plain.collect()} == got | {5: f"{tag}  Lee {tag} {tag}"}
+
+
+def test_contamination_of_a_long_text(spark):
+    """Grams of a text are made distinct without comparing each with all others."""
+    long = " ".join(f"w{i}" for i in range(60_000)) + " a b c a b c"
+    train = spark.createDataFrame([(1, long), (2, "a b c a b")], "doc_id int, text string")
+    bench = spark.createDataFrame([(7, "w5 w6 w7"), (8, "a b c"), (9, "a c")], "item_id int, text string")
+    start = time.monotonic()
+    got = sorted((r.doc_id, r.item_id, r.shared, r.verbatim) for r in R.contamination(train, bench, "doc_id", "item_id").collect())
+    assert got == [(1, 7, 1, True), (1, 8, 1, True), (2, 8, 1, True)] and time.monotonic() - start < 30
