@@ -29,9 +29,14 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, _SPACES, " "))
 
 
+def plain_text(c: Column) -> Column:
+    """Lower case, ASCII punctuation deleted. Null counts as empty."""
+    return F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), _PUNCTUATION, "")
+
+
 def clean_text(c: Column) -> Column:
     """Lower case, ASCII punctuation deleted, whitespace collapsed. Null counts as empty."""
-    return squeeze(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), _PUNCTUATION, ""))
+    return squeeze(plain_text(c))
 
 
 def clean_prediction(c: Column) -> Column:
@@ -60,16 +65,6 @@ def ascii_words(c: Column) -> Column:
     return let(squeeze(kept), split_words)
 
 
-def ngrams(tokens: Column, n: int, sep: str = " ") -> Column:
-    """All runs of ``n`` consecutive tokens, in order; empty when there are fewer."""
-    if n == 1:
-        return tokens
-    return F.when(
-        F.size(tokens) >= n,
-        F.transform(F.sequence(F.lit(0), F.size(tokens) - n), lambda i: F.concat_ws(sep, *[F.get(tokens, i + j) for j in range(n)])),
-    ).otherwise(F.array().cast("array<string>"))
-
-
 def word_hashes(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(t))
 

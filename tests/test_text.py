@@ -72,6 +72,24 @@ PAIRS = [
 ]
 
 
+def test_overlaps_match_counters(spark):
+    """N-gram bags of cleaned texts against counters, with every kind of white space, and none of it in the plan's lambdas."""
+    rng = random.Random(5)
+    gaps = [" ", "  ", "\n", "\t \x1c", "\u00a0", "\u3000", "\x85"]
+    made = ["".join(rng.choice(["A", "b", "c!", "\u00c9"]) + rng.choice(gaps) for _ in range(n)) for n in (0, 1, 2, 3, 40, 200)] + LITERALS
+    df = spark.createDataFrame([(p, r) for p in made for r in made], "prediction string, reference string")
+    plan = M.corpus_bleu(df)._jdf.queryExecution().executedPlan().toString()
+    assert "array_intersect" not in plan
+    words = df.select(X.clean_words(F.col("prediction")).alias("p"), X.clean_words(F.col("reference")).alias("r"),
+                      *[X.plain_text(F.col(c)).alias(c) for c in df.columns])
+    for row in words.collect():
+        want = [len(row.p), len(row.r), int(row.p == row.r)]
+        for n in (1, 2, 3, 4):
+            bags = [Counter(zip(*(side[i:] for i in range(n)))) for side in (row.p, row.r)]
+            want.append((bags[0] & bags[1]).total())
+        assert M.overlaps(row.prediction, row.reference, 4) == want
+
+
 def test_token_prf(spark):
     df = spark.createDataFrame([(i, p, r) for i, (p, r) in enumerate(PAIRS)], "i int, prediction string, reference string")
     got = [(r.precision, r.recall, r.f1_score) for r in M.token_prf(df).orderBy("i").collect()]
