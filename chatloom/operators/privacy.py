@@ -52,8 +52,8 @@ def redact_pii(df: DataFrame, col: str, names: Sequence[str] = ()) -> DataFrame:
 def redact_names(df: DataFrame, id_col: str, col: str, names: DataFrame, name: str) -> DataFrame:
     """Add ``redacted``: the text with every name of a table replaced by a tag, the longest one first where several fit. Ids are unique.
 
-    The table may have any number of names: a text is cut into word n-grams as long as names have words, these are looked up by an equi-join, and only the names
-    that a text holds enter its own pattern. So the cost of a text does not depend on the list. Names stand alone, as in :func:`redact`, and
+    The table may have any number of names: a text is cut into word n-grams as long as names have words, their hashes are looked up by an equi-join, and only the names
+    that a text holds (or, by an equal hash, seems to hold) enter its own pattern. So the cost of a text does not depend on the list. Names stand alone, as in :func:`redact`, and
     match case; a name without letters, digits or underscores is never found. Null texts stay null.
     """
     def cut(c: Column) -> Column:
@@ -62,15 +62,18 @@ def redact_names(df: DataFrame, id_col: str, col: str, names: DataFrame, name: s
     listed = names.select(F.col(name).alias("name")).filter("name IS NOT NULL").distinct().withColumn("w", cut(F.col("name"))).filter(F.size("w") > 0)
     # names of a language have few words, so there are few lengths
     sizes = sorted(r[0] for r in listed.select(F.size("w")).distinct().collect())
-    known = listed.select("name", F.array_join("w", " ").alias("gram"))
+    own = F.coalesce(*[F.when(F.size("w") == n, gram_hash(word_hashes(F.col("w")), F.lit(0), n, n)) for n in sizes], F.lit(None).cast("bigint"))
+    known = listed.select("name", own.alias("gram"))
     rows = df.select(F.col(id_col).alias("row"), F.col(col).alias("t"))
 
-    def grams(w: Column) -> Column:
-        runs = [F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))
-                for n in sizes] or [F.array().cast("array<string>")]
+    def grams(h: Column) -> Column:
+        empty = F.array().cast("array<bigint>")
+        runs = [F.when(F.size(h) >= n, F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: gram_hash(h, i, n, n))).otherwise(empty) for n in sizes] or [empty]
         return F.array_distinct(F.flatten(F.array(*runs)))
 
-    hits = rows.select("row", F.explode(let(cut(F.coalesce("t", F.lit(""))), grams)).alias("gram")).join(broadcast_if_small(known), "gram")
+    # explode_outer: for a plain explode Spark infers a size filter that would compute all grams again
+    cuts = rows.select("row", F.explode_outer(let(word_hashes(cut(F.coalesce("t", F.lit("")))), grams)).alias("gram"))
+    hits = cuts.filter("gram IS NOT NULL").join(broadcast_if_small(known), "gram")
     longest = F.expr("array_sort(collect_set(name), (a, b) -> CASE WHEN length(a) <> length(b) THEN length(b) - length(a) WHEN a < b THEN -1 WHEN a > b THEN 1 ELSE 0 END)")
     quoted = F.transform("found", lambda x: F.regexp_replace(x, r"([^\p{L}\p{N}\s])", r"\\$1"))
     alone = F.concat(F.lit(r"(?<![\p{L}\p{N}_])(?:"), F.array_join(quoted, "|"), F.lit(r")(?![\p{L}\p{N}_])"))

@@ -202,3 +202,15 @@ def test_contamination_of_a_long_text(spark):
     start = time.monotonic()
     got = sorted((r.doc_id, r.item_id, r.shared, r.verbatim) for r in R.contamination(train, bench, "doc_id", "item_id").collect())
     assert got == [(1, 7, 1, True), (1, 8, 1, True), (2, 8, 1, True)] and time.monotonic() - start < 30
+
+
+def test_redact_names_cuts_no_strings(spark):
+    """Grams are looked up by hash, so no n-gram of a text is made as a string; names of several lengths and repeated rows of words are found."""
+    texts = [(1, "Ann Lee met Ann Lee and Bob."), (2, "Bobby saw Ann"), (3, None), (4, "Lee Ann Lee-Ann"), (5, "")]
+    df = spark.createDataFrame(texts, "id int, t string")
+    names = spark.createDataFrame([("Ann Lee",), ("Bob",), ("Lee-Ann",), ("Lee Ann Lee-Ann X",), (None,), ("--",)], "n string")
+    made = R.redact_names(df, "id", "t", names, "n")
+    assert {r.id: r.redacted for r in made.collect()} == {
+        1: "[REDACTED_NAME] met [REDACTED_NAME] and [REDACTED_NAME].", 2: "Bobby saw Ann", 3: None, 4: "Lee [REDACTED_NAME]-Ann", 5: ""}
+    assert "slice(" not in made._jdf.queryExecution().executedPlan().toString()
+    assert R.redact_names(df, "id", "t", names.filter("n = '--'"), "n").filter("NOT redacted <=> t").isEmpty()
