@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import re
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from chatloom.session import cut_lineage
 
 _SPLIT = re.compile(r" (?=\S)")
-_RUN = re.compile(r" (?=\s|$)")
+_MARKS = ".,!?;:$#*%&|<>"
 _LONGEST_KEPT = 48  # characters of a chunk whose ids are remembered
 
 
@@ -25,8 +26,8 @@ class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit numbers, by a byte-level tokenizer file.
 
     Such a tokenizer never joins what stands left and right of a space that is followed by something else than white space, so
-    texts are cut there, and the ids of frequent chunks are remembered within a bound. A text that holds an added token of the file literally goes to the
-    tokenizer as it is.
+    texts are cut there, and the ids of frequent chunks are remembered within a bound. With the plain byte-level split a lone line feed is a token of its own,
+    so texts are cut before it too. A text that holds an added token of the file literally goes to the tokenizer as it is.
     """
 
     def __init__(self, path: str, most: int = 600_000) -> None:
@@ -35,39 +36,76 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+        self.added = added
         self.most = most
         self.known: dict[str, bytes] = {}
         names = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(names.values()) + 1, bool)  # ids whose bytes begin with a space
         self.opens[[i for name, i in names.items() if name.startswith("\u0120")]] = True
+        splits = json.loads(self.tokenizer.to_str())
+        self.lines = (splits["pre_tokenizer"] or {}).get("type") == "ByteLevel" and splits["pre_tokenizer"].get("use_regex", True) and not splits["normalizer"]
+        self.feed = self.tokenizer.token_to_id("\u010a")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [i for i, t in enumerate(texts) if self.added and self.added.search(t)]
+        whole = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
         if whole:
             out = dict(zip(whole, self._ids([texts[i] for i in whole])))
             rest = iter(self.encode([t for i, t in enumerate(texts) if i not in out]))
             return [out[i] if i in out else next(rest) for i in range(len(texts))]
-        cut = [(_SPLIT.split(t) if _RUN.search(t) else t.split(" ")) if t else [] for t in texts]
-        missing = {x for parts in cut for x in parts[1:] if x not in self.known}
+        heads, cut, chunks = [], [], set()
+        for text in texts:
+            # a chunk that starts with a line feed has no space before it
+            head, *parts = (text.replace("\n", " \n") if self.lines else text).split(" ")
+            heads.append(head)
+            cut.append(parts)
+            chunks.update(parts)
+        missing = chunks.difference(self.known)
+        # a space before white space or the end is no place to cut; such a chunk is never remembered
+        odd = {x for x in missing if not x or x[0].isspace() and not (self.lines and x[0] == "\n" and x[1:] and not x[1].isspace())}
+        if odd:
+            for i, parts in enumerate(cut):
+                if not odd.isdisjoint(parts):
+                    heads[i], *cut[i] = _SPLIT.split(texts[i])
+            chunks = set().union(*cut)
+            missing = chunks.difference(self.known)
         if len(self.known) + len(missing) > self.most:
-            self.known.clear()
-            missing = {x for parts in cut for x in parts[1:]}
-        ids = self._chunks(missing)
-        self.known.update((k, v) for k, v in ids.items() if len(k) <= _LONGEST_KEPT)
-        first = self._ids([parts[0] if parts else "" for parts in cut])
-        known = self.known
-        return [head + b"".join([known[x] if x in known else ids[x] for x in parts[1:]]) for head, parts in zip(first, cut)]
+            # what these texts have stays
+            self.known = {x: self.known[x] for x in chunks.difference(missing)}
+        new = self._marked(missing) if self.lines else self._chunks(missing)
+        self.known.update(new)
+        find = self.known.__getitem__
+        out = [head + b"".join(map(find, parts)) for head, parts in zip(self._ids(heads), cut)]
+        for x in new:
+            if len(x) > _LONGEST_KEPT:
+                del self.known[x]
+        return out
+
+    def _marked(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of chunks; a word and the marks after it are tokens of their own, so that one word with several marks is encoded once."""
+        split = {}
+        for x in chunks:
+            word = x.rstrip(_MARKS)
+            if len(word) < len(x) and word.lstrip("\n").isalpha() and max(word) < "\u0250":
+                split[x] = word, x[len(word):]
+        words = {w for w, _ in split.values()}
+        out = self._chunks((chunks | words).difference(split, self.known))
+        marks = list({m for _, m in split.values()})
+        ends = dict(zip(marks, self._ids(marks)))
+        out.update({x: (out[w] if w in out else self.known[w]) + ends[m] for x, (w, m) in split.items()})
+        return out
 
     def _chunks(self, chunks: set[str], together: int = 400) -> dict[str, bytes]:
-        """Ids of chunks that follow a space. Chunks without a space of their own are encoded as one text and told apart by the spaces."""
-        plain = [x for x in chunks if " " not in x]
+        """Ids of chunks that follow a space or start with a line feed. Chunks without a space of their own are encoded as one text and told apart by what comes before them."""
+        feeds = [x for x in chunks if x[0] == "\n"]
+        plain = [x for x in chunks if " " not in x and x[0] != "\n"]
         odd = [x for x in chunks if " " in x]
         out = dict(zip(odd, self._ids([" " + x for x in odd])))
-        groups = [plain[i:i + together] for i in range(0, len(plain), together)]
-        for group, blob in zip(groups, self._ids([" " + " ".join(g) for g in groups])):
-            cuts = (np.flatnonzero(self.opens[np.frombuffer(blob, "<u4")]) * 4).tolist() + [len(blob)]
-            out.update(zip(group, (blob[a:b] for a, b in zip(cuts, cuts[1:])), strict=True))
+        for kind, before in ((plain, " "), (feeds, "")):
+            groups = [kind[i:i + together] for i in range(0, len(kind), together)]
+            for group, blob in zip(groups, self._ids([before + before.join(g) for g in groups])):
+                ids = np.frombuffer(blob, "<u4")
+                cuts = (np.flatnonzero(self.opens[ids] if before else ids == self.feed) * 4).tolist() + [len(blob)]
+                out.update(zip(group, (blob[a:b] for a, b in zip(cuts, cuts[1:])), strict=True))
         return out
 
     def _ids(self, texts: list[str]) -> list[bytes]:

@@ -537,3 +537,28 @@ def test_no_labels(spark, make_docs, corpus):
 def test_fold_is_crc32_of_the_written_id(spark):
     got = spark.range(50).select("id", fold("id", 5).alias("f")).collect()
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 5 for r in got)
+
+
+def test_encoder_encodes_a_word_once_for_all_marks_and_lines():
+    coder = packing.Encoder(TOKENIZER)
+    plain = coder.tokenizer
+    words = ["therthble", "Ñjacoie", "ofansthain", "x1", "don't", "w" * 60]
+    rng = random.Random(4)
+    gaps = [" ", " ", " ", "\n", "\n", "\n\n", " \n", "\n ", "  ", "\r\n", "\t", "\u3000"]
+    texts = ["".join(rng.choice(words) + rng.choice(["", ".", ",", "!!", "$$$", "-", ".)"]) + rng.choice(gaps) for _ in range(rng.randint(0, 30))) for _ in range(400)]
+    assert coder.encode(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert not any(len(x) > 48 for x in coder.known)
+    seen, ids = [], coder._ids
+    coder._ids = lambda x: seen.extend(x) or ids(x)
+    coder.known.clear()
+    coder.encode(["a " + " ".join(f"therthble{m} Etoueux{m}\nEtoueux{m}" for m in (".", ",", "!", "?", ";", ":", "")) + " b"])
+    assert sum(t.count("therthble") + t.count("Etoueux") for t in seen) == 3
+
+
+def test_encoder_keeps_what_it_still_needs():
+    coder = packing.Encoder(TOKENIZER, most=60)
+    seen, ids = [], coder._ids
+    coder._ids = lambda x: seen.extend(x) or ids(x)
+    for i in range(8):
+        coder.encode(["a therthble " + " ".join(f"{chr(97 + i)}{chr(97 + j)}q" for j in range(20))])
+    assert sum(t.count("therthble") for t in seen) == 1
