@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from chatloom.functions.text import clean_text, clean_words, gram_hash, let, word_hashes
 from chatloom.plans.candidates import first_candidates, shared_lines, with_sketch
-from chatloom.plans.positions import first_by, salted_lookup
+from chatloom.plans.positions import broadcast_if_small, first_by, salted_lookup
 from chatloom.session import cut_lineage
 
+_FEW = 2_000_000  # ids, of 8 bytes each, that may go to every executor
+
 
 def dedup_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Exact dedup: the first row in ``order`` wins and keeps its other columns.
@@ -64,10 +66,12 @@ def near_dups(
     signed = cut_lineage(sets.select("id", identity.alias("key"), "s"))
     distinct = signed.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
     copies = cut_lineage(salted_lookup(signed.select("id", "key"), distinct, "key", "n").select("id", "rep"))
-    rep_sets = cut_lineage(signed.select("id", "s").join(distinct.select(F.col("rep").alias("id")), "id", "left_semi"))
+    # the few rows that stand for no set are named, so that sets stay where they are; an id that also stands for one keeps its rows
+    others = copies.filter("id <> rep").select("id").distinct().join(distinct.select(F.col("rep").alias("id")), "id", "left_anti")
+    rep_sets = signed.filter("id IS NOT NULL").select("id", "s").join(broadcast_if_small(cut_lineage(others), _FEW), "id", "left_anti")
     shared = cut_lineage(shared_lines(_prefixes(rep_sets, threshold), threshold, hot))
     state = cut_lineage(shared.select("id").distinct().withColumn("state", F.lit("looks")))
-    bits = cut_lineage(with_sketch(rep_sets.join(state.select("id"), "id", "left_semi"), "s"))
+    bits = cut_lineage(with_sketch(rep_sets, "s").join(state.select("id"), "id", "left_semi"))
 
     kind = state.schema["id"].dataType.simpleString()
     edges = df.sparkSession.createDataFrame([], f"id {kind}, head {kind}, jaccard double")
@@ -125,7 +129,9 @@ def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _with_jaccard(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Exact Jaccard of (id, head) pairs. A head may have very many members, hence the salt."""
+    """Exact Jaccard of (id, head) pairs. Sets that no pair names stay where they are. A head may have very many members, hence the salt."""
+    named = cut_lineage(pairs.select(F.explode(F.array("id", "head")).alias("id")).distinct())
+    sets = cut_lineage(sets.join(broadcast_if_small(named, _FEW), "id", "left_semi"))
     members = pairs.join(sets, "id")
     weights = pairs.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
     head_sets = weights.join(sets.select(F.col("id").alias("head"), F.col("s").alias("hs")), "head")

@@ -70,6 +70,24 @@ def test_near_dup_rounds_do_not_grow_with_groups_of_unlike_rows(spark, monkeypat
     assert rounds[1] <= rounds[0]
 
 
+def test_near_dups_move_only_sets_that_pairs_name(spark, monkeypatch):
+    rng = random.Random(7)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(150)]
+    texts += [texts[3] + " tail", texts[5], texts[3] + " tail"]
+    cut, moved = D.cut_lineage, []
+
+    def watched(df):
+        out = cut(df)
+        if "s" in out.columns:
+            moved.append(out.count())
+        return out
+
+    monkeypatch.setattr(D, "cut_lineage", watched)
+    got = {r.id: r.kept_id for r in D.near_dups(spark.createDataFrame(list(enumerate(texts)), "id long, t string"), "id", "t").collect()}
+    assert {i: k for i, k in got.items() if i != k} == {150: 3, 151: 5, 152: 3} and len(got) == 153
+    assert moved[0] == 153 and max(moved[1:]) <= 2
+
+
 def test_label_distribution_counts_absent_labels(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "l string")
     got = {r.label: (r.n, r.pct) for r in B.label_distribution(df, "l", ["a", "b", "c"]).collect()}
