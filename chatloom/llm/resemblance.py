@@ -1,4 +1,4 @@
-"""Documents whose word shingles resemble each other: exact Jaccard links, found with prefixes of rare shingles."""
+"""Documents whose word shingles resemble each other: SimHash links, verified, and the remaining exact Jaccard links by prefixes of rare shingles."""
 
 from __future__ import annotations
 
@@ -10,7 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import components
+from chatloom.llm.common import SPACES, components
+from chatloom.llm.simhash import fingerprints, near_links
 from chatloom.plans.candidates import first_candidates, shared_lines, sketch_of
 from chatloom.plans.positions import broadcast_if_small, salted_lookup
 from chatloom.session import cut_lineage
@@ -84,9 +85,26 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return met.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint, close boolean")
 
 
+def signed_links(texts: DataFrame, width: int = 5, distance: int = 4) -> DataFrame:
+    """Links ``a, b`` with a Jaccard of 0.8 or more among those that SimHash finds: every text with the first of its fingerprint, and the firsts of
+    fingerprints that :func:`chatloom.llm.simhash.near_links` ties. Blank texts have none."""
+    worded = texts.filter(F.length(F.translate(F.col("text").cast("string"), SPACES, "")) > 0)
+    rows = cut_lineage(fingerprints(worded.select(F.col("node").alias("doc_id"), "text"), width).select(F.col("doc_id").alias("node"), "fp").distinct())
+    distinct = cut_lineage(rows.groupBy("fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")))
+    copies = salted_lookup(rows, distinct.filter("n > 1"), "fp", "n").filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    ties = near_links(distinct, distance).distinct()
+    for side in "ab":
+        ties = ties.join(distinct.select(F.col("fp").alias(side), F.col("first").alias(f"first_{side}")), side)
+    pairs = cut_lineage(copies.unionByName(ties.select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))))
+    return cut_lineage(_verified(pairs, texts, width).filter("close").select("a", "b"))
+
+
 def resembling(texts: DataFrame, width: int = 5, hot: int = 20_000) -> DataFrame:
     """``node, component`` for documents (``node``: a number of its own for each; ``text``: bytes): links are Jaccards of 0.8 or more.
 
+    SimHash comes first (:func:`signed_links`): what it ties is one component from the start. It cannot find all links, as a Jaccard of 0.8 leaves
+    about ten bits different; the rest is found exactly.
+
     Exact for the sets of 64-bit hashes of ``width`` words. With all shingles in one order two sets of that Jaccard share one of their first
     n - ceil(0.8 n) + 1. The order puts shingles last that a sample knows to be frequent, which has no influence on the result.
     In the group of a shingle every document names its first earlier member of another component that size, place and sketch allow
@@ -125,8 +143,10 @@ def resembling(texts: DataFrame, width: int = 5, hot: int = 20_000) -> DataFrame
     groups = cut_lineage(shared_lines(texts.mapInArrow(prefixes, "token bigint, id bigint, size int, place int"), 0.8, hot))
     members = cut_lineage(groups.select(F.col("id").alias("node")).distinct())
     bits = cut_lineage(_named(texts, members).mapInArrow(sketch, "id bigint, bits binary"))
-    parts = bits.select("id", F.col("id").alias("part"))
-    links = refused = texts.sparkSession.createDataFrame([], "a bigint, b bigint")
+    links = signed_links(texts, width)
+    tied = components(links.select(F.explode(F.array("a", "b")).alias("node")).distinct(), links).select(F.col("node").alias("id"), "component")
+    parts = cut_lineage(bits.select("id").join(tied, "id", "left").select("id", F.coalesce("component", "id").alias("part")))
+    refused = texts.sparkSession.createDataFrame([], "a bigint, b bigint")
     lines, first, names = groups, True, 1
     while True:
         failed = refused.groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("failed"))

@@ -64,7 +64,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of texts whose five-word shingles have a Jaccard of 0.8 or more: the one with the smallest id.
 
-    A document is its id and text, so rows without id and rows that repeat an id are judged on their own; an id comes before no id. Rows that repeat
+    SimHash over the same shingles retrieves links, which are verified; an exact search adds those that it misses. A document is its id and text, so rows without id and rows that repeat an id are judged on their own; an id comes before no id. Rows that repeat
     both stay or go together. Blank and null texts resemble nothing. An empty table gives an empty result.
     """
     rows = numbered(docs)

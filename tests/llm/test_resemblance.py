@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+from chatloom.llm import resemblance
 from chatloom.llm.simhash import fingerprint
 from tests.llm.conftest import sentence
 
@@ -60,3 +61,25 @@ def test_stage_matches_brute_force(spark, make_docs):
     for group in groups:
         best = [(None if no else i, t) for no, i, t in group if (no, i) == group[0][:2]]
         assert sum(x in got for x in best) == 1
+
+
+def test_simhash_links_come_first_and_are_verified(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [sentence(rng, 120) for _ in range(20)]
+    rows = base + [edited(rng, t, 1) for t in base] + base[:2] + ["", " ", "\n"]
+    texts = spark.createDataFrame([(i, bytearray(t.encode())) for i, t in enumerate(rows)], "node long, text binary")
+    found = {(r.a, r.b) for r in resemblance.signed_links(texts).collect()}
+    assert all(close(grams(rows[a]), grams(rows[b])) for a, b in found)
+    near = [i for i in range(20) if (fingerprint(rows[i].encode(), 5) ^ fingerprint(rows[20 + i].encode(), 5)).bit_count() <= 4]
+    assert near and {frozenset((i, 20 + i)) for i in near} <= {frozenset(x) for x in found} and {(40, 0), (41, 1)} <= found
+    asked, first = [], resemblance.first_candidates
+
+    def watched(lines, *rest):
+        out = first(lines, *rest)
+        asked.extend(frozenset((r.id, r.head)) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(resemblance, "first_candidates", watched)
+    got = {r.node: r.component for r in resemblance.resembling(texts).collect()}
+    assert not {frozenset(x) for x in found} & set(asked)
+    assert got == {i: i % 20 if i < 40 else i - 40 if i < 42 else i for i in range(45)}
