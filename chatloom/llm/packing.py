@@ -30,7 +30,7 @@ class Encoder:
     so texts are cut before it too. A text that holds an added token of the file literally goes to the tokenizer as it is.
     """
 
-    def __init__(self, path: str, most: int = 600_000) -> None:
+    def __init__(self, path: str, most: int = 250_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
