@@ -2,48 +2,93 @@
 
 from __future__ import annotations
 
-import json
 import math
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.session import cut_lineage
 
-_SPLIT = re.compile(r" (?=\S)")
 _MARKS = ".,!?;:$#*%&|<>"
-_LONGEST_KEPT = 48  # characters of a chunk whose ids are remembered
+_LONGEST_KEPT = 48  # bytes of a chunk whose ids are remembered
+
+
+def _kinds(of: str | range) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[[ord(x) for x in of] if isinstance(of, str) else list(of)] = True
+    return out
+
+
+_IS_MARK = _kinds(_MARKS)
+_IS_NAME = _kinds("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+#: White space, and the first bytes of characters that may be white space.
+_MAY_BE_SPACE = _kinds(range(0x21)) | _kinds("\u00c2\u00e1\u00e2\u00e3")
+
+
+def _goes_on(data: np.ndarray, follows: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Those of the places ``at`` that are followed by something else than white space. ``follows``: the next byte, white space at the end of a text."""
+    first = follows[at]
+    surely = ~_MAY_BE_SPACE[first]
+    wide = np.flatnonzero((first >= 0xC2) & ~surely)
+    second, third = data[at[wide] + 2], data[np.minimum(at[wide] + 3, len(data) - 1)]
+    first = first[wide]
+    surely[wide] = (first == 0xC2) & (second != 0x85) & (second != 0xA0) | (first == 0xE2) & (second > 0x81) | (first == 0xE2) & (second == 0x80) & (third > 0x8A) & (third < 0xA8) | (first == 0xE3) & (second != 0x80)
+    return at[surely]
+
+
+def _binary(offsets: np.ndarray, data: bytes | np.ndarray) -> pa.LargeBinaryArray:
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
+
+
+def _parts(array: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of an array."""
+    _, offsets, data = array.buffers()
+    return np.frombuffer(offsets, np.int64)[array.offset:array.offset + len(array) + 1], np.frombuffer(data or b"", np.uint8)
+
+
+class Known:
+    """Chunks and their ids, side by side in Arrow arrays: a fraction of the memory of Python's objects."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.chunks = self.ids = pa.array([], pa.large_binary())
+
+    def __iter__(self) -> Iterator[bytes]:
+        return iter(self.chunks.to_pylist())
 
 
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit numbers, by a byte-level tokenizer file.
 
     Such a tokenizer never joins what stands left and right of a space that is followed by something else than white space, so
-    texts are cut there, and the ids of frequent chunks are remembered within a bound. With the plain byte-level split a lone line feed is a token of its own,
-    so texts are cut before it too. A text that holds an added token of the file literally goes to the tokenizer as it is.
+    texts are cut there, each distinct chunk is encoded once for many texts, and the ids of chunks are remembered within a bound. With the plain byte-level split
+    a line feed followed by something else than white space is a token of its own, and so is what comes before a mark after a letter or a digit; texts are cut
+    there too. A text that holds an added token of the file literally goes to the tokenizer as it is.
     """
 
-    def __init__(self, path: str, most: int = 250_000) -> None:
+    def __init__(self, path: str, most: int = 400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = added
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.most = most
-        self.known: dict[str, bytes] = {}
-        names = self.tokenizer.get_vocab()
-        self.opens = np.zeros(max(names.values()) + 1, bool)  # ids whose bytes begin with a space
-        self.opens[[i for name, i in names.items() if name.startswith("\u0120")]] = True
-        splits = json.loads(self.tokenizer.to_str())
-        self.lines = (splits["pre_tokenizer"] or {}).get("type") == "ByteLevel" and splits["pre_tokenizer"].get("use_regex", True) and not splits["normalizer"]
+        self.known = Known()
+        size = self.tokenizer.get_vocab_size()
+        # ids whose bytes begin with a space
+        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)], bool)
+        split = self.tokenizer.pre_tokenizer
+        self.lines = isinstance(split, ByteLevel) and split.use_regex and not split.add_prefix_space and self.tokenizer.normalizer is None
         self.feed = self.tokenizer.token_to_id("\u010a")
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -52,66 +97,88 @@ class Encoder:
             out = dict(zip(whole, self._ids([texts[i] for i in whole])))
             rest = iter(self.encode([t for i, t in enumerate(texts) if i not in out]))
             return [out[i] if i in out else next(rest) for i in range(len(texts))]
-        heads, cut, chunks = [], [], set()
-        for text in texts:
-            # a chunk that starts with a line feed has no space before it
-            head, *parts = (text.replace("\n", " \n") if self.lines else text).split(" ")
-            heads.append(head)
-            cut.append(parts)
-            chunks.update(parts)
-        missing = chunks.difference(self.known)
-        # a space before white space or the end is no place to cut; such a chunk is never remembered
-        odd = {x for x in missing if not x or x[0].isspace() and not (self.lines and x[0] == "\n" and x[1:] and not x[1].isspace())}
-        if odd:
-            for i, parts in enumerate(cut):
-                if not odd.isdisjoint(parts):
-                    heads[i], *cut[i] = _SPLIT.split(texts[i])
-            chunks = set().union(*cut)
-            missing = chunks.difference(self.known)
-        if len(self.known) + len(missing) > self.most:
+        bounds, data = _parts(pa.array(texts, pa.large_string()))
+        if not bounds[-1]:
+            return [b""] * len(texts)
+        starts = self._cuts(data, bounds)
+        coded = _binary(np.append(starts, bounds[-1]), data).dictionary_encode()
+        chunks, which = coded.dictionary, coded.indices.to_numpy()
+        known = self.known
+        row = pc.index_in(chunks, value_set=known.chunks).fill_null(-1).to_numpy().astype(np.int64)
+        lacking = np.flatnonzero(row < 0)
+        order, new = self._encoded(chunks.take(pa.array(lacking)))
+        row[lacking[order]] = len(known.ids) + np.arange(len(lacking))
+        ids = pa.concat_arrays([known.ids, new])
+        at, found = _parts(ids.take(pa.array(row[which])))
+        out = found.tobytes()
+        ends = at[np.searchsorted(starts, bounds)].tolist()
+        if len(lacking):
+            every = pa.concat_arrays([known.chunks, chunks.take(pa.array(lacking[order]))])
             # what these texts have stays
-            self.known = {x: self.known[x] for x in chunks.difference(missing)}
-        new = self._marked(missing) if self.lines else self._chunks(missing)
-        self.known.update(new)
-        find = self.known.__getitem__
-        out = [head + b"".join(map(find, parts)) for head, parts in zip(self._ids(heads), cut)]
-        for x in new:
-            if len(x) > _LONGEST_KEPT:
-                del self.known[x]
-        return out
-
-    def _marked(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of chunks; a word and the marks after it are tokens of their own, so that one word with several marks is encoded once."""
-        split = {}
-        for x in chunks:
-            word = x.rstrip(_MARKS)
-            if len(word) < len(x) and word.lstrip("\n").isalpha() and max(word) < "\u0250":
-                split[x] = word, x[len(word):]
-        words = {w for w, _ in split.values()}
-        out = self._chunks((chunks | words).difference(split, self.known))
-        marks = list({m for _, m in split.values()})
-        ends = dict(zip(marks, self._ids(marks)))
-        out.update({x: (out[w] if w in out else self.known[w]) + ends[m] for x, (w, m) in split.items()})
-        return out
-
-    def _chunks(self, chunks: set[str], together: int = 400) -> dict[str, bytes]:
-        """Ids of chunks that follow a space or start with a line feed. Chunks without a space of their own are encoded as one text and told apart by what comes before them."""
-        feeds = [x for x in chunks if x[0] == "\n"]
-        plain = [x for x in chunks if " " not in x and x[0] != "\n"]
-        odd = [x for x in chunks if " " in x]
-        out = dict(zip(odd, self._ids([" " + x for x in odd])))
-        for kind, before in ((plain, " "), (feeds, "")):
-            groups = [kind[i:i + together] for i in range(0, len(kind), together)]
-            for group, blob in zip(groups, self._ids([before + before.join(g) for g in groups])):
-                ids = np.frombuffer(blob, "<u4")
-                cuts = (np.flatnonzero(self.opens[ids] if before else ids == self.feed) * 4).tolist() + [len(blob)]
-                out.update(zip(group, (blob[a:b] for a, b in zip(cuts, cuts[1:])), strict=True))
-        return out
+            stay = np.sort(row) if len(every) > self.most else np.arange(len(every))
+            stay = pa.array(stay[np.diff(_parts(every)[0])[stay] <= _LONGEST_KEPT])
+            known.chunks, known.ids = every.take(stay), ids.take(stay)
+        return [out[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _cuts(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Where chunks start."""
+        follows = np.append(data[1:], np.uint8(0x20))
+        follows[bounds[1:][bounds[1:] > 0] - 1] = 0x20
+        starts = np.zeros(len(data) + 1, bool)
+        starts[bounds] = True
+        starts[_goes_on(data, follows, np.flatnonzero(data == 0x20))] = True
+        if self.lines:
+            feeds = _goes_on(data, follows, np.flatnonzero(data == 0x0A))
+            starts[feeds] = starts[feeds + 1] = True
+            marks = np.flatnonzero(_IS_MARK[data])
+            last, lead = data[np.maximum(marks - 1, 0)], data[np.maximum(marks - 2, 0)]
+            # U+00C0 to U+027F are letters but for two signs
+            latin = (last >= 0x80) & (last < 0xC0) & (lead >= 0xC3) & (lead <= 0xC9) & ~((lead == 0xC3) & ((last == 0x97) | (last == 0xB7)))
+            starts[marks[_IS_NAME[last] | latin]] = True
+        return np.flatnonzero(starts[:-1])
+
+    def _encoded(self, chunks: pa.LargeBinaryArray, together: int = 400) -> tuple[np.ndarray, pa.LargeBinaryArray]:
+        """Ids of distinct chunks, in the order of the places that come first.
+
+        Chunks without white space but for one space before them are encoded many together and told apart by that space; those without any by line feeds put
+        before them. The others are encoded one by one.
+        """
+        offsets, data = _parts(chunks)
+        if not len(chunks):
+            return np.zeros(0, np.int64), chunks
+        head = data[offsets[:-1]]
+        many = np.append(0, np.cumsum(_MAY_BE_SPACE[data], dtype=np.int64))
+        odd = many[offsets[1:]] - many[offsets[:-1] + 1] > 0
+        spaced = (head == 0x20) & ~odd & (np.diff(offsets) > 1)
+        bare = ~_MAY_BE_SPACE[head] & ~odd if self.lines else np.zeros(len(chunks), bool)
+        order, out = [], []
+        for kind, before in ((np.flatnonzero(spaced), b""), (np.flatnonzero(bare), b"\n")):
+            if not len(kind):
+                continue
+            words = [data[a:b].tobytes() for a, b in zip(offsets[kind].tolist(), offsets[kind + 1].tolist())]
+            groups = [(before + before.join(words[i:i + together])).decode() for i in range(0, len(words), together)]
+            ids = np.frombuffer(b"".join(self._ids(groups)), "<u4")
+            if before:
+                fed = ids == self.feed
+                cuts = np.flatnonzero(fed) - np.arange(len(kind))
+                ids = ids[~fed]
+            else:
+                cuts = np.flatnonzero(self.opens[ids])
+            if len(cuts) != len(kind):
+                raise ValueError("the tokenizer joins what a space or a line feed parts")
+            order.append(kind)
+            out.append(_binary(np.append(cuts, len(ids)) * 4, ids.tobytes()))
+        alone = np.flatnonzero(~spaced & ~bare)
+        if len(alone):
+            order.append(alone)
+            texts = [data[a:b].tobytes().decode() for a, b in zip(offsets[alone].tolist(), offsets[alone + 1].tolist())]
+            out.append(pa.array(self._ids(texts), pa.large_binary()))
+        return np.concatenate(order), pa.concat_arrays(out)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        for i in range(0, len(texts), 4096):
-            out += [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False)]
+        for i in range(0, len(texts), 32):
+            out += [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts[i:i + 32], add_special_tokens=False)]
         return out
 
 
@@ -134,16 +201,17 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            texts = batch["text"].to_pylist()
+            text, ids_of = batch["text"], batch["doc_id"].to_pylist()
+            sizes = pc.binary_length(text).to_pylist()
             rows: list[tuple] = []
-            # a bounded number of characters at a time
+            # a bounded number of bytes at a time
             at = 0
-            while at < len(texts):
+            while at < len(sizes):
                 size, to = 0, at
-                while to < len(texts) and (to == at or size < 4_000_000):
-                    size += len(texts[to])
+                while to < len(sizes) and (to == at or size < 3_000_000):
+                    size += sizes[to]
                     to += 1
-                for doc_id, ids in zip(batch["doc_id"][at:to].to_pylist(), coder.encode(texts[at:to])):
+                for doc_id, ids in zip(ids_of[at:to], coder.encode(text.slice(at, to - at).to_pylist())):
                     ids += end
                     n = len(ids) // 4
                     start, piece = 0, 0
@@ -153,6 +221,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
                         rows.append((doc_id, piece, start, length, zlib.crc32(part), part if keep_ids else None))
                         start, piece = start + length, piece + 1
                 at = to
+                pa.default_memory_pool().release_unused()
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             columns = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])

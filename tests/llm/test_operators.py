@@ -562,3 +562,19 @@ def test_encoder_keeps_what_it_still_needs():
     for i in range(8):
         coder.encode(["a therthble " + " ".join(f"{chr(97 + i)}{chr(97 + j)}q" for j in range(20))])
     assert sum(t.count("therthble") for t in seen) == 1
+
+
+def test_encoder_cuts_at_marks_and_line_feeds_and_keeps_little():
+    coder = packing.Encoder(TOKENIZER)
+    plain, seen, ids = coder.tokenizer, [], coder._ids
+    coder._ids = lambda x: seen.extend(x) or ids(x)
+    coder.encode(["a " + " ".join(f"2024{m} größtebé{m}" for m in (".", ",", "!", "", "$$")) + "\n2024\n2024"])
+    assert sum(t.count("2024") for t in seen) == 2 and sum(t.count("größtebé") for t in seen) == 1
+    rng = random.Random(5)
+    gaps = [" ", "\n", " ", " ", " ", " ", "　", "\x85", "\t", "  "]
+    words = ["né", "«ja»", "“quote”", "×", "2024", "語、", "don't", "'s", "᠎", "̀", "<|endoftext|>", "\x00"]
+    texts = ["".join(rng.choice(words) + rng.choice(["", ".", "|", "!'"]) + rng.choice(gaps) * rng.randint(0, 3) for _ in range(rng.randint(0, 20))) for _ in range(500)]
+    assert coder.encode(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    coder.encode([" ".join(f"w{i}x{i * i}" for i in range(20_000))])
+    kept = len(list(coder.known))
+    assert kept >= 20_000 and coder.known.chunks.nbytes + coder.known.ids.nbytes < 70 * kept
