@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.session import cut_lineage
+from chatloom.session import cut_lineage, text_batches
 
 _MARKS = ".,!?;:$#*%&|<>"
 _LONGEST_KEPT = 48  # bytes of a chunk whose ids are remembered
@@ -327,7 +327,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id
     Null texts count as empty: one piece, the end id. Repeated rows are packed one by one. An empty table gives an empty
     result. Other columns are ignored.
     """
-    rows = cut_lineage(pieces(docs, tokenizer, capacity, end_id, keep_ids))
+    with text_batches(docs.sparkSession):
+        rows = cut_lineage(pieces(docs, tokenizer, capacity, end_id, keep_ids))
     counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return rows.withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")})

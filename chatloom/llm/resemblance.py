@@ -14,7 +14,8 @@ from chatloom.llm.common import SPACES, components
 from chatloom.llm.simhash import fingerprints, near_links
 from chatloom.plans.candidates import first_candidates, shared_lines, sketch_of
 from chatloom.plans.positions import broadcast_if_small, salted_lookup
-from chatloom.session import cut_lineage
+from chatloom.session import cut_lineage, text_batches
+
 
 def shingles(text: bytes, width: int = 5) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the runs of ``width`` words, A-Z in lower case; a shorter text is one run, a blank one has none."""
@@ -46,13 +47,14 @@ def _frequent(texts: DataFrame, width: int, least: int = 20_000, most: int = 500
             for text in batch["text"]:
                 held.append(shingles(text.as_py(), width))
                 size += len(held[-1])
-                if size >= 2_000_000:
+                if size >= 500_000:
                     yield full()
                     held, size = [], 0
         yield full()
 
     counted = sample.mapInArrow(run, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).filter("n >= 3")
-    rows = counted.orderBy(F.desc("n"), "token").limit(most).collect()
+    with text_batches(texts.sparkSession):
+        rows = counted.orderBy(F.desc("n"), "token").limit(most).collect()
     token, n = np.array([r["token"] for r in rows], np.int64).view(np.uint64), np.array([r["n"] for r in rows], np.int64)
     order = np.argsort(token)
     return token[order], n[order]
@@ -82,21 +84,23 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     weights = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
     heads = weights.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     met = salted_lookup(pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"), heads, "b", "n", hot=5_000)
-    return met.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint, close boolean")
+    with text_batches(texts.sparkSession):
+        return cut_lineage(met.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint, close boolean"))
 
 
 def signed_links(texts: DataFrame, width: int = 5, distance: int = 4) -> DataFrame:
     """Links ``a, b`` with a Jaccard of 0.8 or more among those that SimHash finds: every text with the first of its fingerprint, and the firsts of
     fingerprints that :func:`chatloom.llm.simhash.near_links` ties. Blank texts have none."""
     worded = texts.filter(F.length(F.translate(F.col("text").cast("string"), SPACES, "")) > 0)
-    rows = cut_lineage(fingerprints(worded.select(F.col("node").alias("doc_id"), "text"), width).select(F.col("doc_id").alias("node"), "fp").distinct())
+    with text_batches(texts.sparkSession):
+        rows = cut_lineage(fingerprints(worded.select(F.col("node").alias("doc_id"), "text"), width).select(F.col("doc_id").alias("node"), "fp").distinct())
     distinct = cut_lineage(rows.groupBy("fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")))
     copies = salted_lookup(rows, distinct.filter("n > 1"), "fp", "n").filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
     ties = near_links(distinct, distance).distinct()
     for side in "ab":
         ties = ties.join(distinct.select(F.col("fp").alias(side), F.col("first").alias(f"first_{side}")), side)
     pairs = cut_lineage(copies.unionByName(ties.select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))))
-    return cut_lineage(_verified(pairs, texts, width).filter("close").select("a", "b"))
+    return _verified(pairs, texts, width).filter("close").select("a", "b")
 
 
 def resembling(texts: DataFrame, width: int = 5, hot: int = 20_000) -> DataFrame:
@@ -140,9 +144,10 @@ def resembling(texts: DataFrame, width: int = 5, hot: int = 20_000) -> DataFrame
             bits = [sketch_of(shingles(text.as_py(), width)) for text in batch["text"]]
             yield pa.RecordBatch.from_arrays([batch["node"], pa.array(bits, pa.binary())], names=["id", "bits"])
 
-    groups = cut_lineage(shared_lines(texts.mapInArrow(prefixes, "token bigint, id bigint, size int, place int"), 0.8, hot))
-    members = cut_lineage(groups.select(F.col("id").alias("node")).distinct())
-    bits = cut_lineage(_named(texts, members).mapInArrow(sketch, "id bigint, bits binary"))
+    with text_batches(texts.sparkSession):
+        groups = cut_lineage(shared_lines(texts.mapInArrow(prefixes, "token bigint, id bigint, size int, place int"), 0.8, hot))
+        members = cut_lineage(groups.select(F.col("id").alias("node")).distinct())
+        bits = cut_lineage(_named(texts, members).mapInArrow(sketch, "id bigint, bits binary"))
     links = signed_links(texts, width)
     tied = components(links.select(F.explode(F.array("a", "b")).alias("node")).distinct(), links).select(F.col("node").alias("id"), "component")
     parts = cut_lineage(bits.select("id").join(tied, "id", "left").select("id", F.coalesce("component", "id").alias("part")))
@@ -153,7 +158,7 @@ def resembling(texts: DataFrame, width: int = 5, hot: int = 20_000) -> DataFrame
         facts = bits.join(parts, "id") if first else bits.join(parts, "id").join(failed, "id", "left")
         named = cut_lineage(first_candidates(lines.join(facts, "id"), 0.8, names))
         pairs = cut_lineage(named.select(F.col("id").alias("a"), F.col("head").alias("b")).distinct())
-        checked = cut_lineage(_verified(pairs, texts, width))
+        checked = _verified(pairs, texts, width)
         links = cut_lineage(links.unionByName(checked.filter("close").select("a", "b")))
         again = named.filter("more").select("token", "band").distinct()
         if again.isEmpty():

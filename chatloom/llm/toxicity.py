@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from chatloom.llm.common import fold
 from chatloom.plans.positions import first_by
-from chatloom.session import cut_lineage
+from chatloom.session import cut_lineage, text_batches
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -156,7 +156,7 @@ def _without_copies(rows: DataFrame, keys: int = 3) -> DataFrame:
     return out.select("doc_id", "text", "toxic")
 
 
-def _class_counts(rows: DataFrame, flush_at: int = 300_000) -> DataFrame:
+def _class_counts(rows: DataFrame, flush_at: int = 60_000) -> DataFrame:
     """``term, n, toxic``: documents that have the term. Counted per task first, in a table of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +195,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_term
     known = known.withColumn("_calibrates", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(5)) == 0)
     chosen = cut_lineage(known.filter("not _calibrates").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples).select("doc_id", "toxic"))
     # at most max_examples short lines
-    sample = cut_lineage(_without_copies(_texts(docs).join(F.broadcast(chosen), "doc_id")))
+    with text_batches(docs.sparkSession):
+        sample = cut_lineage(_without_copies(_texts(docs).join(F.broadcast(chosen), "doc_id")))
     chosen = cut_lineage(sample.select("doc_id", "toxic"))
     total, bad = chosen.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     stats = _class_counts(sample).filter(F.col("n") >= least_documents)
@@ -205,7 +206,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_term
     chi2 = F.when(margin > 0, F.lit(float(total)) * (a * d - b * c) * (a * d - b * c) / margin).otherwise(0.0)
     terms = sorted(r["term"] for r in stats.withColumn("chi2", chi2).filter(F.col("chi2") >= least_chi2).orderBy(F.desc("chi2"), "term").limit(max_terms).collect())
 
-    vectors = cut_lineage(term_counts(docs, terms))
+    with text_batches(docs.sparkSession):
+        vectors = cut_lineage(term_counts(docs, terms))
     n_docs = vectors.count()
     df = {r["t"]: r["n"] for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}
     idf = [math.log((1 + n_docs) / (1 + df.get(i, 0))) + 1 for i in range(len(terms))]

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,3 +71,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def text_batches(spark: SparkSession, most: int = 2_000) -> Iterator[None]:
+    """Inside of it jobs send Python at most ``most`` rows at a time.
+
+    Spark's 10,000 rows of whole texts, or of pairs of texts, are tens of MB per running task, which the executor holds outside of its heap and the Python worker once more; both
+    keep what they once took. Only for jobs that end inside, such as checkpoints: the session's own setting, if smaller, holds, and comes back afterwards.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(most, int(before)) if int(before) > 0 else most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -5,6 +5,7 @@ import random
 import corpus_pipeline
 from chatloom.llm import resemblance
 from chatloom.llm.simhash import fingerprint
+from chatloom.session import text_batches
 from tests.llm.conftest import sentence
 
 
@@ -83,3 +84,21 @@ def test_simhash_links_come_first_and_are_verified(spark, monkeypatch):
     got = {r.node: r.component for r in resemblance.resembling(texts).collect()}
     assert not {frozenset(x) for x in found} & set(asked)
     assert got == {i: i % 20 if i < 40 else i - 40 if i < 42 else i for i in range(45)}
+
+
+def test_whole_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    key, seen, cut = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, resemblance.cut_lineage
+    monkeypatch.setattr(resemblance, "cut_lineage", lambda df: seen.update({"".join(df.columns): int(spark.conf.get(key))}) or cut(df))
+    base = " ".join(f"w{i}" for i in range(60))
+    texts = spark.createDataFrame([(i, f"{base} x{i}".encode()) for i in range(6)] + [(9, b"other words altogether")], "node bigint, text binary")
+    before = spark.conf.get(key)
+    got = {r["node"]: r["component"] for r in resemblance.resembling(texts).collect()}
+    assert got == {i: 0 for i in range(6)} | {9: 9}
+    assert {"idbits", "abclose", "nodefp", "tokenidsizeplaceband"} <= set(seen)
+    assert all(seen[x] <= 2_000 for x in ("idbits", "abclose", "nodefp", "tokenidsizeplaceband")) and spark.conf.get(key) == before
+    spark.conf.set(key, "3")
+    try:
+        with text_batches(spark):
+            assert spark.conf.get(key) == "3"
+    finally:
+        spark.conf.set(key, before)
