@@ -14,7 +14,7 @@ from chatloom.llm.common import SPACES, components
 from chatloom.llm.simhash import fingerprints, near_links
 from chatloom.plans.candidates import first_candidates, shared_lines, sketch_of
 from chatloom.plans.positions import broadcast_if_small, salted_lookup
-from chatloom.session import cut_lineage, text_batches
+from chatloom.session import cut_lineage, cut_narrow, text_batches
 
 
 def shingles(text: bytes, width: int = 5) -> np.ndarray:
@@ -31,6 +31,11 @@ def shingles(text: bytes, width: int = 5) -> np.ndarray:
     return np.unique(np.array([digest(joined[s:e], 42) for s, e in zip(starts, ends[last - 1:].tolist())], np.uint64))
 
 
+def _narrow(df: DataFrame, per_task: int = 50_000) -> DataFrame:
+    """A checkpoint in as many partitions as its rows need."""
+    return cut_narrow(df, per_task, cut_lineage)
+
+
 def _frequent(texts: DataFrame, width: int, least: int = 20_000, most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that several documents of a sample have, sorted, and in how many of the sample. They only order the shingles."""
     share = max(1 / 16, min(1.0, least / max(1, texts.count())))
@@ -80,12 +85,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(keep, pa.bool_())], names=["a", "b", "close"])
 
     # texts stay where they are unless a pair names them
-    texts = _named(texts, cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+    texts = _named(texts, _narrow(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
     weights = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
     heads = weights.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     met = salted_lookup(pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"), heads, "b", "n", hot=5_000)
     with text_batches(texts.sparkSession):
-        return cut_lineage(met.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint, close boolean"))
+        return _narrow(met.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint, close boolean"))
 
 
 def signed_links(texts: DataFrame, width: int = 5, distance: int = 4) -> DataFrame:
@@ -93,13 +98,13 @@ def signed_links(texts: DataFrame, width: int = 5, distance: int = 4) -> DataFra
     fingerprints that :func:`chatloom.llm.simhash.near_links` ties. Blank texts have none."""
     worded = texts.filter(F.length(F.translate(F.col("text").cast("string"), SPACES, "")) > 0)
     with text_batches(texts.sparkSession):
-        rows = cut_lineage(fingerprints(worded.select(F.col("node").alias("doc_id"), "text"), width).select(F.col("doc_id").alias("node"), "fp").distinct())
-    distinct = cut_lineage(rows.groupBy("fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")))
+        rows = _narrow(fingerprints(worded.select(F.col("node").alias("doc_id"), "text"), width).select(F.col("doc_id").alias("node"), "fp").distinct())
+    distinct = _narrow(rows.groupBy("fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")), per_task=10_000)
     copies = salted_lookup(rows, distinct.filter("n > 1"), "fp", "n").filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
-    ties = near_links(distinct, distance).distinct()
+    ties = _narrow(near_links(distinct, distance).distinct())
     for side in "ab":
         ties = ties.join(distinct.select(F.col("fp").alias(side), F.col("first").alias(f"first_{side}")), side)
-    pairs = cut_lineage(copies.unionByName(ties.select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))))
+    pairs = _narrow(copies.unionByName(ties.select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))))
     return _verified(pairs, texts, width).filter("close").select("a", "b")
 
 
@@ -145,35 +150,35 @@ def resembling(texts: DataFrame, width: int = 5, hot: int = 20_000) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch["node"], pa.array(bits, pa.binary())], names=["id", "bits"])
 
     with text_batches(texts.sparkSession):
-        groups = cut_lineage(shared_lines(texts.mapInArrow(prefixes, "token bigint, id bigint, size int, place int"), 0.8, hot))
-        members = cut_lineage(groups.select(F.col("id").alias("node")).distinct())
-        bits = cut_lineage(_named(texts, members).mapInArrow(sketch, "id bigint, bits binary"))
+        groups = _narrow(shared_lines(texts.mapInArrow(prefixes, "token bigint, id bigint, size int, place int"), 0.8, hot))
+        members = _narrow(groups.select(F.col("id").alias("node")).distinct())
+        bits = _narrow(_named(texts, members).mapInArrow(sketch, "id bigint, bits binary"))
     links = signed_links(texts, width)
     tied = components(links.select(F.explode(F.array("a", "b")).alias("node")).distinct(), links).select(F.col("node").alias("id"), "component")
-    parts = cut_lineage(bits.select("id").join(tied, "id", "left").select("id", F.coalesce("component", "id").alias("part")))
+    parts = _narrow(bits.select("id").join(tied, "id", "left").select("id", F.coalesce("component", "id").alias("part")))
     refused = texts.sparkSession.createDataFrame([], "a bigint, b bigint")
     lines, first, names = groups, True, 1
     while True:
         failed = refused.groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("failed"))
         facts = bits.join(parts, "id") if first else bits.join(parts, "id").join(failed, "id", "left")
-        named = cut_lineage(first_candidates(lines.join(facts, "id"), 0.8, names))
-        pairs = cut_lineage(named.select(F.col("id").alias("a"), F.col("head").alias("b")).distinct())
+        named = _narrow(first_candidates(lines.join(facts, "id"), 0.8, names))
+        pairs = _narrow(named.select(F.col("id").alias("a"), F.col("head").alias("b")).distinct())
         checked = _verified(pairs, texts, width)
-        links = cut_lineage(links.unionByName(checked.filter("close").select("a", "b")))
-        again = named.filter("more").select("token", "band").distinct()
+        links = _narrow(links.unionByName(checked.filter("close").select("a", "b")))
+        again = _narrow(named.filter("more").select("token", "band").distinct())
         if again.isEmpty():
             break
-        refused = cut_lineage(refused.unionByName(checked.filter("NOT close").select("a", "b")))
+        refused = _narrow(refused.unionByName(checked.filter("NOT close").select("a", "b")))
         # only components that a new link ties together have to be looked at
         sides = checked.filter("close").select("a", "b")
         for side in "ab":
             sides = sides.join(parts.select(F.col("id").alias(side), F.col("part").alias(f"part_{side}")), side)
-        ties = cut_lineage(sides.select(F.col("part_a").alias("a"), F.col("part_b").alias("b")).distinct())
+        ties = _narrow(sides.select(F.col("part_a").alias("a"), F.col("part_b").alias("b")).distinct())
         merged = components(ties.select(F.explode(F.array("a", "b")).alias("node")).distinct(), ties).select(F.col("node").alias("part"), "component")
-        parts = cut_lineage(parts.join(merged, "part", "left").select("id", F.coalesce("component", "part").alias("part")))
-        told = groups.join(again, ["token", "band"], "left_semi").join(parts, "id").select("token", "band", "part")
-        mixed = told.groupBy("token", "band").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high").select("token", "band")
-        lines, first, names = cut_lineage(groups.join(mixed, ["token", "band"], "left_semi")), False, names * 8
+        parts = _narrow(parts.join(merged, "part", "left").select("id", F.coalesce("component", "part").alias("part")))
+        told = groups.join(broadcast_if_small(again), ["token", "band"], "left_semi").join(parts, "id").select("token", "band", "part")
+        mixed = _narrow(told.groupBy("token", "band").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high").select("token", "band"))
+        lines, first, names = _narrow(groups.join(broadcast_if_small(mixed), ["token", "band"], "left_semi")), False, names * 8
         if lines.isEmpty():
             told = parts.select(F.col("id").alias("node"), F.col("part").alias("component"))
             return texts.select("node").distinct().join(told, "node", "left").select("node", F.coalesce("component", "node").alias("component"))

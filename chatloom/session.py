@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -63,6 +65,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_narrow(df: DataFrame, per_task: int = 50_000, cut: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
+    """A checkpoint of narrow rows (numbers, sketches), read in one partition per ``per_task`` rows, or in as many as it has if that is less.
+
+    A shuffle leaves three files per task that writes to it, until the driver collects its garbage, and a checkpoint two per partition, however few the
+    rows. Loops over small tables thus fill the disk with files of a few bytes. Rows are counted as they are written; up to ``per_task`` of them are
+    one partition, and the number of partitions grows with the rows. ``cut`` makes the checkpoint.
+    """
+    seen = Observation()
+    out = cut(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return out.coalesce(max(1, math.ceil(seen.get.get("n", 0) / per_task)))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` from a table in the scratch folder.
 

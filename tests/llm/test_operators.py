@@ -578,3 +578,28 @@ def test_encoder_cuts_at_marks_and_line_feeds_and_keeps_little():
     coder.encode([" ".join(f"w{i}x{i * i}" for i in range(20_000))])
     kept = len(list(coder.known))
     assert kept >= 20_000 and coder.known.chunks.nbytes + coder.known.ids.nbytes < 70 * kept
+
+
+def test_components_of_few_edges_take_no_shuffles(spark, monkeypatch):
+    from chatloom.llm import common
+
+    rng = random.Random(12)
+    edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(300)] + [(rng.randrange(2000, 2600), rng.randrange(2000, 2600)) for _ in range(400)] + [(5, 5), (7, 6), (-9, -3), (-3, 4000)]
+    reach = {i: i for i in range(-20, 4010)}
+    for _ in range(len(edges)):
+        before = dict(reach)
+        for a, b in edges:
+            reach[a] = reach[b] = min(reach[a], reach[b])
+        if reach == before:
+            break
+    nodes = spark.createDataFrame([(i,) for i in reach], "node bigint")
+    frame, cuts, cut = spark.createDataFrame(edges, "a bigint, b bigint").repartition(8), [], common.cut_narrow
+    monkeypatch.setattr(common, "cut_narrow", lambda df, n: cuts.append(cut(df, n)) or cuts[-1])
+    assert {r["node"]: r["component"] for r in components(nodes, frame).collect()} == reach
+    assert len(cuts) == 1 and cuts[0].rdd.getNumPartitions() == 1
+    # more edges than one partition may hold: rounds, the same components
+    assert {r["node"]: r["component"] for r in components(nodes, frame, few=100).collect()} == reach
+    assert len(cuts) > 3
+    assert components(nodes.limit(0), frame.filter("a < b AND a > b")).count() == 0
+    # any checkpoint of few rows: one partition per so many
+    assert [cut(frame, n).rdd.getNumPartitions() for n in (50_000, 400, 1)] == [1, math.ceil(len(edges) / 400), 8]
