@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 _NO_ID = (1 << 63) - 1  # stands for a null id inside the sort: it comes last
 _PLACE = np.uint64((1 << 22) - 1)
 _BLOCK = 1 << 21
+_STRETCH = 1 << 18  # hashed at a time: its numbers stay in the processor's cache
 _MARKS, _RUN = 0, 1
 
 
@@ -54,8 +55,8 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 def _gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
     """Hash of each run of k bytes, put together from runs of powers of two."""
-    step, power = data.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019), 0xD6E8FEB86659FD93
-    step ^= step >> np.uint64(32)
+    values, power = np.arange(256, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019), 0xD6E8FEB86659FD93
+    step = (values ^ (values >> np.uint64(32)))[data]
     whole, done, size = None, 0, 1
     while size <= k:
         if k & size:
@@ -75,8 +76,10 @@ def anchored_ranges(data: np.ndarray, ends: np.ndarray, window: int, k: int) ->
     bytes with the least hash, the leftmost of equals, so equal windows have their anchor at the same place. ``key`` is a 48-bit number of the anchor's bytes.
     """
     found = []
-    for s in range(0, max(0, len(data) - window + 1), _BLOCK):
-        part = data[s:s + _BLOCK + window - 1]
+    # windows before and after the end of a text, or of its last window, share no range
+    borders = np.concatenate([ends, ends[np.diff(ends, prepend=0) >= window] - window + 1])
+    for s in range(0, max(0, len(data) - window + 1), _STRETCH):
+        part = data[s:s + _STRETCH + window - 1]
         hashes = _gram_hashes(part, k)
         least = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
         need, size = window - k + 1, 1
@@ -85,17 +88,15 @@ def anchored_ranges(data: np.ndarray, ends: np.ndarray, window: int, k: int) ->
             size *= 2
         if size < need:
             least = np.minimum(least[: size - need], least[need - size:])
-        anchor = (least & _PLACE).astype(np.int64)
-        n = len(anchor)
-        text = np.searchsorted(ends, np.arange(s, s + n), "right")
-        inside = np.arange(s, s + n) + window <= ends[text]
+        n = len(least)
         fresh = np.ones(n, bool)
-        fresh[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]) | (inside[1:] != inside[:-1])
+        np.not_equal(least[1:], least[:-1], out=fresh[1:])
+        fresh[borders[(borders > s) & (borders < s + n)] - s] = True
         first = np.flatnonzero(fresh)
         last = np.append(first[1:], n) - 1
-        good = inside[first]
+        good = first + s + window <= ends[np.searchsorted(ends, first + s, "right")]
         first, last = first[good], last[good]
-        at = anchor[first]
+        at = (least[first] & _PLACE).astype(np.int64)
         key = (hashes[at] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(16)
         found.append((first + s, last + s, at + s, key))
     if not found:
@@ -118,80 +119,102 @@ def front_code(rows: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nd
     return prefix.astype(np.uint8), lengths.astype(np.uint8), tails
 
 
-def _shared(a: bytes, b: bytes, at: int) -> int:
-    """Length of the common prefix, of which ``at`` bytes are known."""
-    most = min(len(a), len(b))
-    while at < most:
-        x, y = a[at:at + 8], b[at:at + 8]
-        if x != y:
-            for p, q in zip(x, y):
-                if p != q:
-                    return at
-                at += 1
-            return at
-        at += 8
-    return most
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, ``counts`` of them, end to end."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
 
 
-def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> Iterator[tuple[int, int, int]]:
-    """``run, place, shared`` of all keys in order; ``shared`` is the prefix that a key has in common with the key before it.
+def _shared(a: np.ndarray, b: np.ndarray, at: int) -> np.ndarray:
+    """Length of the common prefix of each row of ``a`` with the same row of ``b``, of which ``at`` bytes are known."""
+    differ = np.ones((len(a), a.shape[1] - at + 1), bool)
+    np.not_equal(a[:, at:], b[:, at:], out=differ[:, :-1])
+    return at + differ.argmax(1)
 
-    A loser tree whose nodes remember how much their loser shares with the last winner. Of two keys the one that shares more with the last
-    key put out comes first, without a look at either; only equal lengths are compared, from the first byte not yet known.
+
+def _look(rows: np.ndarray, which: np.ndarray, step: int) -> np.ndarray:
+    """Eight bytes of some rows, the ``step``-th, as numbers that are ordered as they are."""
+    return rows.view(">u8")[which, step].astype(np.uint64)
+
+
+class Keys(Sequence):
+    """Keys as rows that are filled up with zeros."""
+
+    def __init__(self, rows: np.ndarray, lengths: np.ndarray) -> None:
+        self.rows, self.lengths = rows, lengths
+
+    def __len__(self) -> int:
+        return len(self.lengths)
+
+    def __getitem__(self, i: int) -> bytes:
+        return self.rows[i, : self.lengths[i]].tobytes()
+
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, Sequence) and list(self) == list(other)
+
+
+def merge_runs(runs: list[tuple[Keys, np.ndarray]]) -> np.ndarray:
+    """Rows ``run, place, shared`` of all keys in order; ``shared`` is the prefix that a key has in common with the key before it.
+
+    All runs are merged together from the first bytes on, eight in a step. A step looks only at keys of which their own run does not tell that they
+    go on like the key before them, and only where keys of other runs start alike: the bytes of a known prefix are not looked at again. Keys that their run ties
+    to the one before move with it, and a stretch that is left to one run keeps that run's order. Equal keys keep the order of the runs.
     """
-    k = 1
-    while k < len(runs):
-        k *= 2
-    keys: list[bytes | None] = [r[0][0] if r[0] else None for r in runs] + [None] * (k - len(runs))
-    shared = [0 if x is not None else -1 for x in keys]
-    place = [0] * k
-    losers = [0] * k
-
-    def play(a: int, b: int) -> tuple[int, int]:
-        """Winner and loser; sets what the loser shares with the winner."""
-        if shared[a] != shared[b]:
-            return (a, b) if shared[a] > shared[b] else (b, a)
-        if shared[a] < 0:
-            return a, b
-        x, y = keys[a], keys[b]
-        d = _shared(x, y, shared[a])
-        # a key that ends where the other goes on comes first; equal keys keep the order of the runs
-        if d == len(x) or (d < len(y) and x[d] < y[d]):
-            if d == len(y) and len(x) == len(y) and b < a:
-                a, b = b, a
-            shared[b] = d
-            return a, b
-        shared[a] = d
-        return b, a
-
-    winners = list(range(k)) + [0] * 0
-    level = winners
-    offset = k
-    while len(level) > 1:
-        offset //= 2
-        nxt = []
-        for i in range(0, len(level), 2):
-            w, loser = play(level[i], level[i + 1])
-            losers[offset + i // 2] = loser
-            nxt.append(w)
-        level = nxt
-    w = level[0]
-    while keys[w] is not None:
-        yield w, place[w], shared[w]
-        place[w] += 1
-        texts, prefixes = runs[w]
-        if place[w] < len(texts):
-            keys[w], shared[w] = texts[place[w]], prefixes[place[w]]
-        else:
-            keys[w], shared[w] = None, -1
-        node = (w + k) >> 1
-        while node:
-            other = losers[node]
-            if shared[other] > shared[w]:
-                losers[node], w = w, other
-            elif shared[other] == shared[w] >= 0:
-                w, losers[node] = play(w, other)
-            node >>= 1
+    lengths = np.concatenate([np.zeros(0, np.int64), *(keys.lengths for keys, _ in runs)])
+    n = len(lengths)
+    counts = np.array([len(keys) for keys, _ in runs], np.int64)
+    run, place = np.repeat(np.arange(len(runs)), counts), _ranges(np.zeros(len(runs), np.int64), counts)
+    prefix = np.where(place > 0, np.concatenate([np.zeros(0, np.int64), *(prefixes for _, prefixes in runs)]), 0)
+    steps = -(-int(lengths.max(initial=0)) // 8)
+    rows = np.zeros((n, 8 * steps), np.uint8)
+    for (keys, _), end in zip(runs, np.cumsum(counts).tolist()):
+        rows[end - len(keys): end, : keys.rows.shape[1]] = keys.rows[:, : 8 * steps]
+
+    begin = np.zeros(n, np.int64)  # where the keys that start like this one begin in the order
+    open_ = np.full(n, (counts > 0).sum() > 1)  # whether keys of several runs start like this one
+    parted = np.full(n, -1)  # by place in the order, what the keys before and from there on share
+    for step in range(steps + 1):
+        # keys filled up with zeros that are equal differ by their lengths at most
+        heads = np.flatnonzero(prefix < 8 * step + 8 if step < steps else (prefix < lengths) | (place == 0))
+        mine = open_[heads]
+        if not mine.any():
+            break
+        tied = np.diff(heads, append=n)
+        which = heads[mine]
+        word = _look(rows, which, step) if step < steps else lengths[which].astype(np.uint64)
+        order = np.argsort(begin[which], kind="stable")
+        group = begin[which][order]
+        apart = group[1:] != group[:-1]
+        uneven = ~apart & (word[order][1:] != word[order][:-1])
+        if uneven.any():
+            number = np.cumsum(np.append(False, apart))
+            among = np.flatnonzero(np.isin(number, number[1:][uneven]))
+            order[among] = order[among][np.lexsort((word[order[among]], number[among]))]
+        word, size, owner = word[order], tied[mine][order], run[which][order]
+        first = np.append(True, apart)
+        fresh = first.copy()
+        fresh[1:] |= word[1:] != word[:-1]
+        before = np.cumsum(size) - size
+        start = group + np.maximum.accumulate(np.where(fresh, before, 0)) - np.maximum.accumulate(np.where(first, before, 0))
+        new = np.flatnonzero(fresh & ~first)
+        differ = word[new] ^ word[new - 1]
+        parted[start[new]] = 8 * step + sum((differ < np.uint64(1 << bits)).astype(np.int64) for bits in range(8, 64, 8))
+        number = np.cumsum(fresh) - 1
+        several = np.zeros(number[-1] + 1, bool)
+        several[number[1:][~fresh[1:] & (owner[1:] != owner[:-1])]] = True
+        for held, values in ((begin, start), (open_, several[number])):
+            told, back = held[heads], np.empty_like(values)
+            back[order] = values
+            told[mine] = back
+            held[:] = np.repeat(told, tied)
+
+    order = np.argsort(begin, kind="stable")
+    shared = lengths[order].astype(np.int64)
+    follows = np.flatnonzero((np.diff(order) == 1) & (np.diff(run[order]) == 0)) + 1
+    shared[follows] = prefix[order[follows]]
+    shared = np.where(parted >= 0, parted, shared)
+    shared[1:] = np.minimum(shared[1:], np.minimum(lengths[order[1:]], lengths[order[:-1]]))
+    shared[:1] = 0
+    return np.column_stack((run[order], place[order], shared))
 
 
 class Runs:
@@ -227,14 +250,14 @@ class Runs:
         yield from marks(doc[later], version[later], first[later], span[later], self.buckets, self.targets)
         stay = ~later
         counts = np.bincount(group[stay], minlength=len(heads))
-        target = (key[heads] % np.uint64(self.targets)).astype(np.int64)
+        target = (key[heads] % np.uint64(self.targets)).astype(np.min_scalar_type(self.targets))
         starts = np.concatenate([[0], np.cumsum(counts)])
         version, first, span = version[stay], first[stay], span[stay]
         by_target = np.argsort(target, kind="stable")
         cuts = np.flatnonzero(np.diff(target[by_target])) + 1
         for own in np.split(by_target, cuts):
             n = counts[own]
-            inner = np.repeat(starts[own] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            inner = _ranges(starts[own], n)
             yield int(target[own[0]]), _RUN, freeze(
                 *front_code(rows[heads[own]], lengths[heads[own]]), doc[heads[own]], n.astype(np.uint32), version[inner], first[inner], span[inner])
 
@@ -250,39 +273,62 @@ def marks(doc, version, first, span, buckets: int, targets: int) -> Iterator[tup
             yield b % targets, _MARKS, freeze(np.array([b]), doc[own], version[own], first[own], span[own])
 
 
-def open_run(arrays: list[np.ndarray]) -> tuple[list[bytes], list[int]]:
+def open_run(arrays: list[np.ndarray]) -> tuple[Keys, np.ndarray]:
     prefix, lengths, tails = arrays[:3]
-    data, keys, last, at = tails.tobytes(), [], b"", 0
-    prefixes = prefix.tolist()
-    for p, n in zip(prefixes, lengths.tolist()):
-        end = at + n - p
-        last = last[:p] + data[at:end]
-        keys.append(last)
-        at = end
-    return keys, prefixes
-
-
-def merged_groups(blobs: list[bytes]) -> Iterator[tuple[bytes, int, list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]]:
-    """``key, shared, holders`` of each distinct key of some runs, in order; a holder is (doc, versions, firsts, spans)."""
-    opened, extra = [], []
-    for blob in blobs:
-        arrays = thaw(blob)
-        opened.append(open_run(arrays))
-        doc, n, version, first, span = arrays[3:]
-        ends = np.cumsum(n.astype(np.int64))
-        extra.append((doc.tolist(), (ends - n).tolist(), ends.tolist(), version, first, span))
-    key, start, holders = None, 0, []
-    for run, place, shared in merge_runs(opened):
-        now = opened[run][0][place]
-        if key is None or shared < len(key) or len(now) != len(key):
-            if key is not None:
-                yield key, start, holders
-            key, start, holders = now, shared, []
-        docs, s, e, version, first, span = extra[run]
-        a, b = s[place], e[place]
-        holders.append((docs[place], version[a:b], first[a:b], span[a:b]))
-    if key is not None:
-        yield key, start, holders
+    prefix, lengths = prefix.astype(np.int64), lengths.astype(np.int64)
+    columns = np.arange(lengths.max(initial=0))
+    told = columns < prefix[:, None]
+    within = columns < lengths[:, None]
+    rows = np.zeros(told.shape, np.uint8)
+    rows[within & ~told] = tails
+    # a byte of the prefix is that of the last key before that has its own there
+    source = np.maximum.accumulate(np.where(told, 0, np.arange(len(rows), dtype=np.int32)[:, None]), 0)
+    return Keys(np.where(within, np.take_along_axis(rows, source, 0), 0).astype(np.uint8), lengths), prefix
+
+
+class Holders:
+    """The distinct keys of some runs in order, and all that hold them.
+
+    Of a key: its row (``width`` bytes), ``shared`` (with the key before) and ``least``, the smallest document. Of a holder, by key: ``doc``, ``key`` (its number) and its places.
+    """
+
+    def __init__(self, blobs: list[bytes], width: int) -> None:
+        opened, doc, counts, places = [], [], [], []
+        for blob in blobs:
+            prefix, lengths, tails, docs, n, *spots = thaw(blob)
+            opened.append(open_run([prefix, lengths, tails]))
+            doc.append(docs)
+            counts.append(n.astype(np.int64))
+            places.append(spots)
+        run, place, shared = merge_runs(opened).T
+        sizes = np.array([len(keys) for keys, _ in opened])
+        order = (np.cumsum(sizes) - sizes)[run] + place
+        lengths = np.concatenate([keys.lengths for keys, _ in opened])[order]
+        fresh = np.append(True, (shared[1:] < lengths[:-1]) | (lengths[1:] != lengths[:-1]))
+        heads = np.flatnonzero(fresh)
+        rows = np.zeros((len(order), width), np.uint8)
+        for (keys, _), end in zip(opened, np.cumsum(sizes).tolist()):
+            rows[end - len(keys): end, : keys.rows.shape[1]] = keys.rows
+        self.rows, self.shared, self.key = rows[order[heads]], shared[heads], np.cumsum(fresh) - 1
+        counts = np.concatenate(counts)
+        self.doc, self.counts, self.begins = np.concatenate(doc)[order], counts[order], (np.cumsum(counts) - counts)[order]
+        self.version, self.first, self.span = (np.concatenate(x) for x in zip(*places))
+        self.least = np.minimum.reduceat(self.doc, heads)
+        mine = self.doc == self.least[self.key]
+        self.later, self.rest = np.flatnonzero(~mine), np.flatnonzero(mine)
+
+    def places(self, which: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``doc, version, first, span`` of all places of some holders."""
+        at = _ranges(self.begins[which], self.counts[which])
+        return np.repeat(self.doc[which], self.counts[which]), self.version[at], self.first[at], self.span[at]
+
+    def kept(self, keys: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``number, doc, version, first`` of the places of some keys in their smallest document; ``number`` is the key's index in ``keys``."""
+        of = self.key[self.rest]
+        begin, end = np.searchsorted(of, keys), np.searchsorted(of, keys, "right")
+        which = self.rest[_ranges(begin, end - begin)]
+        number = np.repeat(np.repeat(np.arange(len(keys)), end - begin), self.counts[which])
+        return number, *self.places(which)[:3]
 
 
 class Marked:
@@ -291,22 +337,9 @@ class Marked:
     def __init__(self, buckets: int, targets: int) -> None:
         self.buckets, self.targets, self.held, self.size = buckets, targets, [], 0
 
-    def losers(self, holders: list) -> list:
-        """Marks all holders but those of the smallest document, which are returned."""
-        if len(holders) == 1:
-            return holders
-        least = min(h[0] for h in holders)
-        for doc, version, first, span in holders:
-            if doc > least:
-                self.held.append((np.full(len(first), doc, np.int64), version, first, span))
-                self.size += len(first)
-        return [h for h in holders if h[0] == least]
-
-    def range(self, holders: list, shift: int, span: int) -> None:
-        """Marks the windows from ``shift`` on, ``span`` more than one, in each of a document's places."""
-        for doc, version, first, _ in holders:
-            self.held.append((np.full(len(first), doc, np.int64), version, first + shift, np.full(len(first), span, np.uint8)))
-            self.size += len(first)
+    def add(self, *columns: np.ndarray) -> None:
+        self.held.append(columns)
+        self.size += len(columns[0])
 
     def flush(self) -> Iterator[tuple[int, int, bytes]]:
         if self.held:
@@ -379,7 +412,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
     1. Tasks send the keys of their anchors, each once per task; anchors of one document drop out, as no window around them can repeat.
     2. Around every other anchor the suffix from the anchor to the end of its last window, followed by what lies between its first window and
        the anchor, becomes an item. Tasks sort items, fold equal ones, and exchange front-coded runs by the anchor's key.
-    3. Runs are merged by a loser tree that knows shared prefixes (:func:`merge_runs`). Equal neighbours are repeats of the smallest
+    3. Runs are merged eight bytes a step, without a look at prefixes that they share (:func:`merge_runs`). Equal neighbours are repeats of the smallest
        document among them. Up to ``few`` different surroundings of one anchor are settled by the prefixes they share on both sides;
        of more, the windows become the items of a second such sort.
     4. The ranges found meet the texts again.
@@ -390,6 +423,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
     """
     spark = docs.sparkSession
     targets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = window + window - anchor + 2  # of an item
     buckets = buckets or _prime_from(targets)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc_id"), text.alias("text"))
@@ -409,8 +443,11 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
             def flush() -> Iterator[tuple[int, int, bytes]]:
                 key, doc = (np.concatenate(x) for x in zip(*held))
                 held.clear()
-                order = np.lexsort((doc, key))
+                order = np.argsort(key)
                 key, doc = key[order], doc[order]
+                twin = np.append(False, key[1:] == key[:-1])
+                again = np.flatnonzero(twin | np.append(twin[1:], False))
+                doc[again] = doc[again][np.lexsort((doc[again], key[again]))]
                 once = np.ones(len(key), bool)
                 once[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
                 key, doc = key[once], doc[once]
@@ -421,7 +458,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
                 shared = np.repeat(many, np.diff(np.append(heads, len(key))))
                 for bucket, blob in _by_bucket(doc[shared], key[shared], buckets):
                     yield bucket % targets, bucket, blob
-                target = (key[heads] % np.uint64(targets)).astype(np.int64)
+                target = (key[heads] % np.uint64(targets)).astype(np.min_scalar_type(targets))
                 by_target = np.argsort(target, kind="stable")
                 for own in np.split(by_target, np.flatnonzero(np.diff(target[by_target])) + 1):
                     yield int(target[own[0]]), -1, freeze(key[heads[own]], doc[heads[own]], many[own].astype(np.uint8))
@@ -480,8 +517,6 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
         return both.repartition("bucket").sortWithinPartitions("bucket", "kind")
 
     def send_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = window + window - anchor + 2
-
         def out() -> Iterator[tuple[int, int, bytes]]:
             runs, buffer = Runs(width, targets, buckets), Texts()
 
@@ -500,17 +535,20 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
                 half = key.astype(np.uint32).astype(np.uint64)
                 own = np.isin((half << np.uint64(15)) | np.searchsorted(names, ids[text]).astype(np.uint64), pairs)
                 first, last, at, key, text = first[own], last[own], at[own], key[own], text[own]
+                whole = np.lib.stride_tricks.sliding_window_view(np.append(data, np.zeros(window, np.uint8)), window)
                 for s in range(0, len(first), 50_000):
                     part = slice(s, s + 50_000)
                     f, l, a, t = first[part], last[part], at[part], text[part]
                     right, left = l + window - a, a - f
-                    columns = np.arange(width)[None, :]
+                    columns = np.arange(width)
                     # the anchor, the two lengths, the rest to the right, and what is left of the anchor
-                    c = columns - 2
-                    source = np.where(columns < anchor, a[:, None] + columns, np.where(c < right[:, None], a[:, None] + c, f[:, None] + c - right[:, None]))
                     length = right + left + 2
-                    table = np.where(columns < length[:, None], data[np.minimum(source, len(data) - 1)], 0).astype(np.uint8)
+                    table = np.zeros((len(f), width), np.uint8)
+                    ahead = whole[a]
+                    ahead[columns[:window] >= right[:, None]] = 0
+                    table[:, :anchor], table[:, anchor + 2:window + 2] = ahead[:, :anchor], ahead[:, anchor:]
                     table[:, anchor], table[:, anchor + 1] = right, left
+                    table[(columns >= right[:, None] + 2) & (columns < length[:, None])] = whole[f][columns[:window] < left[:, None]]
                     starts = np.concatenate([[0], ends[:-1]])[t]
                     runs.add(table, length, key[part], ids[t], versions[t], f - starts, (l - f).astype(np.uint8))
 
@@ -530,66 +568,58 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
         def out() -> Iterator[tuple[int, int, bytes]]:
             runs, marked = Runs(window, targets, buckets), Marked(buckets, targets)
 
-            def pairs(around: list[tuple[bytes, list]]) -> None:
-                """Marks what a few surroundings of one anchor share: with their common parts on both sides all windows in between are equal."""
-                sides = []
-                for key, holders in around:
-                    right, left = key[anchor], key[anchor + 1]
-                    body = key[:anchor] + key[anchor + 2:]
-                    sides.append((body[:right], body[right:right + left][::-1], left, holders))
-                for i, (right, back, left, holders) in enumerate(sides):
-                    doc = holders[0][0]
-                    for j, (other, other_back, _, owners) in enumerate(sides):
-                        if owners[0][0] >= doc:
-                            continue
-                        # keys are sorted, so neighbours share most; the anchor itself is known to be equal
-                        behind, ahead = _shared(back, other_back, 0), _shared(right, other, anchor)
-                        if behind + ahead >= window:
-                            marked.range(holders, left - behind, behind + ahead - window)
-
-            def windows(key: bytes, holders: list) -> None:
-                right, left = key[anchor], key[anchor + 1]
-                body = key[:anchor] + key[anchor + 2:]
-                block = np.frombuffer(body[right:] + body[:right], np.uint8)
-                rows = np.lib.stride_tricks.sliding_window_view(block, window)
-                n = len(rows)
-                hashed = _mixed(rows.astype(np.uint64) @ weights) >> np.uint64(16)
-                for doc, version, first, _ in holders:
-                    for v, f in zip(version.tolist(), first.tolist()):
-                        runs.add(rows, np.full(n, window), hashed, np.full(n, doc, np.int64), np.full(n, v, np.uint32), f + np.arange(n), np.zeros(n, np.uint8))
+            def pairs(held: Holders, keys: np.ndarray, begin: np.ndarray, many: np.ndarray, right: np.ndarray, left: np.ndarray) -> None:
+                """Marks what a few surroundings of one anchor share: with their common parts on both sides all windows in between are equal.
+
+                ``begin`` and ``many`` tell which keys surround the anchor of a key.
+                """
+                ahead = np.delete(held.rows, [anchor, anchor + 1], 1)[:, :window]
+                back = np.take_along_axis(held.rows, (right + left + 1)[:, None] - np.minimum(np.arange(window - anchor), left[:, None]), 1)
+                turns = np.cumsum(many[keys]) // 200_000
+                for some in np.split(keys, np.flatnonzero(np.diff(turns)) + 1):
+                    i, j = np.repeat(some, many[some]), _ranges(begin[some], many[some])
+                    smaller = held.least[j] < held.least[i]
+                    i, j = i[smaller], j[smaller]
+                    # the anchor itself is known to be equal
+                    after = np.minimum(_shared(ahead[i], ahead[j], anchor), np.minimum(right[i], right[j]))
+                    behind = np.minimum(_shared(back[i], back[j], 0), np.minimum(left[i], left[j]))
+                    span = after + behind - window
+                    found = np.unique(((i << 16) + (left[i] - behind << 8) + span)[span >= 0])
+                    number, doc, version, first = held.kept(found >> 16)
+                    marked.add(doc, version, first + (found >> 8 & 255)[number], (found & 255).astype(np.uint8)[number])
+
+            def windows(held: Holders, keys: np.ndarray, right: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+                columns = np.arange(2 * window - anchor)
+                number, doc, version, first = held.kept(keys)
+                for s in range(0, len(number), 4_000):
+                    part = slice(s, s + 4_000)
+                    key = keys[number[part]]
+                    r, l = right[key][:, None], left[key][:, None]
+                    source = np.where(columns < l, r + 2 + columns, columns - l + np.where(columns - l < anchor, 0, 2))
+                    block = np.take_along_axis(held.rows[key], np.minimum(source, held.rows.shape[1] - 1), 1)
+                    n = (r + l)[:, 0] - window + 1
+                    own, shift = np.repeat(np.arange(len(key)), n), _ranges(np.zeros(len(key), np.int64), n)
+                    rows = np.lib.stride_tricks.sliding_window_view(block, window, 1)[own, shift]
+                    hashed = _mixed(rows.astype(np.uint64) @ weights) >> np.uint64(16)
+                    runs.add(rows, np.full(len(rows), window), hashed, doc[part][own], version[part][own], first[part][own] + shift, np.zeros(len(rows), np.uint8))
+                    if runs.full():
+                        yield from runs.flush()
 
             for kind, value in _targets(batches):
                 if kind == _MARKS:
                     yield value
                     continue
-                around: list[tuple[bytes, list]] = []  # what surrounds the present anchor
-
-                def settle() -> None:
-                    if 1 < len(around) <= few:
-                        pairs(around)
-                    elif len(around) > few:
-                        for item in around:
-                            windows(*item)
-                    around.clear()
-
-                passed = False  # this anchor has so many surroundings that they go on one by one
-                for key, shared, holders in merged_groups(value):
-                    rest = marked.losers(holders)
-                    if shared < anchor:
-                        settle()
-                        passed = False
-                    if passed:
-                        windows(key, rest)
-                    else:
-                        around.append((key, rest))
-                        if len(around) > few:
-                            settle()
-                            passed = True
-                    if runs.full():
-                        yield from runs.flush()
-                    if marked.size > 200_000:
-                        yield from marked.flush()
-                settle()
+                held = Holders(value, width)
+                marked.add(*held.places(held.later))
+                # the keys that surround one anchor
+                begin = np.flatnonzero(held.shared < anchor)
+                many = np.diff(begin, append=len(held.shared))
+                begin, many = np.repeat(begin, many), np.repeat(many, many)
+                right, left = held.rows[:, anchor].astype(np.int64), held.rows[:, anchor + 1].astype(np.int64)
+                pairs(held, np.flatnonzero((many > 1) & (many <= few)), begin, many, right, left)
+                yield from windows(held, np.flatnonzero((many > 1) & (many > few)), right, left)
+                if marked.size > 200_000:
+                    yield from marked.flush()
             yield from runs.flush()
             yield from marked.flush()
 
@@ -602,8 +632,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
                 if kind == _MARKS:
                     yield int(thaw(value[2])[0][0]), value[2]
                     continue
-                for _, _, holders in merged_groups(value):
-                    marked.losers(holders)
+                held = Holders(value, window)
+                marked.add(*held.places(held.later))
             for _, _, blob in marked.flush():
                 yield int(thaw(blob)[0][0]), blob
 

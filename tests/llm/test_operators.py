@@ -5,6 +5,7 @@ import math
 import os
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -84,6 +85,45 @@ def test_merge_never_compares_known_prefixes(monkeypatch):
     assert all(a == b for a, b in looks)
 
 
+def test_merge_looks_once_and_in_bulk(monkeypatch):
+    rng = random.Random(2)
+    runs = []
+    for _ in range(5):
+        run = sorted({bytes(rng.choice(b"ab\0") for _ in range(rng.randint(1, 40))) for _ in range(2_000)} | {b"a" * 30, b"a" * 30 + b"\0"})
+        rows = np.array([list(k.ljust(40, b"\0")) for k in run], np.uint8)
+        runs.append((run, suffix.open_run(list(suffix.front_code(rows, np.array([len(k) for k in run]))))))
+    looks, calls, look = Counter(), [], suffix._look
+    monkeypatch.setattr(suffix, "_look", lambda rows, which, step: looks.update((i, step) for i in which.tolist()) or look(rows, which, step))
+    suffix.merge_runs([r for _, r in runs])
+    prefixes = [p for _, (_, run) in runs for p in run.tolist()]
+    assert looks and max(looks.values()) == 1 and all(prefixes[i] < 8 * step + 8 for i, step in looks)
+    monkeypatch.setattr(suffix, "_look", look)
+    # no step of Python per key
+    sys.setprofile(lambda *call: calls.append(call[1]))
+    try:
+        merged = suffix.merge_runs([r for _, r in runs])
+    finally:
+        sys.setprofile(None)
+    assert 3 * len(calls) < len(merged)
+    plain = sorted((k, r, i) for r, (run, _) in enumerate(runs) for i, k in enumerate(run))
+    assert [tuple(x) for x in merged[:, :2].tolist()] == [(r, i) for _, r, i in plain]
+    assert merged[1:, 2].tolist() == [len(os.path.commonprefix([a, b])) for (a, _, _), (b, _, _) in zip(plain, plain[1:])]
+
+
+def test_anchors_do_not_depend_on_stretches(monkeypatch):
+    rng = random.Random(5)
+    texts = [bytes(rng.choice(b"abc ") for _ in range(rng.choice([0, 1, 49, 50, 51, 300]))) for _ in range(40)]
+    data, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+
+    def windows():
+        return [(f, int(a), int(k)) for first, last, a, k in zip(*suffix.anchored_ranges(data, ends, 50, 24)) for f in range(first, last + 1)]
+
+    whole = windows()
+    monkeypatch.setattr(suffix, "_STRETCH", 70)
+    assert windows() == whole
+    assert [f for f, _, _ in whole] == [e - len(t) + i for e, t in zip(ends.tolist(), texts) for i in range(len(t) - 49)]
+
+
 # ---- 2 SimHash
 
 
