@@ -277,13 +277,19 @@ def open_run(arrays: list[np.ndarray]) -> tuple[Keys, np.ndarray]:
     prefix, lengths, tails = arrays[:3]
     prefix, lengths = prefix.astype(np.int64), lengths.astype(np.int64)
     columns = np.arange(lengths.max(initial=0))
-    told = columns < prefix[:, None]
-    within = columns < lengths[:, None]
-    rows = np.zeros(told.shape, np.uint8)
-    rows[within & ~told] = tails
-    # a byte of the prefix is that of the last key before that has its own there
-    source = np.maximum.accumulate(np.where(told, 0, np.arange(len(rows), dtype=np.int32)[:, None]), 0)
-    return Keys(np.where(within, np.take_along_axis(rows, source, 0), 0).astype(np.uint8), lengths), prefix
+    rows, at = np.zeros((len(lengths), len(columns)), np.uint8), 0
+    for s in range(0, len(rows), 10_000):
+        told, within = columns < prefix[s:s + 10_000, None], columns < lengths[s:s + 10_000, None]
+        own = within & ~told
+        block = np.zeros((len(own) + 1, len(columns)), np.uint8)
+        block[0] = rows[s - 1]
+        n = np.count_nonzero(own)
+        block[1:][own] = tails[at:at + n]
+        at += n
+        # a byte of the prefix is that of the last key before that has its own there
+        source = np.maximum.accumulate(np.where(told, 0, np.arange(1, len(block))[:, None]), 0)
+        rows[s:s + 10_000] = np.where(within, np.take_along_axis(block, source, 0), 0)
+    return Keys(rows, lengths), prefix
 
 
 class Holders:
@@ -316,6 +322,7 @@ class Holders:
         self.least = np.minimum.reduceat(self.doc, heads)
         mine = self.doc == self.least[self.key]
         self.later, self.rest = np.flatnonzero(~mine), np.flatnonzero(mine)
+        self.rest_key = self.key[self.rest]
 
     def places(self, which: np.ndarray) -> tuple[np.ndarray, ...]:
         """``doc, version, first, span`` of all places of some holders."""
@@ -324,8 +331,7 @@ class Holders:
 
     def kept(self, keys: np.ndarray) -> tuple[np.ndarray, ...]:
         """``number, doc, version, first`` of the places of some keys in their smallest document; ``number`` is the key's index in ``keys``."""
-        of = self.key[self.rest]
-        begin, end = np.searchsorted(of, keys), np.searchsorted(of, keys, "right")
+        begin, end = np.searchsorted(self.rest_key, keys), np.searchsorted(self.rest_key, keys, "right")
         which = self.rest[_ranges(begin, end - begin)]
         number = np.repeat(np.repeat(np.arange(len(keys)), end - begin), self.counts[which])
         return number, *self.places(which)[:3]
@@ -568,7 +574,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
         def out() -> Iterator[tuple[int, int, bytes]]:
             runs, marked = Runs(window, targets, buckets), Marked(buckets, targets)
 
-            def pairs(held: Holders, keys: np.ndarray, begin: np.ndarray, many: np.ndarray, right: np.ndarray, left: np.ndarray) -> None:
+            def pairs(held: Holders, keys: np.ndarray, begin: np.ndarray, many: np.ndarray, right: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
                 """Marks what a few surroundings of one anchor share: with their common parts on both sides all windows in between are equal.
 
                 ``begin`` and ``many`` tell which keys surround the anchor of a key.
@@ -587,6 +593,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
                     found = np.unique(((i << 16) + (left[i] - behind << 8) + span)[span >= 0])
                     number, doc, version, first = held.kept(found >> 16)
                     marked.add(doc, version, first + (found >> 8 & 255)[number], (found & 255).astype(np.uint8)[number])
+                    if marked.size > 200_000:
+                        yield from marked.flush()
 
             def windows(held: Holders, keys: np.ndarray, right: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
                 columns = np.arange(2 * window - anchor)
@@ -616,10 +624,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, anchor: int = 24, buckets:
                 many = np.diff(begin, append=len(held.shared))
                 begin, many = np.repeat(begin, many), np.repeat(many, many)
                 right, left = held.rows[:, anchor].astype(np.int64), held.rows[:, anchor + 1].astype(np.int64)
-                pairs(held, np.flatnonzero((many > 1) & (many <= few)), begin, many, right, left)
+                yield from pairs(held, np.flatnonzero((many > 1) & (many <= few)), begin, many, right, left)
                 yield from windows(held, np.flatnonzero((many > 1) & (many > few)), right, left)
-                if marked.size > 200_000:
-                    yield from marked.flush()
             yield from runs.flush()
             yield from marked.flush()
 

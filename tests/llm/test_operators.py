@@ -110,6 +110,12 @@ def test_merge_looks_once_and_in_bulk(monkeypatch):
     assert merged[1:, 2].tolist() == [len(os.path.commonprefix([a, b])) for (a, _, _), (b, _, _) in zip(plain, plain[1:])]
 
 
+def test_long_runs_are_opened_in_parts():
+    run = [b"%06d" % (7 * i) for i in range(25_000)]
+    coded = suffix.front_code(np.array([list(k) for k in run], np.uint8), np.full(len(run), 6))
+    assert suffix.open_run(list(coded))[0] == run
+
+
 def test_anchors_do_not_depend_on_stretches(monkeypatch):
     rng = random.Random(5)
     texts = [bytes(rng.choice(b"abc ") for _ in range(rng.choice([0, 1, 49, 50, 51, 300]))) for _ in range(40)]
